@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import bpe, token_lengths
-from groundtable.session import table
+from groundtable.llm import ann, bpe, mixing, token_lengths
+from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found for every twentieth vector."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; digests of ids and of the decoded text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,5 +32,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.suffix_sums(token_lengths.histogram(coded))
 
 
-QUERIES = {"op5_bpe": op5_bpe, "op8_token_counts": op8_token_counts}
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_in_words(F.col("text")).alias("size"))
+    return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = {"op1_ann": op1_ann, "op5_bpe": op5_bpe, "op8_token_counts": op8_token_counts, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
