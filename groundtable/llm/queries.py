@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, mixing, token_lengths
+from groundtable.llm import ann, bpe, lattice_lm, mixing, token_lengths
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The subword vocabulary of the language model.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,11 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
 
 
+def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, beside the add-one unigram's."""
+    return lattice_lm.score(table(spark, sf_dir, "documents"), PIECES, lattice_lm.fold(F.col("doc_id")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; digests of ids and of the decoded text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -38,5 +45,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op5_bpe": op5_bpe, "op8_token_counts": op8_token_counts, "op10_mixing": op10_mixing}
+QUERIES = {"op1_ann": op1_ann, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op8_token_counts": op8_token_counts, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
