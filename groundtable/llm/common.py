@@ -102,3 +102,38 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
             yield pa.Table.from_batches(whole)
     if rest:
         yield pa.Table.from_batches(rest)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
+    """text and label of at most `per_class` labelled documents of each class, and how many labelled ids each class has.
+
+    `held_out` is a condition on doc_id; ids for which it is true or null never take part. Ids labelled more than
+    once count with their greatest label. Which ids are taken depends on the ids alone. The ids (at most
+    2 * per_class) are broadcast; texts are not moved unless they are taken.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & ~F.coalesce(held_out, F.lit(True))).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    sizes = {int(r["label"]): r["count"] for r in known.groupBy("label").count().collect()}
+    picked = [known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
+    ids = picked[0].union(picked[1])
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label"), sizes
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+
+
+class Adam:
+    """Adaptive gradient steps on a dict of arrays."""
+
+    def __init__(self, params: dict[str, np.ndarray], rate: float):
+        self.params, self.rate, self.step = params, rate, 0
+        self.first = {k: np.zeros_like(v) for k, v in params.items()}
+        self.second = {k: np.zeros_like(v) for k, v in params.items()}
+
+    def update(self, grads: dict[str, np.ndarray]) -> None:
+        self.step += 1
+        for k, g in grads.items():
+            m, v = self.first[k], self.second[k]
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            self.params[k] -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, lattice_lm, mixing, token_lengths
+from groundtable.llm import ann, bpe, lattice_lm, mixing, quality_mil, token_lengths, toxicity_fm
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
@@ -32,6 +32,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity_fm.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals for every length that occurs."""
     docs = table(spark, sf_dir, "documents").select("text")
@@ -39,11 +45,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_lengths.suffix_sums(token_lengths.histogram(coded))
 
 
+def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_mil.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_in_words(F.col("text")).alias("size"))
     return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op8_token_counts": op8_token_counts, "op10_mixing": op10_mixing}
+QUERIES = {"op1_ann": op1_ann, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
