@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, lattice_lm, mixing, quality_mil, token_lengths, toxicity_fm
+from groundtable.llm import ann, bpe, lattice_lm, mixing, quality_mil, quality_rules, token_lengths, toxicity_fm
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
@@ -20,6 +20,12 @@ def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base and the learnt list's verdict for every document."""
+    kept = quality_rules.apply(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every text, beside the add-one unigram's."""
     return lattice_lm.score(table(spark, sf_dir, "documents"), PIECES, lattice_lm.fold(F.col("doc_id")))
@@ -57,5 +63,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
