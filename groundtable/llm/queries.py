@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, lattice_lm, mixing, quality_mil, quality_rules, token_lengths, toxicity_fm
+from groundtable.llm import ann, bpe, lattice_lm, mixing, ngram_join, quality_mil, quality_rules, token_lengths, toxicity_fm
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
@@ -44,6 +44,11 @@ def op6_toxicity_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_fm.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies, class and number of links of every document."""
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals for every length that occurs."""
     docs = table(spark, sf_dir, "documents").select("text")
@@ -63,5 +68,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
