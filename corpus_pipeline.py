@@ -1,10 +1,62 @@
-"""From raw documents to a mixed, encoded corpus."""
+"""From raw documents to a mixed, encoded corpus: five stages over the table `documents`.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet to the folder that
+the cluster shares and reads it again for the next. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from groundtable.llm import bpe, line_dedup, mixing, ngram_join, quality_mil
+from groundtable.llm.queries import TOKENIZER
+from groundtable.session import shared_dir, table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts good."""
+    return quality_mil.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier line is alike to; every document stays."""
+    return line_dedup.deduplicate(docs)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    return ngram_join.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    mixed = mixing.mix(docs).filter("taken > 0")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and ids (packed little-endian unsigned 32-bit) of every document of the mix."""
+    return bpe.encode(docs, TOKENIZER, bpe.build_lexicon(docs, TOKENIZER)).select("doc_id", "lang", "source", "n_tokens", "ids")
+
+
+STAGES = [
+    ("quality_classifier", keep_good),
+    ("line_dedup", drop_lines),
+    ("ngram_jaccard_join", keep_one),
+    ("mixing", mix),
+    ("bpe", encode),
+]
+#: SQL can express neither a trained network nor the encoder.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another over sf_dir's documents."""
+    docs, folder = table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/pipeline-{uuid.uuid4()}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs

@@ -289,3 +289,15 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float =
     none = F.lit(None).cast("long")
     nulls = docs.filter("doc_id is null").select(none.alias("doc_id"), none.alias("copy_id"), none.alias("class_id"), none.alias("n_links"))
     return with_words.union(alone).union(nulls)
+
+
+def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
+    """`docs` with one document of each class: the row whose doc_id names the class.
+
+    Of repeated rows one stays. Texts without words and rows with a null doc_id all stay. Columns stay as they are.
+    """
+    found = join(docs.select("doc_id", "text"), n, threshold)
+    named = found.filter("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
+    mine = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
+    kept = mine.join(named, "_id", "left_semi").dropDuplicates(["_id", "_text"])
+    return kept.select(*docs.columns).union(docs.filter("doc_id is null"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, lattice_lm, mixing, ngram_join, quality_mil, quality_rules, token_lengths, toxicity_fm
+from groundtable.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, quality_mil, quality_rules, token_lengths, toxicity_fm
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
@@ -31,6 +31,11 @@ def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(table(spark, sf_dir, "documents"), PIECES, lattice_lm.fold(F.col("doc_id")))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that go from every document."""
+    return line_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every text; digests of ids and of the decoded text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,5 +73,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op4_line_dedup": op4_line_dedup, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
 ORACLE_SQL: dict[str, str] = {}
