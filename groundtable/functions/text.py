@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Digits, letters and marks that matching treats alike.
 ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
@@ -27,7 +28,7 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'"
 MIXED_ABOVE = 0.15
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; null stays null."""
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
@@ -90,7 +91,7 @@ def unescape(text: Column) -> Column:
     return F.replace(text, F.lit("&amp;"), F.lit("&"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(text: pd.Series) -> pd.Series:
     """Every HTML entity, where the short list of unescape() is not enough."""
     import html
