@@ -27,7 +27,7 @@ def text_match(gold: Column, pred: Column) -> Column:
 
 def split_list(text: Column) -> Column:
     """Items between semicolons and commas, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(text, "[;,]"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "[;,]"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def jaccard(a: Column, b: Column) -> Column:

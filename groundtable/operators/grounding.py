@@ -23,7 +23,7 @@ def canonicalize(df: DataFrame, faithful: bool = True) -> DataFrame:
 def number_forms(value: Column) -> list[Column]:
     """A number as it may be written: whole numbers bare and with .0, others to ten places without trailing zeros."""
     whole = value == F.floor(value)
-    bare = F.replace(F.format_number(value, "0.##########"), F.lit(","), F.lit(""))
+    bare = F.replace(F.call_function("format_number", value, F.lit("0.##########")), F.lit(","), F.lit(""))
     return [bare, F.when(whole, F.concat(bare, F.lit(".0")))]
 
 

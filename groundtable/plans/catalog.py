@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from groundtable.plans import pricing
+from groundtable.plans import keeping, pricing, reading
 
-QUERIES = {**pricing.QUERIES}
-ORACLE_SQL = {**pricing.ORACLE_SQL}
+QUERIES = {**pricing.QUERIES, **keeping.QUERIES, **reading.QUERIES}
+ORACLE_SQL = {**pricing.ORACLE_SQL, **keeping.ORACLE_SQL, **reading.ORACLE_SQL}
