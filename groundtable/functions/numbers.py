@@ -75,9 +75,14 @@ def parse_percentage(text: Column, faithful: bool = True) -> Column:
 
 
 def parse_delivery_date(text: Column, faithful: bool = True) -> Column:
-    """A year from 2000, with its quarter if stated: 2027 or 2027-Q1. Without `faithful` digits around the year rule it out."""
+    """A year from 2000, with its quarter if stated: 2027 or 2027-Q1.
+
+    `faithful` keeps two habits: a year counts inside a longer number, and after the word for quarter a digit within
+    ten characters, such as the year's own first one, counts before a quarter's name.
+    """
+    pattern = QUARTER if faithful else QUARTER.replace("{0,10}", "{0,10}?")
     t = ascii_digits(text)
     year = found(t, YEAR if faithful else r"(?<!\d)(20\d{2})(?!\d)", 1)
-    named = found(t, QUARTER, 2)
-    quarter = F.coalesce(found(t, QUARTER, 1), lookup(named, QUARTER_WORDS), F.when(named.rlike("^[0-9]+$"), named))
+    named = found(t, pattern, 2)
+    quarter = F.coalesce(found(t, pattern, 1), lookup(named, QUARTER_WORDS), F.when(named.rlike("^[0-9]+$"), named))
     return F.coalesce(F.concat(year, F.lit("-Q"), quarter), year)

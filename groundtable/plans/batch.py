@@ -48,7 +48,8 @@ def extract(records: DataFrame, extractions: DataFrame, landed: DataFrame, failu
     """Records with landed model output canonicalised, grounded and overlaid; extractions and failures with their new rows."""
     todo = pending_extract(records, extractions, version, model, limit)
     mine = landed.filter((F.col("prompt_version") == version) & (F.col("model") == model)).drop("grounded", "error", "ts")
-    rows = parse_raw(mine).join(todo, "listing_id")
+    stated = todo.select("listing_id", "description_raw", "price", "purpose", *schemas.names(schemas.HINTS))
+    rows = parse_raw(mine).join(stated, "listing_id")
     good = rows.filter(~F.col("bad"))
     fields = schemas.names(schemas.EXTRACTED)
     raw = good.select("listing_id", *(F.col(f"fields.{c}").alias(c) for c in fields), nfkc(F.col("description_raw")).alias("_said"), "price", "purpose", *schemas.names(schemas.HINTS))

@@ -69,7 +69,7 @@ def stated_columns(hits: DataFrame) -> DataFrame:
         h["baths"].try_cast("int").alias("bathrooms"),
         h["area"].alias("area_sqm"),
         location_path(h["location"]).alias("location_raw"),
-        filled(h["agency.name_l1"], h["agency.name"]).alias("agency_name"),
+        filled(h["agency"]["name_l1"], h["agency"]["name"]).alias("agency_name"),
         F.coalesce(h["isVerified"], F.lit(False)).alias("is_verified"),
         epoch_date(h["createdAt"]).alias("date_listed"),
         at_level(h["location"], 1)["name_l1"].alias("governorate"),
