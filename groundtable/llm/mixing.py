@@ -63,14 +63,14 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     for i in use[np.argsort(-sizes[use], kind="stable")]:  # the rounded-off part, from the largest sizes down
         if left <= REST:
             break
-        more = min(int(counts[i] - take[i]), left // int(sizes[i]))
+        more = min(int(counts[i] - take[i]), max(0, left - REST // 2) // int(sizes[i]))
         take[i] += more
         left -= more * int(sizes[i])
     # bounded knapsack: bit s of `sums` tells that s can be reached; counts are split in powers of two
     fits = use[(counts[use] > take[use])]
     if not left or not len(fits):
         return take
-    width = left + int(sizes[fits].min())
+    width = 2 * left  # a sum beyond is farther off than none
     mask, sums, steps = (1 << (width + 1)) - 1, 1, []
     for i in fits[np.argsort(sizes[fits], kind="stable")]:
         spare, part = int(counts[i] - take[i]), 1
@@ -87,7 +87,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             break
     under = (sums & ((1 << (left + 1)) - 1)).bit_length() - 1
     over = sums >> left
-    over = left + (over & -over).bit_length() - 1 if over else width + left
+    over = left + (over & -over).bit_length() - 1 if over else 4 * left
     at = under if left - under <= over - left else over
     for before, i, n in reversed(steps):
         if not before >> at & 1:
