@@ -20,6 +20,7 @@ import struct
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -235,6 +236,12 @@ class Encoder:
         return b"".join([*out, self.plain(text[at:])])
 
 
+@lru_cache(maxsize=1)
+def kept_encoder(vocabulary: str, lexicon: str | None) -> Encoder:
+    """The encoder of a worker process: its caches outlive a task."""
+    return Encoder(Vocabulary(vocabulary), Transducer(lexicon) if lexicon else None)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word binary, n long: the pre-tokens of all whole texts and how often each comes."""
 
@@ -290,8 +297,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, decode:
     added = {"n_tokens": T.LongType()} | ({} if length_only else {"ids": T.BinaryType()}) | ({"decoded": T.StringType()} if decode else {})
 
     def make():
-        v = Vocabulary(SparkFiles.get(name))
-        encoder = Encoder(v, Transducer(SparkFiles.get(lexicon)) if lexicon else None)
+        encoder = kept_encoder(SparkFiles.get(name), SparkFiles.get(lexicon) if lexicon else None)
 
         def each(b: pa.RecordBatch) -> list:
             packed = [encoder.encode(t.as_py()) for t in b.column("text")]
@@ -299,7 +305,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, decode:
             if not length_only:
                 out.append(pa.array(packed, pa.binary()))
             if decode:
-                out.append(pa.array([v.decode(np.frombuffer(x, "<u4").tolist()) for x in packed], pa.string()))
+                out.append(pa.array([encoder.v.decode(np.frombuffer(x, "<u4").tolist()) for x in packed], pa.string()))
             return out
 
         return each
