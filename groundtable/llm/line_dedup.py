@@ -19,56 +19,92 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import hash_cache, hashes, mix, sorted_groups
+from groundtable.llm.common import hash_cache, hashes, mix, runs, sorted_groups
 from groundtable.llm.ngram_join import pairs_within
 from groundtable.session import cut
 
 #: Slots of the tables by hash, and how many of them one row of a partial table has.
-SLOTS, SLICE = 1 << 21, 1 << 13
+SLOTS, SLICE = 1 << 22, 1 << 14
 #: Lines of a group in a chunk; candidates of a line that leave a pair of chunks.
-CHUNK, BEST = 1024, 2
+CHUNK, BEST = 8192, 4
 WORDS_AT_ONCE = 300_000
 NEVER = np.iinfo(np.int64).max
+#: Counts in a byte: exact below 16, then eight steps for each doubling.
+EXACT, STEPS = 16, 8
 
 
 def slot(h: np.ndarray) -> np.ndarray:
-    return (mix(h ^ np.uint64(0xA5A5A5A5)) >> np.uint64(43)).astype(np.int64)
+    """Slots of 64-bit hashes: their upper bits, so words of one slot stay together in what is sorted by hash."""
+    return (h >> np.uint64(42)).astype(np.int64)
 
 
-def slot_table(rows: DataFrame, values) -> np.ndarray:
-    """Counts by slot of the 64-bit values that `values(batch)` yields, over all rows; partial tables are added up slice by slice."""
+def in_a_byte(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale that keeps their order."""
+    large = EXACT + np.floor(STEPS * np.log2(np.maximum(counts, EXACT) / EXACT))
+    return np.where(counts < EXACT, counts, np.minimum(large, 255)).astype(np.uint8)
+
+
+#: The greatest count that each byte may stand for.
+AT_MOST = np.where(np.arange(256) < EXACT, np.arange(256), np.floor(EXACT * 2.0 ** ((np.arange(256) - EXACT + 1) / STEPS))).astype(np.int64)
+
+
+def partial_table(counts: np.ndarray) -> pa.RecordBatch:
+    """A task's counts as rows of (slice, places, counts), without the slots it has not seen."""
+    at = np.flatnonzero(counts)
+    edges = runs(at // SLICE)
+    parts = list(zip(edges[:-1], edges[1:], strict=True)) if len(at) else []
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([int(at[lo] // SLICE) for lo, _ in parts], pa.int64()),
+            pa.array([(at[lo:hi] % SLICE).astype(np.uint16).tobytes() for lo, hi in parts], pa.binary()),
+            pa.array([counts[at[lo:hi]].astype(np.int64).tobytes() for lo, hi in parts], pa.binary()),
+        ],
+        names=["slice", "places", "counts"],
+    )
+
+
+PARTIAL = "slice long, places binary, counts binary"
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, dtype=np.int64)
-        for b in batches:
-            for h in values(b):
-                np.add.at(counts, *np.unique(slot(h), return_counts=True))
-        parts = counts.reshape(-1, SLICE)
-        some = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=["slice", "counts"])
+
+def whole_table(partial: DataFrame) -> np.ndarray:
+    """Partial tables added up slice by slice, as bytes; one row of bounded size for each slice reaches the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for b in batches:
-            for i, x in zip(b.column("slice").to_pylist(), b.column("counts"), strict=True):
-                part = np.frombuffer(x.as_buffer(), np.int64)
-                held[i] = held[i] + part if i in held else part
-        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array([x.tobytes() for x in held.values()], pa.binary())], names=["slice", "counts"])
+            for i, places, counts in zip(b.column("slice").to_pylist(), b.column("places"), b.column("counts"), strict=True):
+                part = held.setdefault(i, np.zeros(SLICE, dtype=np.int64))
+                part[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array([in_a_byte(x).tobytes() for x in held.values()], pa.binary())], names=["slice", "counts"])
+
+    out = np.zeros((SLOTS // SLICE, SLICE), dtype=np.uint8)
+    for r in partial.repartition("slice").mapInArrow(add, "slice long, counts binary").toLocalIterator():
+        out[r["slice"]] = np.frombuffer(r["counts"], np.uint8)
+    return out.ravel()
+
+
+def marked(rows: DataFrame, column: str) -> np.ndarray:
+    """Which slots the scrambled 64-bit values of a column fall into."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, dtype=np.int64)
+        for b in batches:
+            counts[slot_of(b.column(column).to_numpy())] = 1
+        yield partial_table(counts)
 
-    kind = "slice long, counts binary"
-    out = np.zeros((SLOTS // SLICE, SLICE), dtype=np.int64)
-    for r in rows.mapInArrow(work, kind).repartition("slice").mapInArrow(add, kind).toLocalIterator():
-        out[r["slice"]] = np.frombuffer(r["counts"], np.int64)
-    return np.minimum(out.ravel(), np.iinfo(np.int32).max).astype(np.int32)
+    return whole_table(rows.select(column).mapInArrow(work, PARTIAL)) > 0
+
+
+def slot_of(values: np.ndarray) -> np.ndarray:
+    return slot(mix(mix(values.view(np.uint64))))
 
 
 @dataclass
 class Lines:
-    """Lines of some texts as sets: which text, line number, set digest, and the sorted distinct word hashes one line after another."""
+    """Lines of some texts as sets: which text, line number, set digest, where each line's words start, and the distinct word hashes line by line."""
 
     text: np.ndarray
     line: np.ndarray
@@ -77,8 +113,8 @@ class Lines:
     words: np.ndarray
 
 
-def line_sets(texts: list[str | None], least: int, cache) -> Iterator[Lines]:
-    """All lines of at least `least` distinct words, a bounded number of words at a time."""
+def line_sets(texts: list[str | None], least: int, cache, counts: np.ndarray | None = None) -> Iterator[Lines]:
+    """All lines of at least `least` distinct words, a bounded number of words at a time; words by rarity, if counts are given, then hash."""
     text, line, found, sizes = [], [], [], []
     for i, t in enumerate(texts):
         for j, raw in enumerate(t.encode().split(b"\n") if t else ()):
@@ -88,16 +124,18 @@ def line_sets(texts: list[str | None], least: int, cache) -> Iterator[Lines]:
                 line.append(j)
                 sizes.append(len(w))
                 found += w
-        if len(found) > WORDS_AT_ONCE:
-            yield _line_sets(text, line, found, sizes, least, cache)
-            text, line, found, sizes = [], [], [], []
-    yield _line_sets(text, line, found, sizes, least, cache)
-
-
-def _line_sets(text: list, line: list, found: list, sizes: list, least: int, cache) -> Lines:
-    h, owner = hashes(found, cache), np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
+                if len(found) > WORDS_AT_ONCE:
+                    yield _line_sets(text, line, found, sizes, least, cache, counts)
+                    text, line, found, sizes = [], [], [], []
+    yield _line_sets(text, line, found, sizes, least, cache, counts)
+
+
+def _line_sets(text: list, line: list, found: list, sizes: list, least: int, cache, counts: np.ndarray | None) -> Lines:
+    # one sort of one number a word: line, rarity, and the upper bits of its hash
+    h, owner = hashes(found, cache), np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    rarity = counts[slot(h)].astype(np.uint64) if counts is not None else np.uint64(0)
+    order = np.argsort(owner << np.uint64(44) | rarity << np.uint64(36) | h >> np.uint64(28))
+    h, owner = h[order], owner[order].astype(np.int64)
     first = np.ones(len(h), dtype=bool)
     first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
     h, owner = h[first], owner[first]
@@ -105,71 +143,82 @@ def _line_sets(text: list, line: list, found: list, sizes: list, least: int, cac
     on = k >= least
     h, k = h[on[owner]], k[on]
     start = np.concatenate(([0], np.cumsum(k)))
-    ids = np.array([xxhash.xxh3_64_intdigest(h[a:b].tobytes()) for a, b in zip(start[:-1], start[1:], strict=True)], dtype=np.uint64).view(np.int64)
-    return Lines(np.array(text, dtype=np.int64)[on], np.array(line, dtype=np.int64)[on], ids, start, h)
+    ids = mix(np.add.reduceat(mix(mix(h)), start[:-1])) if len(k) else np.zeros(0, dtype=np.uint64)
+    return Lines(np.array(text, dtype=np.int64)[on], np.array(line, dtype=np.int64)[on], ids.view(np.int64), start, h)
+
 
+SURVEYED = "id long, doc long, line long, row long, " + PARTIAL
 
-def occurrences(docs: DataFrame, least: int) -> DataFrame:
-    """id, doc, line, row for every line that takes part, and for each row of `docs` one with a null id and the number of its lines as line."""
+
+def surveyed(docs: DataFrame, least: int) -> DataFrame:
+    """One pass over all texts. Rows of three kinds, the other kinds' columns null: each line that takes part (id, doc, line, row), each text
+    (doc, row, and its number of lines as line), and the tasks' counts of words by slot."""
+    names = ["id", "doc", "line", "row", "slice", "places", "counts"]
+    kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+
+    def batch(**columns) -> pa.RecordBatch:
+        n = len(next(iter(columns.values())))
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = hash_cache()
+        cache, counts = hash_cache(), np.zeros(SLOTS, dtype=np.int64)
         for b in batches:
             texts, doc, row = b.column("text").to_pylist(), b.column("doc").to_numpy(), b.column("row").to_numpy()
-            n = [t.count("\n") + 1 if t else 0 for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(n), pa.int64()), pa.array(doc), pa.array(n, pa.int64()), pa.array(row)], names=["id", "doc", "line", "row"])
+            yield batch(doc=doc, row=row, line=[t.count("\n") + 1 if t else 0 for t in texts])
             for x in line_sets(texts, least, cache):
-                yield pa.RecordBatch.from_arrays([pa.array(x.id), pa.array(doc[x.text]), pa.array(x.line), pa.array(row[x.text])], names=["id", "doc", "line", "row"])
+                np.add.at(counts, slot(x.words), 1)
+                yield batch(id=x.id, doc=doc[x.text], line=x.line, row=row[x.text])
+        p = partial_table(counts)
+        yield batch(**{c: p.column(c) for c in ("slice", "places", "counts")})
 
-    return docs.mapInArrow(work, "id long, doc long, line long, row long")
+    return docs.select("row", "doc", "text").mapInArrow(work, SURVEYED)
 
 
-def postings(docs: DataFrame, least: int, threshold: float, shipped) -> DataFrame:
-    """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line, shape (k and place), chunk (twice, plus 1 for two chunks), and the set's signature."""
+def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None) -> DataFrame:
+    """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line, shape (k and place), chunk (twice, plus 1 for two chunks),
+    and the set's signature. `cells`, a broadcast table of slots, leaves out all other cells."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, counts = hash_cache(), shipped.value
         for b in batches:
             doc = b.column("doc").to_numpy()
-            for x in line_sets(b.column("text").to_pylist(), least, cache):
+            for x in line_sets(b.column("text").to_pylist(), least, cache, counts):
                 if len(x.id):
-                    yield _postings(x, doc[x.text], counts, threshold)
+                    out = _postings(x, doc[x.text], counts, threshold)
+                    yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
 
-    return docs.select("doc", "text").mapInArrow(work, "cell long, id long, doc long, line long, shape long, chunk long, low long, high long")
+    return docs.select("doc", "text").mapInArrow(work, "cell int, id long, doc long, line long, shape long, chunk int, low long, high long")
 
 
 def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> pa.RecordBatch:
+    k = np.diff(x.start)
+    bit = mix(x.words)
+    one = np.uint64(1) << (bit & np.uint64(63))
+    upper = (bit >> np.uint64(6) & np.uint64(1)).astype(bool)
+    low, high = (np.bitwise_xor.reduceat(np.where(side, one, np.uint64(0)), x.start[:-1]) for side in (~upper, upper))
     # of lines with one set the earliest stands for all here
     order = np.lexsort((x.line, doc, x.id))
     alone = np.ones(len(order), dtype=bool)
     alone[1:] = x.id[order][1:] != x.id[order][:-1]
     stands = np.zeros(len(order), dtype=bool)
     stands[order[alone]] = True
-    k = np.diff(x.start)
     owner = np.repeat(np.arange(len(k)), k)
-    on = stands[owner]
-    owner, h = owner[on], x.words[on]
-    bit = mix(h)
-    low, high = np.zeros(len(k), dtype=np.uint64), np.zeros(len(k), dtype=np.uint64)
-    one = np.uint64(1) << (bit & np.uint64(63))
-    upper = (bit >> np.uint64(6) & np.uint64(1)).astype(bool)
-    np.bitwise_xor.at(low, owner[~upper], one[~upper])
-    np.bitwise_xor.at(high, owner[upper], one[upper])
-    n = counts[slot(h)]
-    order = np.lexsort((h, n, owner))
-    owner, h, n = owner[order], h[order], n[order].astype(np.int64)
-    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+    place = np.arange(len(owner)) - x.start[owner]
+    n = AT_MOST[counts[slot(x.words)]]
     # a word that was counted once stands in no other line
-    prefix = (place < k[owner] - np.ceil(threshold * k[owner] - 1e-9) + 1) & (n > 1)
-    owner, h, n, place = owner[prefix], h[prefix], n[prefix], place[prefix]
+    prefix = stands[owner] & (place < k[owner] - np.ceil(threshold * k[owner] - 1e-9) + 1) & (n > 1)
+    owner, h, n, place = owner[prefix], x.words[prefix], n[prefix], place[prefix]
     chunks = -(-n // CHUNK)
     mine = (mix(x.id[owner].view(np.uint64)) % chunks.astype(np.uint64)).astype(np.int64)
-    at = np.repeat(np.arange(len(owner)), chunks)
-    other = np.arange(len(at)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
-    owner, h, place, mine = owner[at], h[at], place[at], mine[at]
+    if len(chunks) and chunks.max() > 1:
+        at = np.repeat(np.arange(len(owner)), chunks)
+        other = np.arange(len(at)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+        owner, h, place, mine = owner[at], h[at], place[at], mine[at]
+    else:
+        other = mine
     a, b = np.minimum(mine, other), np.maximum(mine, other)
-    cell = mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)).view(np.int64)
-    columns = [cell, x.id[owner], doc[owner], x.line[owner], k[owner] << 32 | place, mine * 2 + (a != b), low[owner].view(np.int64), high[owner].view(np.int64)]
+    cell = (mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    columns = [cell, x.id[owner], doc[owner], x.line[owner], k[owner] << 32 | place, (mine * 2 + (a != b)).astype(np.int32), low[owner].view(np.int64), high[owner].view(np.int64)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "id", "doc", "line", "shape", "chunk", "low", "high"])
 
 
@@ -177,7 +226,7 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
     """x, x_doc, y, y_doc, apart, more: earlier lines y that may be alike to x.
 
     The BEST nearest by signature for each x and cell, and whether there were more; with `every` (a table of slots of ids)
-    all of them for the x whose slots are set, and none for others.
+    all of them for the x whose slots are set, and none for others. A cell is a hash: two words that share one only add comparisons.
     """
     share = threshold / (1 + threshold)
     shipped = cells.sparkSession.sparkContext.broadcast(every)
@@ -185,10 +234,10 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shipped.value
         for t in sorted_groups(batches, "cell"):
-            order = np.lexsort(tuple(t.column(c).to_numpy() for c in ("line", "doc", "id", "cell")))
+            order = np.lexsort(tuple(t.column(c).to_numpy() for c in ("line", "doc", "chunk", "shape", "id", "cell")))
             c = {name: t.column(name).to_numpy()[order] for name in t.column_names}
-            once = np.ones(len(order), dtype=bool)
-            once[1:] = (c["cell"][1:] != c["cell"][:-1]) | (c["id"][1:] != c["id"][:-1])
+            once = np.ones(len(order), dtype=bool)  # of lines with one set the earliest
+            once[1:] = np.any([c[name][1:] != c[name][:-1] for name in ("cell", "id", "shape", "chunk")], axis=0)
             c = {name: v[once] for name, v in c.items()}
             k, place = c["shape"] >> 32, c["shape"] & 0xFFFFFFFF
             low, high = c["low"].view(np.uint64), c["high"].view(np.uint64)
@@ -196,7 +245,7 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
             for a, b in pairs_within(c["cell"], c["chunk"] >> 1, (c["chunk"] & 1).astype(bool)):
                 both = k[a] + k[b]
                 least = np.ceil(share * both - 1e-9).astype(np.int64)
-                on = np.flatnonzero(1 + np.minimum(k[a] - place[a], k[b] - place[b]) - 1 >= least)
+                on = np.flatnonzero((np.minimum(k[a] - place[a], k[b] - place[b]) >= least) & (c["id"][a] != c["id"][b]))
                 a, b, both, least = a[on], b[on], both[on], least[on]
                 apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
                 on = np.flatnonzero((np.minimum(k[a], k[b]) >= least) & (apart <= both - 2 * least))
@@ -209,7 +258,7 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
                 continue
             x, y, apart = np.concatenate(xs), np.concatenate(ys), np.concatenate(far)
             if wanted is not None:
-                on = wanted[slot(c["id"][x].view(np.uint64))] > 0
+                on = wanted[slot_of(c["id"][x])]
                 x, y, apart = x[on], y[on], apart[on]
             order = np.lexsort((y, apart, x))
             x, y, apart = x[order], y[order], apart[order]
@@ -226,18 +275,17 @@ def verify(docs: DataFrame, pairs: DataFrame, least: int, threshold: float) -> D
     """x: the lines of `pairs` (x, x_doc, y, y_doc) that are alike to one of their candidates, judged on the sets."""
     spark = docs.sparkSession
     sides = pairs.select(F.col("x").alias("id"), F.col("x_doc").alias("doc")).union(pairs.select("y", "y_doc"))
-    column = lambda name: lambda b: [np.unique(b.column(name).to_numpy()).view(np.uint64)]
     # tables of fixed size tell which texts and lines may be asked for; the joins below are exact
-    some_docs, some_ids = (spark.sparkContext.broadcast(slot_table(sides.select(c), column(c)) > 0) for c in ("doc", "id"))
+    some_docs, some_ids = (spark.sparkContext.broadcast(marked(sides, c)) for c in ("doc", "id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
         for b in batches:
-            b = b.filter(pa.array(some_docs.value[slot(b.column("doc").to_numpy().view(np.uint64))], pa.bool_()))
+            b = b.filter(pa.array(some_docs.value[slot_of(b.column("doc").to_numpy())], pa.bool_()))
             for x in line_sets(b.column("text").to_pylist(), least, cache):
-                on = np.flatnonzero(some_ids.value[slot(x.id.view(np.uint64))])
+                on = np.flatnonzero(some_ids.value[slot_of(x.id)])
                 on = on[np.unique(x.id[on], return_index=True)[1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x.id[on]), pa.array([x.words[x.start[i] : x.start[i + 1]].tobytes() for i in on], pa.binary())], names=["id", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(x.id[on]), pa.array([np.sort(x.words[x.start[i] : x.start[i + 1]]).tobytes() for i in on], pa.binary())], names=["id", "set"])
 
     found = docs.select("doc", "text").mapInArrow(sets, "id long, set binary").dropDuplicates(["id"])
     pairs = pairs.select("x", "y").distinct().join(found.select(F.col("id").alias("x"), F.col("set").alias("x_set")), "x").join(found.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")
@@ -262,32 +310,28 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     """
     spark = docs.sparkSession
     docs = docs.select("row", "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
-    cache: list = []
-
-    def all_words(b: pa.RecordBatch):
-        if not cache:
-            cache.append(hash_cache())
-        for x in line_sets(b.column("text").to_pylist(), least, cache[0]):
-            yield x.words
-
-    table = slot_table(docs.select("text"), all_words)
-    cells = postings(docs, least, threshold, spark.sparkContext.broadcast(table))
-    found = cut(candidates(cells, threshold).groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))
+    survey = cut(surveyed(docs, least))
+    table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
+    best = candidates(postings(docs, least, threshold, table), threshold)
+    found = cut(best.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))
     near = F.row_number().over(Window.partitionBy("x").orderBy("apart", "y"))
     some = F.count(F.lit(1)).over(Window.partitionBy("x")) > 2 * BEST
     ranked = found.withColumns({"rank": near, "more": F.max("more").over(Window.partitionBy("x")) | some}).filter(F.col("rank") <= 2 * BEST)
     alike = cut(verify(docs, ranked, least, threshold))
     open_ = cut(ranked.filter("more").select("x").distinct().join(alike, "x", "left_anti"))
     if not open_.isEmpty():
-        ids = slot_table(open_, lambda b: [b.column("x").to_numpy().view(np.uint64)])
-        rest = cut(candidates(cells, threshold, ids).join(open_, "x", "left_semi").groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc")))
+        ids = spark.sparkContext.broadcast(marked(open_, "x"))
+        mine = lambda batches: (b.filter(pa.array(ids.value[slot_of(b.column("id").to_numpy())], pa.bool_())).select(["cell"]) for b in batches)
+        cells = postings(docs, least, threshold, table).select("cell", "id").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
+        some = spark.sparkContext.broadcast(marked(cells, "cell"))
+        every = candidates(postings(docs, least, threshold, table, some), threshold, ids.value).join(open_, "x", "left_semi")
+        rest = cut(every.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc")))
         alike = alike.union(verify(docs, rest, least, threshold))
-    all_lines = cut(occurrences(docs.select("row", "doc", "text"), least))
-    lines = all_lines.filter("id is not null")
+    lines = survey.filter("id is not null").select("id", "doc", "line", "row")
     firsts = lines.groupBy("id").agg(F.min(F.struct("doc", "line", "row")).alias("first")).join(alike.select(F.col("x").alias("id"), F.lit(True).alias("goes")), "id", "left")
     gone = lines.join(firsts, "id").filter(F.col("goes").isNotNull() | (F.struct("doc", "line", "row") != F.col("first")))
     by_row = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.col("line").cast("int"))).alias("removed"))
-    every = all_lines.filter("id is null").select("row", F.nullif("doc", F.lit(NEVER)).alias("doc_id"), F.col("line").cast("int").alias("n_lines"))
+    every = survey.filter("id is null and slice is null").select("row", F.nullif("doc", F.lit(NEVER)).alias("doc_id"), F.col("line").cast("int").alias("n_lines"))
     return every.join(by_row, "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
 
