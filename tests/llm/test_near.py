@@ -126,9 +126,9 @@ def test_lines(stored, line_rows):
 
 
 def test_lines_by_another_way(stored, line_rows, monkeypatch):
-    """With small chunks and one candidate a line, the second comparison has to find the rest; results are the same."""
-    monkeypatch.setattr(line_dedup, "CHUNK", 4)
+    """With one candidate a line the second comparison has to find the rest; results are the same."""
     monkeypatch.setattr(line_dedup, "BEST", 1)
+    monkeypatch.setattr(line_dedup, "MANY", 1)
     docs = stored(line_rows)
     expected = removed_by_brute_force(line_rows)
     found = {r.doc_id: list(r.removed) for r in line_dedup.report(docs).collect()}
