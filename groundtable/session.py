@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -52,3 +53,9 @@ def cut(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop shuffle files that no living DataFrame needs; it acts when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
