@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundtable.llm.common import CACHE, Cache, append_columns
+from groundtable.llm.common import FLUSH, Cache, append_columns, small_batches
 from groundtable.session import cut
 
 #: White space of the pre-tokenizer: Unicode's White_Space (fixed values).
@@ -202,7 +202,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None = None):
         self.v, self.lexicon = vocabulary, lexicon
-        self.tokens = Cache(self.word)
+        self.tokens = Cache(self.word, 150_000)
         self.after_space = Cache(lambda part: self.split(" " + part))
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
 
@@ -265,7 +265,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                         start, *rest = text.split(" ")
                         parts[start] += 1
                         parts.update(map(" ".__add__, rest))
-                    if len(parts) > CACHE:
+                    if len(parts) > FLUSH:
                         yield flush()
         yield flush()
 
@@ -274,6 +274,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def build_lexicon(docs: DataFrame, tokenizer: str, one_in: int = 100_000) -> str:
     """Compiles the corpus's frequent words and ships file and vocabulary to the executors; returns the file's name there."""
+    small_batches(docs.sparkSession)
     counts = cut(word_counts(docs))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = counts.filter((F.col("n") * one_in >= total) & (F.col("n") > 1)).select("word").collect()

@@ -7,14 +7,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: What separates words, as a Java and Python character class.
 SPACE = r"[\x20\x09-\x0D]"
-#: Entries that a worker's cache holds before it starts anew.
-CACHE = 250_000
+#: Entries that a worker's cache holds before they become the old ones; distinct words that a task counts before it passes them on.
+CACHE, FLUSH = 100_000, 250_000
+#: Rows in a batch between Spark and Python: texts may be long.
+BATCH_ROWS = 2_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -28,15 +30,19 @@ def bucket(key: Column, n: int) -> Column:
 
 
 class Cache(dict):
-    """A dict that computes what is missing and starts anew when it is full, so memory stays bounded."""
+    """A dict that computes what is missing, in bounded memory: when it is full its entries become the old ones, which still serve what is asked again."""
 
     def __init__(self, make: Callable, most: int = CACHE):
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        self[key] = value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -70,6 +76,7 @@ def append_columns(
 
     `make()` runs once in each task and returns a function from a batch to one array for each added column.
     """
+    small_batches(df.sparkSession)
     gone = {*added, *drop}
     kept = [c for c in df.columns if c not in gone]
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + [T.StructField(k, v) for k, v in added.items()])
@@ -83,8 +90,9 @@ def append_columns(
     return df.mapInArrow(work, schema)
 
 
-def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables that hold whole groups, from batches sorted by `key`: a group never straddles two of them."""
+def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, size: int = 4 << 20) -> Iterator[pa.Table]:
+    """Tables of about `size` bytes that hold whole groups, from batches sorted by `key`: a group never straddles two of them."""
+    ready: list[pa.RecordBatch] = []
     rest: list[pa.RecordBatch] = []
     for b in batches:
         if not b.num_rows:
@@ -94,14 +102,15 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Ta
         if rest and last == 0 and rest[-1].column(key)[-1].as_py() == k[-1]:
             rest.append(b)
             continue
-        if last == 0:
-            whole, rest = rest, [b]
-        else:
-            whole, rest = [*rest, b.slice(0, last)], [b.slice(last)]
-        if whole:
-            yield pa.Table.from_batches(whole)
-    if rest:
-        yield pa.Table.from_batches(rest)
+        ready += rest
+        if last:
+            ready.append(b.slice(0, last))
+        rest = [b.slice(last)]
+        if sum(x.nbytes for x in ready) > size:
+            yield pa.Table.from_batches(ready)
+            ready = []
+    if ready or rest:
+        yield pa.Table.from_batches([*ready, *rest])
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, per_class: int) -> tuple[DataFrame, dict[int, int]]:
@@ -118,6 +127,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label"), sizes
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in a batch than Spark's default, unless the session has its own number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import CACHE, bucket, mix
+from groundtable.llm.common import FLUSH, bucket, mix, small_batches
 from groundtable.session import cut
 
 #: The mark that begins a word in the vocabulary; a mark inside a word is spelled in bytes.
@@ -200,7 +200,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for b in batches:
             for text, train in zip(b.column("text"), b.column("train").to_pylist(), strict=True):
                 (kept if train else rest).update(text_words(text.as_py()))
-                if len(kept) + len(rest) > CACHE:
+                if len(kept) + len(rest) > FLUSH:
                     yield flush()
         yield flush()
 
@@ -242,6 +242,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, o
     An empty table gives no rows; without training documents the vocabulary's own order scores alone.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out")).withColumn("train", ~F.col("held_out"))
     counts = cut(count_words(rows))
     ends = rows.agg(F.count_if("train")).first()[0]

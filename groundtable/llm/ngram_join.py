@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import hash_cache, hashes, mix, runs, sorted_groups, words
+from groundtable.llm.common import hash_cache, hashes, mix, runs, small_batches, sorted_groups, words
 from groundtable.llm.components import components
 from groundtable.session import cut
 
@@ -271,6 +271,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float =
     links. Repeated rows are copies of each other. Rows with a null doc_id take no part and come back with nulls.
     Other columns are ignored; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     rows = cut(signatures(docs.filter("doc_id is not null"), n))
     worded = rows.filter("copy is not null")
     classes = cut(worded.groupBy("copy").agg(F.min("row").alias("id"), F.min_by("doc_id", "row").alias("doc_id"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("values").alias("values")))

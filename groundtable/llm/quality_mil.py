@@ -21,7 +21,7 @@ from groundtable.llm.common import Adam, Cache, append_columns, bucket, hash_cac
 #: Words in a passage; documents with a score of at least CUT are predicted good.
 PASSAGE, CUT = 48, 0.7
 #: Words described at once.
-WORDS_AT_ONCE = 400_000
+WORDS_AT_ONCE = 150_000
 #: Character classes: upper case, lower case, digits, signs, marks of exclamation, other ASCII, beyond ASCII.
 CLASSES = np.full(256, 6, dtype=np.uint8)
 CLASSES[:128] = 5
