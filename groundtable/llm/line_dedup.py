@@ -18,19 +18,23 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from groundtable.llm.common import hash_cache, hashes, mix, runs, sorted_groups
+from groundtable.llm.common import hash_cache, hashes, mix, runs, small_batches, sorted_groups
 from groundtable.llm.ngram_join import pairs_within
-from groundtable.session import cut
+from groundtable.session import cut, release
 
 #: Slots of the tables by hash, and how many of them one row of a partial table has.
 SLOTS, SLICE = 1 << 22, 1 << 14
 #: Lines of a group in a chunk; candidates of a line that leave a pair of chunks.
 CHUNK, BEST = 8192, 4
-WORDS_AT_ONCE = 300_000
+#: The same for a line whose nearest candidate is hardly near enough; lines with more words than LONG have longer signatures.
+MANY, LONG = 256, 64
+WORDS_AT_ONCE = 200_000
 NEVER = np.iinfo(np.int64).max
 #: Counts in a byte: exact below 16, then eight steps for each doubling.
 EXACT, STEPS = 16, 8
@@ -175,8 +179,9 @@ def surveyed(docs: DataFrame, least: int) -> DataFrame:
 
 
 def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None) -> DataFrame:
-    """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line, shape (k and place), chunk (twice, plus 1 for two chunks),
-    and the set's signature. `cells`, a broadcast table of slots, leaves out all other cells."""
+    """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line (above 32 bits of the chunk, twice, plus 1 for two chunks),
+    shape (k and place), and the set's signature: 128 bits, and 128 more that are not yet folded into those if the line is long.
+    `cells`, a broadcast table of slots, leaves out all other cells."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, counts = hash_cache(), shipped.value
@@ -187,7 +192,7 @@ def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None)
                     out = _postings(x, doc[x.text], counts, threshold)
                     yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
 
-    return docs.select("doc", "text").mapInArrow(work, "cell int, id long, doc long, line long, shape long, chunk int, low long, high long")
+    return docs.select("doc", "text").mapInArrow(work, "cell int, id long, doc long, line long, shape long, low long, high long, wide binary")
 
 
 def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> pa.RecordBatch:
@@ -196,6 +201,8 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
     one = np.uint64(1) << (bit & np.uint64(63))
     upper = (bit >> np.uint64(6) & np.uint64(1)).astype(bool)
     low, high = (np.bitwise_xor.reduceat(np.where(side, one, np.uint64(0)), x.start[:-1]) for side in (~upper, upper))
+    second = (bit >> np.uint64(7) & np.uint64(1)).astype(bool)
+    wide = np.stack([np.bitwise_xor.reduceat(np.where(side & second, one, np.uint64(0)), x.start[:-1]) for side in (~upper, upper)], axis=1)
     # of lines with one set the earliest stands for all here
     order = np.lexsort((x.line, doc, x.id))
     alone = np.ones(len(order), dtype=bool)
@@ -218,14 +225,15 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
         other = mine
     a, b = np.minimum(mine, other), np.maximum(mine, other)
     cell = (mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    columns = [cell, x.id[owner], doc[owner], x.line[owner], k[owner] << 32 | place, (mine * 2 + (a != b)).astype(np.int32), low[owner].view(np.int64), high[owner].view(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "id", "doc", "line", "shape", "chunk", "low", "high"])
+    columns = [cell, x.id[owner], doc[owner], x.line[owner] << 32 | mine * 2 + (a != b), k[owner] << 32 | place, low[owner].view(np.int64), high[owner].view(np.int64)]
+    packed = [w.tobytes() if n > LONG else None for w, n in zip(wide, k.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(packed, pa.binary()).take(pa.array(owner))], names=["cell", "id", "doc", "line", "shape", "low", "high", "wide"])
 
 
 def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = None) -> DataFrame:
     """x, x_doc, y, y_doc, apart, more: earlier lines y that may be alike to x.
 
-    The BEST nearest by signature for each x and cell, and whether there were more; with `every` (a table of slots of ids)
+    The BEST nearest by signature for each x and cell (MANY, if even the nearest is hardly near enough) and whether there were more; with `every` (a table of slots of ids)
     all of them for the x whose slots are set, and none for others. A cell is a hash: two words that share one only add comparisons.
     """
     share = threshold / (1 + threshold)
@@ -234,14 +242,18 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shipped.value
         for t in sorted_groups(batches, "cell"):
-            order = np.lexsort(tuple(t.column(c).to_numpy() for c in ("line", "doc", "chunk", "shape", "id", "cell")))
-            c = {name: t.column(name).to_numpy()[order] for name in t.column_names}
+            c = {name: t.column(name).to_numpy() for name in t.column_names if name != "wide"}
+            c |= {"chunk": c["line"] & 0xFFFFFFFF, "line": c["line"] >> 32, "long": c["shape"] >> 32 > LONG}
+            more_bits = np.zeros((t.num_rows, 2), dtype=np.uint64)
+            more_bits[c["long"]] = np.frombuffer(b"".join(t.column("wide").drop_null().to_pylist()), np.uint64).reshape(-1, 2)
+            order = np.lexsort(tuple(c[name] for name in ("line", "doc", "chunk", "shape", "id", "cell")))
+            c, more_bits = {name: v[order] for name, v in c.items()}, more_bits[order]
             once = np.ones(len(order), dtype=bool)  # of lines with one set the earliest
             once[1:] = np.any([c[name][1:] != c[name][:-1] for name in ("cell", "id", "shape", "chunk")], axis=0)
-            c = {name: v[once] for name, v in c.items()}
+            c, more_bits = {name: v[once] for name, v in c.items()}, more_bits[once]
             k, place = c["shape"] >> 32, c["shape"] & 0xFFFFFFFF
             low, high = c["low"].view(np.uint64), c["high"].view(np.uint64)
-            xs, ys, far = [], [], []
+            xs, ys, far, near = [], [], [], []
             for a, b in pairs_within(c["cell"], c["chunk"] >> 1, (c["chunk"] & 1).astype(bool)):
                 both = k[a] + k[b]
                 least = np.ceil(share * both - 1e-9).astype(np.int64)
@@ -249,22 +261,29 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
                 a, b, both, least = a[on], b[on], both[on], least[on]
                 apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
                 on = np.flatnonzero((np.minimum(k[a], k[b]) >= least) & (apart <= both - 2 * least))
-                a, b, apart = a[on], b[on], apart[on]
+                a, b, apart, most = a[on], b[on], apart[on], (both - 2 * least)[on]
+                long = np.flatnonzero(c["long"][a] & c["long"][b])
+                differ, bits = more_bits[a[long]] ^ more_bits[b[long]], np.stack([low[a[long]] ^ low[b[long]], high[a[long]] ^ high[b[long]]], axis=1)
+                apart[long] = (np.bitwise_count(differ).astype(np.int64) + np.bitwise_count(differ ^ bits)).sum(axis=1)
+                on = np.flatnonzero(apart <= most)
+                a, b, apart, most = a[on], b[on], apart[on], most[on]
                 later = (c["doc"][a] > c["doc"][b]) | ((c["doc"][a] == c["doc"][b]) & ((c["line"][a] > c["line"][b]) | ((c["line"][a] == c["line"][b]) & (c["id"][a] > c["id"][b]))))
                 xs.append(np.where(later, a, b))
                 ys.append(np.where(later, b, a))
                 far.append(apart)
+                near.append(2 * apart <= most)
             if not xs:
                 continue
-            x, y, apart = np.concatenate(xs), np.concatenate(ys), np.concatenate(far)
+            x, y, apart, close = map(np.concatenate, (xs, ys, far, near))
             if wanted is not None:
                 on = wanted[slot_of(c["id"][x])]
-                x, y, apart = x[on], y[on], apart[on]
+                x, y, apart, close = x[on], y[on], apart[on], close[on]
             order = np.lexsort((y, apart, x))
-            x, y, apart = x[order], y[order], apart[order]
-            rank = np.arange(len(x)) - np.searchsorted(x, x)
-            more = np.searchsorted(x, x, "right") - np.searchsorted(x, x) > BEST
-            on = np.flatnonzero(rank < BEST) if wanted is None else np.arange(len(x))
+            x, y, apart, close = x[order], y[order], apart[order], close[order]
+            first = np.searchsorted(x, x)
+            kept = np.where(close[first], BEST, MANY)
+            rank, more = np.arange(len(x)) - first, np.searchsorted(x, x, "right") - first > kept
+            on = np.flatnonzero(rank < kept) if wanted is None else np.arange(len(x))
             x, y, apart, more = x[on], y[on], apart[on], more[on]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (c["id"][x], c["doc"][x], c["id"][y], c["doc"][y], apart, more)], names=["x", "x_doc", "y", "y_doc", "apart", "more"])
 
@@ -309,14 +328,18 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     line is alike; earlier is by doc_id (null last), then line number. An earlier line counts whether it stays or not.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("row", "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
     survey = cut(surveyed(docs, least))
     table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
     best = candidates(postings(docs, least, threshold, table), threshold)
     found = cut(best.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))
+    del best
     near = F.row_number().over(Window.partitionBy("x").orderBy("apart", "y"))
-    some = F.count(F.lit(1)).over(Window.partitionBy("x")) > 2 * BEST
-    ranked = found.withColumns({"rank": near, "more": F.max("more").over(Window.partitionBy("x")) | some}).filter(F.col("rank") <= 2 * BEST)
+    release(spark)
+    of_x = Window.partitionBy("x")
+    kept = F.when(F.min("apart").over(of_x) <= BEST, F.lit(2 * BEST)).otherwise(F.lit(2 * MANY))
+    ranked = found.withColumns({"rank": near, "kept": kept, "more": F.max("more").over(of_x) | (F.count(F.lit(1)).over(of_x) > kept)}).filter(F.col("rank") <= F.col("kept"))
     alike = cut(verify(docs, ranked, least, threshold))
     open_ = cut(ranked.filter("more").select("x").distinct().join(alike, "x", "left_anti"))
     if not open_.isEmpty():
@@ -354,12 +377,21 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> Data
     """
     kept = [c for c in docs.columns]
     mine = numbered(docs.select("doc_id", "text"))
-    removed = repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias("_row"), "removed")
-    joined = docs.withColumn("_row", F.monotonically_increasing_id()).join(removed, "_row", "left")
+    removed = cut(repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias("_row"), "removed"))
+    release(docs.sparkSession)
+    # texts that no slot marks lose nothing and need not move
+    some = docs.sparkSession.sparkContext.broadcast(marked(removed, "_row"))
+
+    @F.pandas_udf(BooleanType())
+    def touched(row: pd.Series) -> pd.Series:
+        return pd.Series(some.value[slot_of(row.to_numpy(dtype=np.int64))])
+
+    rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_touched", touched("_row"))
+    joined = rows.filter("_touched").join(removed, "_row", "left")
     joined = joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed")
     text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at("_lines", i + 1)), "\n"))
     out = joined.withColumn("text", text)
     if "n_chars" in kept:
         out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*kept)
+    return rows.filter("not _touched").select(*kept).union(out.select(*kept))
