@@ -58,7 +58,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals, quantile ranks and truncated totals for every length that occurs."""
     docs = table(spark, sf_dir, "documents").select("text")
     coded = bpe.encode(docs, TOKENIZER, length_only=True)
-    return token_lengths.suffix_sums(token_lengths.histogram(coded))
+    return token_lengths.suffix_sums(cut(token_lengths.histogram(coded)))
 
 
 def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
