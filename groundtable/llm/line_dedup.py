@@ -94,7 +94,7 @@ def marked(rows: DataFrame, column: str) -> np.ndarray:
     """Which slots the scrambled 64-bit values of a column fall into."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, dtype=np.int64)
+        counts = np.zeros(SLOTS, dtype=np.int32)
         for b in batches:
             counts[slot_of(b.column(column).to_numpy())] = 1
         yield partial_table(counts)
@@ -165,7 +165,7 @@ def surveyed(docs: DataFrame, least: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = hash_cache(), np.zeros(SLOTS, dtype=np.int64)
+        cache, counts = hash_cache(), np.zeros(SLOTS, dtype=np.int32)
         for b in batches:
             texts, doc, row = b.column("text").to_pylist(), b.column("doc").to_numpy(), b.column("row").to_numpy()
             yield batch(doc=doc, row=row, line=[t.count("\n") + 1 if t else 0 for t in texts])
