@@ -110,7 +110,7 @@ def sample_rows(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
         return each
 
     found = append_columns(sample, {"slots": T.ArrayType(T.IntegerType())}, make, drop=("text",)).toPandas().sort_values("doc_id", kind="stable")
-    return [np.asarray(x, dtype=np.int64) for x in found["slots"]], found["label"].to_numpy()
+    return [np.asarray(x, dtype=np.int32) for x in found["slots"]], found["label"].to_numpy()
 
 
 def fold(doc_id: Column) -> Column:
@@ -118,7 +118,7 @@ def fold(doc_id: Column) -> Column:
     return bucket(doc_id, 3) == 1
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 5000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> DataFrame:
     """`docs` with held_out boolean, score double (0 to 1), predicted int.
 
     Labels are learnt from at most `per_class` documents of each class. Null and empty texts score the bias
