@@ -2,7 +2,7 @@
 
 A document's terms are its words, in lower case and without punctuation at their ends, and the starts of
 longer words, hashed into a fixed number of slots. Each slot has a weight and a short vector; the score adds
-up the weights and the products of all pairs of vectors, so terms that matter only together (an insult and a
+up the weights and the products of all pairs of vectors, a document's terms having length 1 together, so terms that matter only together (an insult and a
 group) count together. The model is fitted on a bounded sample of labelled rows; texts are read whole.
 """
 
@@ -22,6 +22,8 @@ from groundtable.llm.common import Adam, Cache, append_columns, bucket, labelled
 SLOTS = 1 << 20
 #: Lengths of a longer word's starts that are terms of their own.
 STARTS = (4, 5, 6, 7, 8)
+#: Documents of the sample that a slot is in, to be kept.
+LEAST = 4
 EDGES = b".,;:!?\"'()[]{}|*#$%&<>-_/\\+=~`^@"
 #: Documents with a score of at least this are predicted toxic.
 CUT = 0.7
@@ -51,51 +53,45 @@ class Machine:
         for i, r in enumerate(rows):
             if len(r):
                 v = self.vectors[r]
-                out[i] += self.weights[r].sum() + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v * v).sum())
+                out[i] += self.weights[r].sum() / np.sqrt(len(r)) + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v * v).sum()) / len(r)
         return sigmoid(out)
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, odds: float, keep: int = 4096, rank: int = 6, epochs: int = 40, seed: int = 1) -> Machine:
+def train(rows: list[np.ndarray], labels: np.ndarray, odds: float, rank: int = 6, epochs: int = 40, seed: int = 1) -> Machine:
     """Fits a machine to documents given as sorted distinct slots.
 
-    Slots are kept if they tell the classes apart (chi-square, in at least 4 documents), the `keep` strongest.
+    Slots in at least 4 documents are kept, whatever they tell alone: a term may count only together with another.
     `odds`: of label 1 among all labelled rows; the sample's own odds may differ and are corrected in the bias.
     """
     rng, y, n = np.random.default_rng(seed), labels.astype(float), len(labels)
     prior = float(np.log(max(odds, 1e-6)))
     if n == 0 or y.min() == y.max():
         return Machine(np.zeros(0, np.int64), prior, np.zeros(0), np.zeros((0, rank)))
+    slots = np.flatnonzero(np.bincount(np.concatenate(rows), minlength=SLOTS) >= LEAST)
+    place = np.full(SLOTS, -1, dtype=np.int32)
+    place[slots] = np.arange(len(slots))
+    rows = [x[x >= 0] for x in (place[r] for r in rows)]
     sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows)
-    slots, at, df = np.unique(flat, return_inverse=True, return_counts=True)
-    pos = np.bincount(at, np.repeat(y, sizes), len(slots))
-    n1 = y.sum()
-    expected = df * n1 / n
-    chi = (pos - expected) ** 2 * (1 / np.maximum(expected, 1e-9) + 1 / np.maximum(df - expected, 1e-9)) * (df >= 4)
-    best = np.sort(np.argsort(-chi, kind="stable")[:keep])
-    best = best[chi[best] > 4]
-    place = np.full(len(slots), -1)
-    place[best] = np.arange(len(best))
-    kept, owner = place[at], np.repeat(np.arange(n), sizes)
-    owner, kept = owner[kept >= 0], kept[kept >= 0]
-    start = np.searchsorted(owner, np.arange(n + 1))
-    p = {"b": np.zeros(1), "w": np.zeros(len(best)), "v": rng.normal(0, 0.05, (len(best), rank))}
+    p = {"b": np.zeros(1), "w": np.zeros(len(slots), np.float32), "v": rng.normal(0, 0.05, (rank, len(slots))).astype(np.float32)}
     opt = Adam(p, 0.02)
     for _ in range(epochs):
         order = rng.permutation(n)
         for lo in range(0, n, 256):
             batch = order[lo : lo + 256]
-            ids = np.concatenate([kept[start[i] : start[i + 1]] for i in batch])
-            who = np.repeat(np.arange(len(batch)), start[batch + 1] - start[batch])
-            v = p["v"][ids]
-            total = np.stack([np.bincount(who, v[:, k], len(batch)) for k in range(rank)], axis=1)
-            z = p["b"][0] + np.bincount(who, p["w"][ids], len(batch)) + 0.5 * ((total**2).sum(axis=1) - np.bincount(who, (v * v).sum(axis=1), len(batch)))
+            ids, who = np.concatenate([rows[i] for i in batch]), np.repeat(np.arange(len(batch)), sizes[batch])
+            add = lambda x: np.bincount(who, x[ids], len(batch))  # noqa: B023, E731
+            back = lambda x: np.bincount(ids, x[who], len(slots))  # noqa: B023, E731
+            total = np.stack([add(v) for v in p["v"]])
+            two = 1 / np.maximum(sizes[batch], 1)
+            one = np.sqrt(two)
+            z = p["b"][0] + add(p["w"]) * one + 0.5 * ((total**2).sum(axis=0) - add((p["v"] ** 2).sum(axis=0))) * two
             g = (sigmoid(z) - y[batch]) / len(batch)
-            each = g[who][:, None] * (total[who] - v)
-            grads = {"b": np.array([g.sum()]), "w": np.bincount(ids, g[who], len(best)) + 1e-4 * p["w"], "v": np.stack([np.bincount(ids, each[:, k], len(best)) for k in range(rank)], axis=1) + 1e-3 * p["v"]}
-            opt.update(grads)
+            pair = g * two
+            v = np.stack([back(pair * t) for t in total]) - back(pair) * p["v"]
+            opt.update({"b": np.array([g.sum()]), "w": back(g * one) + 1e-5 * p["w"], "v": v + 1e-4 * p["v"]})
+    n1 = y.sum()
     bias = float(p["b"][0]) + prior - float(np.log(n1 / (n - n1)))
-    return Machine(slots[best], bias, p["w"], p["v"])
+    return Machine(slots, bias, p["w"], np.ascontiguousarray(p["v"].T))
 
 
 def sample_rows(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
@@ -131,11 +127,12 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> DataFram
 
     def make():
         m = shipped.value
-        place = {int(s): i for i, s in enumerate(m.slots)}
-        cache = Cache(lambda w: tuple(place[s] for s in terms(w) if s in place) or None)
+        place = np.full(SLOTS, -1, dtype=np.int32)
+        place[m.slots] = np.arange(len(m.slots))
+        cache = Cache(lambda w: tuple(i for i in place[list(terms(w))].tolist() if i >= 0))
 
         def each(b: pa.RecordBatch) -> list:
-            rows = [np.array(sorted({i for hit in set(filter(None, map(cache.__getitem__, words(t.as_py())))) for i in hit}), dtype=np.int64) for t in b.column("text")]
+            rows = [np.array(sorted({i for w in set(words(t.as_py())) for i in cache[w]}), dtype=np.int64) for t in b.column("text")]
             return [pa.array(m.scores(rows))]
 
         return each

@@ -114,3 +114,17 @@ def test_rules(spark, stored, odd_rows):
     none = quality_rules.apply(docs.select("doc_id", "text"), spark.createDataFrame([], LABELS)).filter(F.col("kept") == F.col("base_failed"))
     assert none.count() == 0
     assert quality_rules.apply(docs.limit(0).select("doc_id", "text"), spark.createDataFrame(labels, LABELS)).count() == 0
+
+
+def test_pairs_without_a_sign_of_their_own_are_learnt():
+    """As test_pairs_are_learnt, but all four terms have to be there and the pair has to be learnt."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.unique(np.concatenate([rng.integers(10, 400, 12), [1] if a else [2], [3] if b else [4]])))
+        labels.append(int(a == b))
+    m = toxicity_fm.train(rows[:2000], np.array(labels[:2000]), 1.0)
+    place = {int(s): i for i, s in enumerate(m.slots)}
+    assert {1, 2, 3, 4} <= set(place)
+    assert area(m.scores([np.array([place[int(i)] for i in r if int(i) in place], dtype=int) for r in rows[2000:]]), labels[2000:]) > 0.95
