@@ -95,18 +95,18 @@ def train(rows: list[np.ndarray], labels: np.ndarray, odds: float, rank: int = 6
 
 
 def sample_rows(sample: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """The sample's slots and labels, on the driver (the sample is bounded)."""
+    """The sample's slots, packed, and labels, on the driver (the sample is bounded)."""
 
     def make():
         cache = Cache(terms)
 
         def each(b: pa.RecordBatch) -> list:
-            return [pa.array([sorted({s for w in set(words(t.as_py())) for s in cache[w]}) for t in b.column("text")], pa.list_(pa.int32()))]
+            return [pa.array([np.array(sorted({s for w in set(words(t.as_py())) for s in cache[w]}), np.int32).tobytes() for t in b.column("text")], pa.binary())]
 
         return each
 
-    found = append_columns(sample, {"slots": T.ArrayType(T.IntegerType())}, make, drop=("text",)).toPandas().sort_values("doc_id", kind="stable")
-    return [np.asarray(x, dtype=np.int32) for x in found["slots"]], found["label"].to_numpy()
+    found = append_columns(sample, {"slots": T.BinaryType()}, make, drop=("text",)).toArrow().to_pandas().sort_values("doc_id", kind="stable")
+    return [np.frombuffer(x, np.int32) for x in found["slots"]], found["label"].to_numpy()
 
 
 def fold(doc_id: Column) -> Column:
@@ -114,7 +114,7 @@ def fold(doc_id: Column) -> Column:
     return bucket(doc_id, 3) == 1
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 2000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 5000) -> DataFrame:
     """`docs` with held_out boolean, score double (0 to 1), predicted int.
 
     Labels are learnt from at most `per_class` documents of each class. Null and empty texts score the bias

@@ -128,3 +128,12 @@ def test_pairs_without_a_sign_of_their_own_are_learnt():
     place = {int(s): i for i, s in enumerate(m.slots)}
     assert {1, 2, 3, 4} <= set(place)
     assert area(m.scores([np.array([place[int(i)] for i in r if int(i) in place], dtype=int) for r in rows[2000:]]), labels[2000:]) > 0.95
+
+
+def test_toxicity_learns_from_five_thousand_a_class(spark, stored, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity_fm, "labelled_sample", lambda docs, labels, label, held_out, per_class: seen.append(per_class) or (docs.select("doc_id", "text", F.lit(1).alias("label")), {1: 2}))
+    assert toxicity_fm.score(stored([(1, "b a b"), (2, "")]), spark.createDataFrame([(1, 1, 1)], LABELS)).count() == 2
+    assert seen == [5000]
+    rows, labels = toxicity_fm.sample_rows(stored([(1, "b a b"), (2, "")]).select("doc_id", "text", F.lit(1).alias("label")))
+    assert [r.tolist() for r in rows] == [sorted({*toxicity_fm.terms(b"a"), *toxicity_fm.terms(b"b")}), []] and labels.tolist() == [1, 1]
