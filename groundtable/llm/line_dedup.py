@@ -154,9 +154,14 @@ def _line_sets(text: list, line: list, found: list, sizes: list, least: int, cac
 SURVEYED = "id long, doc long, line long, row long, " + PARTIAL
 
 
-def surveyed(docs: DataFrame, least: int) -> DataFrame:
+def meets_others(k: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of k words can be alike to a set that is not equal: the nearest has one word more."""
+    return k >= threshold * (k + 1) - 1e-9
+
+
+def surveyed(docs: DataFrame, least: int, threshold: float) -> DataFrame:
     """One pass over all texts. Rows of three kinds, the other kinds' columns null: each line that takes part (id, doc, line, row), each text
-    (doc, row, and its number of lines as line), and the tasks' counts of words by slot."""
+    (doc, row, and its number of lines as line), and the tasks' counts of words by slot, over the lines that may be alike to one of another set."""
     names = ["id", "doc", "line", "row", "slice", "places", "counts"]
     kinds = [pa.int64()] * 5 + [pa.binary()] * 2
 
@@ -170,7 +175,8 @@ def surveyed(docs: DataFrame, least: int) -> DataFrame:
             texts, doc, row = b.column("text").to_pylist(), b.column("doc").to_numpy(), b.column("row").to_numpy()
             yield batch(doc=doc, row=row, line=[t.count("\n") + 1 if t else 0 for t in texts])
             for x in line_sets(texts, least, cache):
-                np.add.at(counts, slot(x.words), 1)
+                k = np.diff(x.start)
+                np.add.at(counts, slot(x.words[np.repeat(meets_others(k, threshold), k)]), 1)
                 yield batch(id=x.id, doc=doc[x.text], line=x.line, row=row[x.text])
         p = partial_table(counts)
         yield batch(**{c: p.column(c) for c in ("slice", "places", "counts")})
@@ -212,8 +218,8 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
     owner = np.repeat(np.arange(len(k)), k)
     place = np.arange(len(owner)) - x.start[owner]
     n = AT_MOST[counts[slot(x.words)]]
-    # a word that was counted once stands in no other line
-    prefix = stands[owner] & (place < k[owner] - np.ceil(threshold * k[owner] - 1e-9) + 1) & (n > 1)
+    # a word that was counted once stands in no other line; sets that only equal ones are alike to are found by id
+    prefix = (stands & meets_others(k, threshold))[owner] & (place < k[owner] - np.ceil(threshold * k[owner] - 1e-9) + 1) & (n > 1)
     owner, h, n, place = owner[prefix], x.words[prefix], n[prefix], place[prefix]
     chunks = -(-n // CHUNK)
     mine = (mix(x.id[owner].view(np.uint64)) % chunks.astype(np.uint64)).astype(np.int64)
@@ -330,7 +336,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("row", "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
-    survey = cut(surveyed(docs, least))
+    survey = cut(surveyed(docs, least, threshold))
     table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
     best = candidates(postings(docs, least, threshold, table), threshold)
     found = cut(best.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))

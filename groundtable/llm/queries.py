@@ -33,7 +33,7 @@ def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that go from every document."""
-    return line_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"), least=1)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

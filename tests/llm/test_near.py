@@ -135,6 +135,22 @@ def test_lines_by_another_way(stored, line_rows, monkeypatch):
     assert found == {line_rows[k][0]: v for k, v in expected.items()}
 
 
+def test_short_lines(spark, stored, line_rows, tmp_path):
+    """The query and the pipeline's stage take lines of any number of words."""
+    from groundtable.llm.queries import op4_line_dedup
+
+    short = ["read more", "read  more", "more", "a b c d", "a b c d e", "e d c b", "x x x x x x", "x", "p q r s t", "p q r s", "p q r u"]
+    rows = [*line_rows, *((1000 + i, "\n".join(short[i % 7 :] + ["", "own %d" % i])) for i in range(20))]
+    expected = removed_by_brute_force(rows, least=1)
+    docs = stored(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: list(r.removed) for r in op4_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {rows[k][0]: v for k, v in expected.items()}
+    texts = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, str(tmp_path)).collect()}
+    for k, (i, text, *_) in enumerate(rows):
+        assert texts[i] == (None if text is None else "\n".join(x for j, x in enumerate(text.split("\n")) if j not in expected[k]))
+
+
 def test_odd_lines(stored, odd_rows):
     docs = stored(odd_rows)
     assert line_dedup.deduplicate(docs).count() == len(odd_rows)
