@@ -14,6 +14,7 @@ candidates all fail though they had more are compared again, with all their cand
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ from pyspark.sql.types import BooleanType
 
 from groundtable.llm.common import hash_cache, hashes, mix, runs, small_batches, sorted_groups
 from groundtable.llm.ngram_join import pairs_within
-from groundtable.session import cut, release
+from groundtable.session import cut, release, shared_dir
 
 #: Slots of the tables by hash, and how many of them one row of a partial table has.
 SLOTS, SLICE = 1 << 22, 1 << 14
@@ -375,14 +376,19 @@ def report(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame
 
 
 def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
-    """`docs`, a scan of a table, with the lines removed from text that an earlier line is alike to.
+    """`docs` with the lines removed from text that an earlier line is alike to.
 
     All rows stay, also those that lose every line (their text is empty); null texts stay null. Repeated rows
     are texts like any other: the later one loses its lines. Other columns stay as they are, whatever their
     names; n_chars, if there, is the new text's length. An empty table gives no rows.
     """
     kept = [c for c in docs.columns]
-    mine = numbered(docs.select("doc_id", "text"))
+    # numbers of rows hold for one scan only: they are written with the rows, and all that follows reads them
+    path = f"{shared_dir(docs.sparkSession)}/lines-{uuid.uuid4()}"
+    stored = docs.withColumn("_row", F.monotonically_increasing_id())
+    stored.write.parquet(path)
+    stored = docs.sparkSession.read.schema(stored.schema).parquet(path)
+    mine = stored.select(F.col("_row").alias("row"), "doc_id", "text")
     removed = cut(repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias("_row"), "removed"))
     release(docs.sparkSession)
     # texts that no slot marks lose nothing and need not move
@@ -392,7 +398,7 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> Data
     def touched(row: pd.Series) -> pd.Series:
         return pd.Series(some.value[slot_of(row.to_numpy(dtype=np.int64))])
 
-    rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_touched", touched("_row"))
+    rows = stored.withColumn("_touched", touched("_row"))
     joined = rows.filter("_touched").join(removed, "_row", "left")
     joined = joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed")

@@ -151,6 +151,25 @@ def test_short_lines(spark, stored, line_rows, tmp_path):
         assert texts[i] == (None if text is None else "\n".join(x for j, x in enumerate(text.split("\n")) if j not in expected[k]))
 
 
+def test_rows_of_another_scan(spark, stored, monkeypatch):
+    """The rewrite finds its rows though the table is cut otherwise after the survey."""
+    docs = stored([(i, "one two three four five\nown line of %d is this" % i) for i in range(400)])
+    name, whole = "spark.sql.files.maxPartitionBytes", line_dedup.repeated_lines
+    before = spark.conf.get(name)
+
+    def then_cut_otherwise(*args):
+        found = line_dedup.cut(whole(*args))
+        spark.conf.set(name, "700")
+        return found
+
+    monkeypatch.setattr(line_dedup, "repeated_lines", then_cut_otherwise)
+    try:
+        texts = {r.doc_id: r.text for r in line_dedup.deduplicate(docs).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert all(("one two three" in t) == (i == 0) for i, t in texts.items()) and len(texts) == 400
+
+
 def test_odd_lines(stored, odd_rows):
     docs = stored(odd_rows)
     assert line_dedup.deduplicate(docs).count() == len(odd_rows)
