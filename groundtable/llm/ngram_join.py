@@ -223,7 +223,7 @@ def sets_of(docs: DataFrame, near: DataFrame, n: int) -> DataFrame:
     return found.dropDuplicates(["id"])
 
 
-def verified(held: DataFrame, groups: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+def verified(held: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     """a, b, docs: for each class with links in a pair of chunks how many documents it is linked to there, and an edge of a forest of the links."""
     cells = chunked(held, groups, "group", F.ceil(F.greatest(F.col("n") / COMPONENT_CHUNK, F.col("shingles") / SHINGLES)))
 
@@ -235,7 +235,6 @@ def verified(held: DataFrame, groups: DataFrame, threshold: float, tolerance: fl
                 t = whole.slice(lo, hi - lo)
                 ids, chunk, copies = (t.column(c).to_numpy() for c in ("id", "chunk", "copies"))
                 found = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
-                values = np.frombuffer(b"".join(t.column("values").to_pylist()), np.uint16).reshape(-1, HASHES)
                 cross = t.column("cross")[0].as_py()
                 left, right = (np.flatnonzero(chunk == chunk.min()), np.flatnonzero(chunk != chunk.min())) if cross else (np.arange(len(ids)),) * 2
                 if not len(left) or not len(right):
@@ -246,8 +245,7 @@ def verified(held: DataFrame, groups: DataFrame, threshold: float, tolerance: fl
                 if not cross:
                     np.fill_diagonal(alike, False)
                 i, j = np.nonzero(alike)
-                on = survivors(values, left[i], right[j], threshold, tolerance)
-                a, b = left[i[on]], right[j[on]]
+                a, b = left[i], right[j]
                 label = forest(len(ids), a, b)
                 docs = np.bincount(a, copies[b], len(ids))
                 if cross:
@@ -258,7 +256,7 @@ def verified(held: DataFrame, groups: DataFrame, threshold: float, tolerance: fl
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["a", "b", "docs"])
 
-    dealt = cells.select("cell", "id", "chunk", "cross", "copies", "values", "set").repartition("cell").sortWithinPartitions("cell")
+    dealt = cells.select("cell", "id", "chunk", "cross", "copies", "set").repartition("cell").sortWithinPartitions("cell")
     return dealt.mapInArrow(verify, "a long, b long, docs long")
 
 
@@ -279,7 +277,7 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float =
     roots = groups.select(F.col("root").alias("id"), F.col("root").alias("group")).distinct()
     near = cut(groups.select("id", F.col("root").alias("group")).union(roots).join(classes, "id"))
     sizes = near.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles"))
-    links = cut(verified(sets_of(docs, near.select("id", "group", "copies", "values", "copy", "doc_id"), n), sizes, threshold, tolerance))
+    links = cut(verified(sets_of(docs, near.select("id", "group", "copies", "values", "copy", "doc_id"), n), sizes, threshold))
     counted = links.groupBy(F.col("a").alias("id")).agg(F.sum("docs").alias("docs"))
     one = classes.select("copy", "id", "copies", "least").join(components(links.select("a", "b")), "id", "left").join(counted, "id", "left").withColumn("root", F.coalesce("root", "id"))
     leasts = one.groupBy("root").agg(F.min("least").alias("class_id"))

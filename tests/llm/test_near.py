@@ -82,6 +82,15 @@ def test_keep_one(spark, stored, near_rows):
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_proven_links_stay(spark):
+    """Sets that overlap enough are linked, whatever their MinHash values are."""
+    a, b = np.arange(100, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64)
+    rows = [(i, 1, 1, np.full(ngram_join.HASHES, i, np.uint16).tobytes(), s.tobytes()) for i, s in enumerate((a, b))]
+    held = spark.createDataFrame(rows, "id long, group long, copies long, values binary, set binary")
+    groups = spark.createDataFrame([(1, 2, 190)], "group long, n long, shingles long")
+    assert sorted((r.a, r.docs) for r in ngram_join.verified(held, groups, 0.8).collect()) == [(0, 1), (1, 1)]
+
+
 def test_posterior():
     assert ngram_join.least_matches(0.8, 1e-7)[0] > 4
     assert all(0.5 < m / n < 0.8 for m, n in zip(ngram_join.least_matches(0.8, 1e-7)[1:], (64, 96), strict=True)) or ngram_join.least_matches(0.8, 1e-7)[2] / 96 < 0.8
