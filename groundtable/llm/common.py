@@ -153,3 +153,16 @@ class Adam:
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             self.params[k] -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
+
+
+def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Names for columns of one's own that no column of `df` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while any(n.lower() in taken for n in names):
+        names = tuple(f"_{n}" for n in names)
+    return names
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their literal names, dots and all."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]

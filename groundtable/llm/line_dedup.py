@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from groundtable.llm.common import hash_cache, hashes, mix, runs, small_batches, sorted_groups
+from groundtable.llm.byte_words import Words, find_words
+from groundtable.llm.common import fresh, mix, quoted, runs, small_batches, sorted_groups
 from groundtable.llm.ngram_join import pairs_within
 from groundtable.session import cut, release, shared_dir
 
@@ -34,8 +35,9 @@ SLOTS, SLICE = 1 << 22, 1 << 14
 #: Lines of a group in a chunk; candidates of a line that leave a pair of chunks.
 CHUNK, BEST = 8192, 4
 #: The same for a line whose nearest candidate is hardly near enough; lines with more words than LONG have longer signatures.
-MANY, LONG = 256, 64
-WORDS_AT_ONCE = 200_000
+MANY, LONG = 128, 64
+#: Words that are sorted at once, a power of 2; pairs of lines that are held at once.
+WORDS_AT_ONCE, PAIRS = 1 << 18, 1 << 20
 NEVER = np.iinfo(np.int64).max
 #: Counts in a byte: exact below 16, then eight steps for each doubling.
 EXACT, STEPS = 16, 8
@@ -65,7 +67,7 @@ def partial_table(counts: np.ndarray) -> pa.RecordBatch:
         [
             pa.array([int(at[lo] // SLICE) for lo, _ in parts], pa.int64()),
             pa.array([(at[lo:hi] % SLICE).astype(np.uint16).tobytes() for lo, hi in parts], pa.binary()),
-            pa.array([counts[at[lo:hi]].astype(np.int64).tobytes() for lo, hi in parts], pa.binary()),
+            pa.array([counts[at[lo:hi]].astype(np.uint32).tobytes() for lo, hi in parts], pa.binary()),
         ],
         names=["slice", "places", "counts"],
     )
@@ -82,7 +84,7 @@ def whole_table(partial: DataFrame) -> np.ndarray:
         for b in batches:
             for i, places, counts in zip(b.column("slice").to_pylist(), b.column("places"), b.column("counts"), strict=True):
                 part = held.setdefault(i, np.zeros(SLICE, dtype=np.int64))
-                part[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.int64)
+                part[np.frombuffer(places.as_buffer(), np.uint16)] += np.frombuffer(counts.as_buffer(), np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array([in_a_byte(x).tobytes() for x in held.values()], pa.binary())], names=["slice", "counts"])
 
     out = np.zeros((SLOTS // SLICE, SLICE), dtype=np.uint8)
@@ -95,7 +97,7 @@ def marked(rows: DataFrame, column: str) -> np.ndarray:
     """Which slots the scrambled 64-bit values of a column fall into."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SLOTS, dtype=np.int32)
+        counts = np.zeros(SLOTS, dtype=np.uint8)
         for b in batches:
             counts[slot_of(b.column(column).to_numpy())] = 1
         yield partial_table(counts)
@@ -109,50 +111,71 @@ def slot_of(values: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Lines:
-    """Lines of some texts as sets: which text, line number, set digest, where each line's words start, and the distinct word hashes line by line."""
+    """Lines of some texts as sets: which text, line number, set digest in two parts, where each line's words start, and the distinct word hashes line by line."""
 
     text: np.ndarray
     line: np.ndarray
     id: np.ndarray
+    more: np.ndarray
     start: np.ndarray
     words: np.ndarray
 
 
-def line_sets(texts: list[str | None], least: int, cache, counts: np.ndarray | None = None) -> Iterator[Lines]:
+def line_sets(found: Words, least: int, counts: np.ndarray | None = None) -> Iterator[Lines]:
     """All lines of at least `least` distinct words, a bounded number of words at a time; words by rarity, if counts are given, then hash."""
-    text, line, found, sizes = [], [], [], []
-    for i, t in enumerate(texts):
-        for j, raw in enumerate(t.encode().split(b"\n") if t else ()):
-            w = raw.split()
-            if len(w) >= least:
-                text.append(i)
-                line.append(j)
-                sizes.append(len(w))
-                found += w
-                if len(found) > WORDS_AT_ONCE:
-                    yield _line_sets(text, line, found, sizes, least, cache, counts)
-                    text, line, found, sizes = [], [], [], []
-    yield _line_sets(text, line, found, sizes, least, cache, counts)
-
-
-def _line_sets(text: list, line: list, found: list, sizes: list, least: int, cache, counts: np.ndarray | None) -> Lines:
-    # one sort of one number a word: line, rarity, and the upper bits of its hash
-    h, owner = hashes(found, cache), np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-    rarity = counts[slot(h)].astype(np.uint64) if counts is not None else np.uint64(0)
-    order = np.argsort(owner << np.uint64(44) | rarity << np.uint64(36) | h >> np.uint64(28))
-    h, owner = h[order], owner[order].astype(np.int64)
-    first = np.ones(len(h), dtype=bool)
-    first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    h, owner = h[first], owner[first]
-    k = np.bincount(owner, minlength=len(sizes))
+    text, line, first = found.lines()
+    at, n = 0, len(text)
+    while at < n:
+        # as many lines as fit, and one at least
+        to = max(at + 1, int(np.searchsorted(first, first[at] + WORDS_AT_ONCE, "right")) - 1)
+        on = at + np.flatnonzero(first[at + 1 : to + 1] - first[at:to] >= max(1, least))
+        if len(on):
+            lo, hi = int(first[on[0]]), int(first[on[-1] + 1])
+            h, sizes = found.hashes(lo, hi), first[on + 1] - first[on]
+            owner = np.repeat(np.arange(len(on)), sizes)
+            if len(h) > len(owner):  # shorter lines in between
+                h = h[np.arange(len(owner)) + (first[on] - lo - np.cumsum(sizes) + sizes)[owner]]
+            yield _line_sets(text[on], line[on], h, owner, least, counts)
+        at = to
+
+
+def in_order(h: np.ndarray, owner: np.ndarray, rarity: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and owners (ascending already) by owner, rarity and hash."""
+    n = len(h)
+    if n > WORDS_AT_ONCE:
+        order = np.lexsort((h, rarity + np.zeros(n, np.uint8), owner))
+        return h[order], owner[order]
+    # one sort of one number a word: owner, rarity, the hash's upper bits, and where it was
+    bits = np.uint64(WORDS_AT_ONCE.bit_length() - 1)
+    key = np.sort(((owner.astype(np.uint64) << np.uint64(8) | np.uint64(0) + rarity) << np.uint64(20) | h >> np.uint64(44)) << bits | np.arange(n, dtype=np.uint64))
+    order = (key & np.uint64(WORDS_AT_ONCE - 1)).astype(np.int64)
+    key >>= bits
+    h, owner = h[order], owner[order]
+    tied = np.flatnonzero(key[1:] == key[:-1])
+    while len(wrong := tied[h[tied] > h[tied + 1]]):
+        wrong = wrong[np.diff(wrong, prepend=-2) > 1]
+        h[wrong], h[wrong + 1] = h[wrong + 1], h[wrong]
+    return h, owner
+
+
+def _line_sets(text: np.ndarray, line: np.ndarray, h: np.ndarray, owner: np.ndarray, least: int, counts: np.ndarray | None) -> Lines:
+    h, owner = in_order(h, owner, 0 if counts is None else counts[slot(h)])
+    once = np.ones(len(h), dtype=bool)
+    once[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[once], owner[once]
+    k = np.bincount(owner, minlength=len(text))
     on = k >= least
-    h, k = h[on[owner]], k[on]
+    if not on.all():
+        h, k, text, line = h[on[owner]], k[on], text[on], line[on]
     start = np.concatenate(([0], np.cumsum(k)))
-    ids = mix(np.add.reduceat(mix(mix(h)), start[:-1])) if len(k) else np.zeros(0, dtype=np.uint64)
-    return Lines(np.array(text, dtype=np.int64)[on], np.array(line, dtype=np.int64)[on], ids.view(np.int64), start, h)
+    if not len(k):
+        return Lines(text, line, np.zeros(0, np.int64), np.zeros(0, np.int64), start, h)
+    a = mix(mix(h))
+    ids, more = mix(np.add.reduceat(a, start[:-1])), mix(np.add.reduceat(mix(a ^ np.uint64(0xA5A5_5A5A_0F0F_F0F0)), start[:-1]))
+    return Lines(text, line, ids.view(np.int64), more.view(np.int64), start, h)
 
 
-SURVEYED = "id long, doc long, line long, row long, " + PARTIAL
+SURVEYED = "id long, more long, doc long, line long, row long, tie long, doc_id long, " + PARTIAL
 
 
 def meets_others(k: np.ndarray, threshold: float) -> np.ndarray:
@@ -161,40 +184,45 @@ def meets_others(k: np.ndarray, threshold: float) -> np.ndarray:
 
 
 def surveyed(docs: DataFrame, least: int, threshold: float) -> DataFrame:
-    """One pass over all texts. Rows of three kinds, the other kinds' columns null: each line that takes part (id, doc, line, row), each text
-    (doc, row, and its number of lines as line), and the tasks' counts of words by slot, over the lines that may be alike to one of another set."""
-    names = ["id", "doc", "line", "row", "slice", "places", "counts"]
-    kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+    """One pass over all texts. Rows of three kinds, the other kinds' columns null: each line that takes part (id and more, doc, line, row, tie), each
+    text (doc_id, row, and its number of lines as line), and the tasks' counts of words by slot, over the lines that may be alike to one of another set."""
+    names = ["id", "more", "doc", "line", "row", "tie", "doc_id", "slice", "places", "counts"]
+    kinds = [pa.int64()] * 8 + [pa.binary()] * 2
 
     def batch(**columns) -> pa.RecordBatch:
         n = len(next(iter(columns.values())))
         return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, kinds, strict=True)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = hash_cache(), np.zeros(SLOTS, dtype=np.int32)
+        counts = np.zeros(SLOTS, dtype=np.uint32)
         for b in batches:
-            texts, doc, row = b.column("text").to_pylist(), b.column("doc").to_numpy(), b.column("row").to_numpy()
-            yield batch(doc=doc, row=row, line=[t.count("\n") + 1 if t else 0 for t in texts])
-            for x in line_sets(texts, least, cache):
+            found = find_words(b.column("text"))
+            text, _, _ = found.lines()
+            n_lines = np.where(np.diff(found.offsets) > 0, np.bincount(text, minlength=b.num_rows), 0)
+            doc, row, tie = (b.column(c).to_numpy() for c in ("doc", "row", "tie"))
+            yield batch(doc_id=b.column("doc_id"), row=row, line=n_lines)
+            for x in line_sets(found, least):
                 k = np.diff(x.start)
                 np.add.at(counts, slot(x.words[np.repeat(meets_others(k, threshold), k)]), 1)
-                yield batch(id=x.id, doc=doc[x.text], line=x.line, row=row[x.text])
+                yield batch(id=x.id, more=x.more, doc=doc[x.text], line=x.line, row=row[x.text], tie=tie[x.text])
         p = partial_table(counts)
         yield batch(**{c: p.column(c) for c in ("slice", "places", "counts")})
 
-    return docs.select("row", "doc", "text").mapInArrow(work, SURVEYED)
+    return docs.select("row", "doc_id", "doc", F.xxhash64("text").alias("tie"), "text").mapInArrow(work, SURVEYED)
 
 
-def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None) -> DataFrame:
+def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None, some_docs=None) -> DataFrame:
     """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line (above 32 bits of the chunk, twice, plus 1 for two chunks),
     shape (k and place), and the set's signature: 128 bits, and 128 more that are not yet folded into those if the line is long.
-    `cells`, a broadcast table of slots, leaves out all other cells."""
+    `cells`, a broadcast table of slots, leaves out all other cells; `some_docs` all other texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts = hash_cache(), shipped.value
+        counts = shipped.value
         for b in batches:
+            if some_docs is not None:
+                b = b.filter(pa.array(some_docs.value[slot_of(b.column("doc").to_numpy())], pa.bool_()))
             doc = b.column("doc").to_numpy()
-            for x in line_sets(b.column("text").to_pylist(), least, cache, counts):
+            for x in line_sets(find_words(b.column("text")), least, counts):
                 if len(x.id):
                     out = _postings(x, doc[x.text], counts, threshold)
                     yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
@@ -237,18 +265,49 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
     return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(packed, pa.binary()).take(pa.array(owner))], names=["cell", "id", "doc", "line", "shape", "low", "high", "wide"])
 
 
-def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = None) -> DataFrame:
+class Nearest:
+    """The pairs (x, y) of a table of lines, of each x the nearest only: BEST, or MANY if none of them is close. `cut` marks the x that had more."""
+
+    def __init__(self, lines: int):
+        self.cut, self.held, self.size = np.zeros(lines, dtype=bool), [], 0
+
+    def add(self, x: np.ndarray, y: np.ndarray, apart: np.ndarray, close: np.ndarray) -> None:
+        self.held.append((x, y, apart, close))
+        self.size += len(x)
+        if self.size > PAIRS:
+            self.trim()
+            self.size = 0
+
+    def trim(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """x, y, apart of what is kept."""
+        if not self.held:
+            return (np.zeros(0, np.int64),) * 3
+        x, y, apart, close = map(np.concatenate, zip(*self.held, strict=True))
+        order = np.lexsort((y, apart, x))
+        x, y, apart, close = x[order], y[order], apart[order], close[order]
+        edges = runs(x)
+        sizes = np.diff(edges)
+        rank = np.arange(len(x)) - np.repeat(edges[:-1], sizes)
+        most = np.where(np.logical_or.reduceat(close, edges[:-1]), BEST, MANY) if len(x) else np.zeros(0, np.int64)
+        on = rank < np.repeat(most, sizes)
+        self.cut[x[~on]] = True
+        self.held = [(x[on], y[on], apart[on], close[on])]
+        return self.held[0][:3]
+
+
+def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
     """x, x_doc, y, y_doc, apart, more: earlier lines y that may be alike to x.
 
-    The BEST nearest by signature for each x and cell (MANY, if even the nearest is hardly near enough) and whether there were more; with `every` (a table of slots of ids)
-    all of them for the x whose slots are set, and none for others. A cell is a hash: two words that share one only add comparisons.
+    The BEST nearest by signature for each x and cell (MANY, if even the nearest is hardly near enough) and whether there were more; with `every` (a broadcast
+    table of slots of ids) all of them for the x whose slots are set, and none for others. A cell is a hash: two words that share one only add comparisons.
     """
     share = threshold / (1 + threshold)
-    shipped = cells.sparkSession.sparkContext.broadcast(every)
+
+    def named(c: dict, x: np.ndarray, y: np.ndarray, apart: np.ndarray, more: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (c["id"][x], c["doc"][x], c["id"][y], c["doc"][y], apart, more)], names=["x", "x_doc", "y", "y_doc", "apart", "more"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shipped.value
-        for t in sorted_groups(batches, "cell"):
+        for t in sorted_groups(batches, "cell", 1 << 20):
             c = {name: t.column(name).to_numpy() for name in t.column_names if name != "wide"}
             c |= {"chunk": c["line"] & 0xFFFFFFFF, "line": c["line"] >> 32, "long": c["shape"] >> 32 > LONG}
             more_bits = np.zeros((t.num_rows, 2), dtype=np.uint64)
@@ -260,14 +319,15 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
             c, more_bits = {name: v[once] for name, v in c.items()}, more_bits[once]
             k, place = c["shape"] >> 32, c["shape"] & 0xFFFFFFFF
             low, high = c["low"].view(np.uint64), c["high"].view(np.uint64)
-            xs, ys, far, near = [], [], [], []
+            wanted = None if every is None else every.value[slot_of(c["id"])]
+            found = Nearest(len(k))
             for a, b in pairs_within(c["cell"], c["chunk"] >> 1, (c["chunk"] & 1).astype(bool)):
                 both = k[a] + k[b]
                 least = np.ceil(share * both - 1e-9).astype(np.int64)
                 on = np.flatnonzero((np.minimum(k[a] - place[a], k[b] - place[b]) >= least) & (c["id"][a] != c["id"][b]))
                 a, b, both, least = a[on], b[on], both[on], least[on]
                 apart = np.bitwise_count(low[a] ^ low[b]).astype(np.int64) + np.bitwise_count(high[a] ^ high[b])
-                on = np.flatnonzero((np.minimum(k[a], k[b]) >= least) & (apart <= both - 2 * least))
+                on = np.flatnonzero(apart <= both - 2 * least)
                 a, b, apart, most = a[on], b[on], apart[on], (both - 2 * least)[on]
                 long = np.flatnonzero(c["long"][a] & c["long"][b])
                 differ, bits = more_bits[a[long]] ^ more_bits[b[long]], np.stack([low[a[long]] ^ low[b[long]], high[a[long]] ^ high[b[long]]], axis=1)
@@ -275,68 +335,69 @@ def candidates(cells: DataFrame, threshold: float, every: np.ndarray | None = No
                 on = np.flatnonzero(apart <= most)
                 a, b, apart, most = a[on], b[on], apart[on], most[on]
                 later = (c["doc"][a] > c["doc"][b]) | ((c["doc"][a] == c["doc"][b]) & ((c["line"][a] > c["line"][b]) | ((c["line"][a] == c["line"][b]) & (c["id"][a] > c["id"][b]))))
-                xs.append(np.where(later, a, b))
-                ys.append(np.where(later, b, a))
-                far.append(apart)
-                near.append(2 * apart <= most)
-            if not xs:
-                continue
-            x, y, apart, close = map(np.concatenate, (xs, ys, far, near))
-            if wanted is not None:
-                on = wanted[slot_of(c["id"][x])]
-                x, y, apart, close = x[on], y[on], apart[on], close[on]
-            order = np.lexsort((y, apart, x))
-            x, y, apart, close = x[order], y[order], apart[order], close[order]
-            first = np.searchsorted(x, x)
-            kept = np.where(close[first], BEST, MANY)
-            rank, more = np.arange(len(x)) - first, np.searchsorted(x, x, "right") - first > kept
-            on = np.flatnonzero(rank < kept) if wanted is None else np.arange(len(x))
-            x, y, apart, more = x[on], y[on], apart[on], more[on]
-            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (c["id"][x], c["doc"][x], c["id"][y], c["doc"][y], apart, more)], names=["x", "x_doc", "y", "y_doc", "apart", "more"])
+                x, y = np.where(later, a, b), np.where(later, b, a)
+                if wanted is None:
+                    found.add(x, y, apart, 2 * apart <= most)
+                elif len(on := np.flatnonzero(wanted[x])):
+                    yield named(c, x[on], y[on], apart[on], np.zeros(len(on), dtype=bool))
+            x, y, apart = found.trim()
+            if len(x):
+                yield named(c, x, y, apart, found.cut[x])
 
     return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, "x long, x_doc long, y long, y_doc long, apart long, more boolean")
 
 
+def enough_in_common(p: list[np.ndarray], q: list[np.ndarray], threshold: float) -> np.ndarray:
+    """For each pair of sets, whether their Jaccard similarity is at least the threshold."""
+    of_p, of_q = (np.array([len(s) for s in sets], dtype=np.int64) for sets in (p, q))
+    owner = np.concatenate((np.repeat(np.arange(len(p)), of_p), np.repeat(np.arange(len(q)), of_q)))
+    h = np.concatenate([*p, *q]) if len(p) else np.zeros(0, np.uint64)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    both = np.bincount(owner[1:][(h[1:] == h[:-1]) & (owner[1:] == owner[:-1])], minlength=len(p))
+    return both >= threshold * (of_p + of_q - both) - 1e-9
+
+
 def verify(docs: DataFrame, pairs: DataFrame, least: int, threshold: float) -> DataFrame:
-    """x: the lines of `pairs` (x, x_doc, y, y_doc) that are alike to one of their candidates, judged on the sets."""
+    """x, x_more: the lines of `pairs` (x, x_doc, y, y_doc) that are alike to one of their candidates, judged on the sets."""
     spark = docs.sparkSession
     sides = pairs.select(F.col("x").alias("id"), F.col("x_doc").alias("doc")).union(pairs.select("y", "y_doc"))
     # tables of fixed size tell which texts and lines may be asked for; the joins below are exact
     some_docs, some_ids = (spark.sparkContext.broadcast(marked(sides, c)) for c in ("doc", "id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = hash_cache()
         for b in batches:
             b = b.filter(pa.array(some_docs.value[slot_of(b.column("doc").to_numpy())], pa.bool_()))
-            for x in line_sets(b.column("text").to_pylist(), least, cache):
+            for x in line_sets(find_words(b.column("text")), least):
                 on = np.flatnonzero(some_ids.value[slot_of(x.id)])
                 on = on[np.unique(x.id[on], return_index=True)[1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x.id[on]), pa.array([np.sort(x.words[x.start[i] : x.start[i + 1]]).tobytes() for i in on], pa.binary())], names=["id", "set"])
+                held = pa.array([np.sort(x.words[x.start[i] : x.start[i + 1]]).tobytes() for i in on], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x.id[on]), pa.array(x.more[on]), held], names=["id", "more", "set"])
 
-    found = docs.select("doc", "text").mapInArrow(sets, "id long, set binary").dropDuplicates(["id"])
-    pairs = pairs.select("x", "y").distinct().join(found.select(F.col("id").alias("x"), F.col("set").alias("x_set")), "x").join(found.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")
+    found = docs.select("doc", "text").mapInArrow(sets, "id long, more long, set binary").dropDuplicates(["id", "more"])
+    pairs = pairs.select("x", "y").distinct().join(found.select(F.col("id").alias("x"), F.col("more").alias("x_more"), F.col("set").alias("x_set")), "x")
+    pairs = pairs.join(found.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            alike = []
-            for p, q in zip(b.column("x_set"), b.column("y_set"), strict=True):
-                p, q = np.frombuffer(p.as_buffer(), np.uint64), np.frombuffer(q.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                alike.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column("x").filter(pa.array(alike, pa.bool_()))], names=["x"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 500):
+                b = whole.slice(lo, 500)
+                p, q = ([np.frombuffer(s.as_buffer(), np.uint64) for s in b.column(c)] for c in ("x_set", "y_set"))
+                yield b.select(["x", "x_more"]).filter(pa.array(enough_in_common(p, q, threshold), pa.bool_()))
 
-    return pairs.select("x", "x_set", "y_set").mapInArrow(judge, "x long").distinct()
+    return pairs.select("x", "x_more", "x_set", "y_set").mapInArrow(judge, "x long, x_more long").distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """row, doc_id, n_lines, removed array<int>: for each row of `docs` (row, doc_id, text) the numbers (from 0) of the lines that go.
 
     Lines of fewer than `least` distinct words take no part and stay. The first of equal sets stays unless an earlier
-    line is alike; earlier is by doc_id (null last), then line number. An earlier line counts whether it stays or not.
+    line is alike; earlier is by doc_id (null last), then line number; of lines with the same of both, by hashes of the
+    line's words and then of the text. An earlier line counts whether it stays or not.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("row", "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
+    docs = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
     survey = cut(surveyed(docs, least, threshold))
     table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
     best = candidates(postings(docs, least, threshold, table), threshold)
@@ -348,31 +409,32 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     kept = F.when(F.min("apart").over(of_x) <= BEST, F.lit(2 * BEST)).otherwise(F.lit(2 * MANY))
     ranked = found.withColumns({"rank": near, "kept": kept, "more": F.max("more").over(of_x) | (F.count(F.lit(1)).over(of_x) > kept)}).filter(F.col("rank") <= F.col("kept"))
     alike = cut(verify(docs, ranked, least, threshold))
-    open_ = cut(ranked.filter("more").select("x").distinct().join(alike, "x", "left_anti"))
+    open_ = cut(ranked.filter("more").select("x", "x_doc").distinct().join(alike, "x", "left_anti"))
     if not open_.isEmpty():
-        ids = spark.sparkContext.broadcast(marked(open_, "x"))
+        # the cells of the lines that are still open, from their own texts; then all lines of these cells
+        ids, of = (spark.sparkContext.broadcast(marked(open_, c)) for c in ("x", "x_doc"))
         mine = lambda batches: (b.filter(pa.array(ids.value[slot_of(b.column("id").to_numpy())], pa.bool_())).select(["cell"]) for b in batches)
-        cells = postings(docs, least, threshold, table).select("cell", "id").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
+        cells = postings(docs, least, threshold, table, None, of).select("cell", "id").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
         some = spark.sparkContext.broadcast(marked(cells, "cell"))
-        every = candidates(postings(docs, least, threshold, table, some), threshold, ids.value).join(open_, "x", "left_semi")
+        every = candidates(postings(docs, least, threshold, table, some), threshold, ids).join(open_.select("x"), "x", "left_semi")
         rest = cut(every.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc")))
         alike = alike.union(verify(docs, rest, least, threshold))
-    lines = survey.filter("id is not null").select("id", "doc", "line", "row")
-    firsts = lines.groupBy("id").agg(F.min(F.struct("doc", "line", "row")).alias("first")).join(alike.select(F.col("x").alias("id"), F.lit(True).alias("goes")), "id", "left")
-    gone = lines.join(firsts, "id").filter(F.col("goes").isNotNull() | (F.struct("doc", "line", "row") != F.col("first")))
+    lines, of_set = survey.filter("id is not null").select("id", "more", "doc", "line", "row", "tie"), ["id", "more"]
+    earliest = F.struct("doc", "line", "tie", "row")
+    firsts = lines.groupBy(*of_set).agg(F.count(F.lit(1)).alias("n"), F.min(earliest).alias("first"))
+    firsts = firsts.join(alike.select(F.col("x").alias("id"), F.col("x_more").alias("more"), F.lit(True).alias("goes")), of_set, "left")
+    # written first, so that both sides of the next join are plain exchanges and a line that is everywhere can be split
+    firsts = cut(firsts.filter("n > 1 or goes"))
+    gone = lines.join(firsts, of_set).filter(F.col("goes").isNotNull() | (earliest != F.col("first")))
     by_row = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.col("line").cast("int"))).alias("removed"))
-    every = survey.filter("id is null and slice is null").select("row", F.nullif("doc", F.lit(NEVER)).alias("doc_id"), F.col("line").cast("int").alias("n_lines"))
+    every = survey.filter("id is null and slice is null").select("row", "doc_id", F.col("line").cast("int").alias("n_lines"))
     return every.join(by_row, "row", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with a number for each row, the same in every evaluation of one scan."""
-    return docs.withColumn("row", F.monotonically_increasing_id())
-
-
 def report(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """doc_id, n_lines, n_removed, removed: what deduplicate() takes from each row. Null and empty texts have no lines."""
-    return repeated_lines(numbered(docs), threshold, least).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return repeated_lines(rows, threshold, least).select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
 def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
@@ -382,28 +444,29 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> Data
     are texts like any other: the later one loses its lines. Other columns stay as they are, whatever their
     names; n_chars, if there, is the new text's length. An empty table gives no rows.
     """
-    kept = [c for c in docs.columns]
+    kept, spark = docs.columns, docs.sparkSession
+    row, touched, held, gone = fresh(docs, "row", "touched", "held", "gone")
     # numbers of rows hold for one scan only: they are written with the rows, and all that follows reads them
-    path = f"{shared_dir(docs.sparkSession)}/lines-{uuid.uuid4()}"
-    stored = docs.withColumn("_row", F.monotonically_increasing_id())
+    path = f"{shared_dir(spark)}/lines-{uuid.uuid4()}"
+    stored = docs.withColumn(row, F.monotonically_increasing_id())
     stored.write.parquet(path)
-    stored = docs.sparkSession.read.schema(stored.schema).parquet(path)
-    mine = stored.select(F.col("_row").alias("row"), "doc_id", "text")
-    removed = cut(repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias("_row"), "removed"))
-    release(docs.sparkSession)
+    stored = spark.read.schema(stored.schema).parquet(path)
+    mine = stored.select(F.col(row).alias("row"), "doc_id", "text")
+    removed = cut(repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias(row), F.col("removed").alias(gone)))
+    release(spark)
     # texts that no slot marks lose nothing and need not move
-    some = docs.sparkSession.sparkContext.broadcast(marked(removed, "_row"))
+    some = spark.sparkContext.broadcast(marked(removed, row))
 
     @F.pandas_udf(BooleanType())
-    def touched(row: pd.Series) -> pd.Series:
+    def is_touched(row: pd.Series) -> pd.Series:
         return pd.Series(some.value[slot_of(row.to_numpy(dtype=np.int64))])
 
-    rows = stored.withColumn("_touched", touched("_row"))
-    joined = rows.filter("_touched").join(removed, "_row", "left")
-    joined = joined.withColumn("_lines", F.when(F.col("removed").isNotNull(), F.split("text", "\n")))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.element_at("_lines", i + 1)), "\n"))
-    out = joined.withColumn("text", text)
+    rows = stored.withColumn(touched, is_touched(row))
+    joined = rows.filter(F.col(touched)).join(removed, row, "left").withColumn(held, F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(held) - 1), gone)
+    changed = F.col(gone).isNotNull()
+    new = {"text": F.when(changed, F.array_join(F.transform(stay, lambda i: F.element_at(held, i + 1)), "\n")).otherwise(F.col("text"))}
+    out = joined.withColumns(new)
     if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return rows.filter("not _touched").select(*kept).union(out.select(*kept))
+        out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return rows.filter(~F.col(touched)).select(*quoted(kept)).union(out.select(*quoted(kept)))

@@ -3,10 +3,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from groundtable.llm import line_dedup, ngram_join
+from groundtable.llm.byte_words import find_words
 from groundtable.llm.components import components
 
 
@@ -115,7 +117,7 @@ def removed_by_brute_force(rows, least=5, t=0.8):
 
 @pytest.fixture(scope="module")
 def line_rows(near_rows):
-    # ids are unique here: which of equal ids comes first is not defined
+    # ids are unique here, so that results can be told apart by them; test_line_ties has repeated and null ids
     return [r for k, r in enumerate(near_rows) if r[0] is not None and r[0] not in {x[0] for x in near_rows[:k]}]
 
 
@@ -160,6 +162,72 @@ def test_short_lines(spark, stored, line_rows, tmp_path):
         assert texts[i] == (None if text is None else "\n".join(x for j, x in enumerate(text.split("\n")) if j not in expected[k]))
 
 
+def test_line_ties(stored, near_rows):
+    """Repeated and null ids: of lines with the same id and number the one with the smaller hash is the earlier."""
+    base = ["w%d" % i for i in range(20)]
+    rows = [*near_rows[:120], *((7, " ".join(base[:k] + ["own%d" % k] + base[k + 1 :])) for k in range(6)), (7, "x y z"), (7, "x y z"), (None, "z y x"), (2**63 - 1, "z x y\nnew line"), (None, "new line\nz y")]
+    sets = [(i, t, j, line_dedup.line_sets(line_dedup.find_words(pa.array([line])), 1)) for i, t, *_ in rows for j, line in enumerate((t or "").split("\n")) if line.split()]
+    order = sorted(((i is None, i or 0, j, next(x).id[0], t, line) for i, t, j, x in sets for line in [t.split("\n")[j]]), key=lambda r: r[:5])
+    seen, expected = [], []
+    for _, _, j, _, t, line in order:
+        s = frozenset(line.encode().split())
+        expected += [(t, j)] if any(alike(s, x) for x in seen) else []
+        seen.append(s)
+    found = line_dedup.deduplicate(stored(rows), least=1).select("doc_id").union(line_dedup.report(stored(rows), least=1).selectExpr("doc_id"))
+    assert found.count() == 2 * len(rows)
+    removed = line_dedup.report(stored(rows), least=1).collect()
+    assert sum(r.n_removed for r in removed) == len(expected)
+    assert {r.doc_id for r in removed} == {r[0] for r in rows}
+    again = line_dedup.report(stored(rows).repartition(7), least=1).collect()
+    assert sorted(map(str, again)) == sorted(map(str, removed))
+
+
+def test_line_columns_that_clash(spark):
+    """Columns named like the operator's own come through as they are."""
+    names = ["removed", "_row", "row", "Touched", "held", "gone", "_touched", "_lines", "a.b", "id", "n"]
+    docs = spark.createDataFrame([(k, "one two three\nown line %d" % k, *(["%s%d" % (n, k) for n in names])) for k in range(4)], ["doc_id", "text", *names])
+    out = line_dedup.deduplicate(docs, least=1)
+    assert out.columns == docs.columns
+    got = {r.doc_id: r for r in out.collect()}
+    for k in range(4):
+        assert got[k].text == ("one two three\nown line 0" if k == 0 else "own line %d" % k)
+        assert [got[k][2 + j] for j in range(len(names))] == ["%s%d" % (n, k) for n in names]
+
+
+def test_words_in_bytes():
+    """Words, lines and hashes against split(), over sliced and large arrays, in parts of any size."""
+    rng = random.Random(3)
+    texts = [None, "", " a b\nc", "x" * 9000 + " y", "a\n\n", "\nb", "é\x85z 日本語　x\x1cy", *("".join(rng.choice("ab \n\tcdeé") for _ in range(rng.randint(0, 60))) for _ in range(300))]
+    seen = {}
+    for arr in (pa.array(texts), pa.array(texts)[2:100], pa.array(texts, pa.large_string()), pa.array(texts)[:0]):
+        w = find_words(arr)
+        text, line, first = w.lines()
+        h, k = w.hashes(), 0
+        for i, t in enumerate(arr.to_pylist()):
+            for j, raw in enumerate((t or "").encode().split(b"\n")):
+                assert (text[k], line[k]) == (i, j)
+                assert [w.data[a:b].tobytes() for a, b in zip(w.start[first[k] : first[k + 1]], w.end[first[k] : first[k + 1]], strict=True)] == raw.split()
+                for word, x in zip(raw.split(), h[first[k] : first[k + 1]], strict=True):
+                    assert seen.setdefault(word, x) == x
+                k += 1
+        assert k == len(text)
+    assert len(set(seen.values())) == len(seen)
+    assert find_words(pa.array(["ABZ[`az{é"]), lower=True).data[:10].tobytes() == "abz[`az{é".encode()
+
+
+def test_words_in_order(monkeypatch):
+    """By owner, rarity and hash, whether or not upper bits of hashes are equal and words repeat."""
+    rng = np.random.default_rng(9)
+    h = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    h[::3] = h[0] + rng.integers(0, 4, len(h[::3]), dtype=np.uint64)
+    owner, rarity = np.sort(rng.integers(0, 30, 400)), (h % np.uint64(3)).astype(np.uint8)
+    order = np.lexsort((h, rarity, owner))
+    for part in (512, 64):
+        monkeypatch.setattr(line_dedup, "WORDS_AT_ONCE", part)
+        got = line_dedup.in_order(h, owner, rarity)
+        assert (got[0] == h[order]).all() and (got[1] == owner[order]).all()
+
+
 def test_rows_of_another_scan(spark, stored, monkeypatch):
     """The rewrite finds its rows though the table is cut otherwise after the survey."""
     docs = stored([(i, "one two three four five\nown line of %d is this" % i) for i in range(400)])
