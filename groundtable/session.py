@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +56,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read again: for wide or repetitive rows, which a checkpoint would hold uncompressed."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop shuffle files that no living DataFrame needs; it acts when the driver collects its garbage."""
     gc.collect()
