@@ -14,7 +14,6 @@ candidates all fail though they had more are compared again, with all their cand
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +27,7 @@ from pyspark.sql.types import BooleanType
 from groundtable.llm.byte_words import Words, find_words
 from groundtable.llm.common import fresh, mix, quoted, runs, small_batches, sorted_groups
 from groundtable.llm.ngram_join import pairs_within
-from groundtable.session import cut, release, shared_dir
+from groundtable.session import cut, release, stored
 
 #: Slots of the tables by hash, and how many of them one row of a partial table has.
 SLOTS, SLICE = 1 << 22, 1 << 14
@@ -77,7 +76,7 @@ PARTIAL = "slice long, places binary, counts binary"
 
 
 def whole_table(partial: DataFrame) -> np.ndarray:
-    """Partial tables added up slice by slice, as bytes; one row of bounded size for each slice reaches the driver."""
+    """Partial tables added up slice by slice, as bytes; one row of bounded size for each slice reaches the driver, SLOTS bytes together."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -88,7 +87,7 @@ def whole_table(partial: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array([in_a_byte(x).tobytes() for x in held.values()], pa.binary())], names=["slice", "counts"])
 
     out = np.zeros((SLOTS // SLICE, SLICE), dtype=np.uint8)
-    for r in partial.repartition("slice").mapInArrow(add, "slice long, counts binary").toLocalIterator():
+    for r in partial.repartition("slice").mapInArrow(add, "slice long, counts binary").collect():
         out[r["slice"]] = np.frombuffer(r["counts"], np.uint8)
     return out.ravel()
 
@@ -337,7 +336,8 @@ def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
                 later = (c["doc"][a] > c["doc"][b]) | ((c["doc"][a] == c["doc"][b]) & ((c["line"][a] > c["line"][b]) | ((c["line"][a] == c["line"][b]) & (c["id"][a] > c["id"][b]))))
                 x, y = np.where(later, a, b), np.where(later, b, a)
                 if wanted is None:
-                    found.add(x, y, apart, 2 * apart <= most)
+                    # signatures that differ in more bits than that tell little: two sets of any kind differ in half of them
+                    found.add(x, y, apart, 2 * apart <= np.minimum(most, 64))
                 elif len(on := np.flatnonzero(wanted[x])):
                     yield named(c, x[on], y[on], apart[on], np.zeros(len(on), dtype=bool))
             x, y, apart = found.trim()
@@ -398,7 +398,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
-    survey = cut(surveyed(docs, least, threshold))
+    survey = stored(surveyed(docs, least, threshold), "lines")
     table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
     best = candidates(postings(docs, least, threshold, table), threshold)
     found = cut(best.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))
@@ -447,11 +447,8 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> Data
     kept, spark = docs.columns, docs.sparkSession
     row, touched, held, gone = fresh(docs, "row", "touched", "held", "gone")
     # numbers of rows hold for one scan only: they are written with the rows, and all that follows reads them
-    path = f"{shared_dir(spark)}/lines-{uuid.uuid4()}"
-    stored = docs.withColumn(row, F.monotonically_increasing_id())
-    stored.write.parquet(path)
-    stored = spark.read.schema(stored.schema).parquet(path)
-    mine = stored.select(F.col(row).alias("row"), "doc_id", "text")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    mine = rows.select(F.col(row).alias("row"), "doc_id", "text")
     removed = cut(repeated_lines(mine, threshold, least).filter(F.size("removed") > 0).select(F.col("row").alias(row), F.col("removed").alias(gone)))
     release(spark)
     # texts that no slot marks lose nothing and need not move
@@ -461,7 +458,7 @@ def deduplicate(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> Data
     def is_touched(row: pd.Series) -> pd.Series:
         return pd.Series(some.value[slot_of(row.to_numpy(dtype=np.int64))])
 
-    rows = stored.withColumn(touched, is_touched(row))
+    rows = rows.withColumn(touched, is_touched(row))
     joined = rows.filter(F.col(touched)).join(removed, row, "left").withColumn(held, F.when(F.col(gone).isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size(held) - 1), gone)
     changed = F.col(gone).isNotNull()
