@@ -39,8 +39,13 @@ SPACES = "\u0009-\u000d \u0085   -     　"
 PATTERN = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACES}\p{{L}}\p{{N}}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
-#: A space before other white space or at the end: cutting at that space would change the pre-tokens.
-ODD_SPACE = regex.compile(rf" (?:[{SPACES}]|\Z)")
+SPACE_CHARS = frozenset(c for c in map(chr, range(0x3001)) if regex.match(f"[{SPACES}]", c))
+#: Marks that end a pre-token of letters and are one themselves.
+STOPS = frozenset(".,;:!?")
+#: The first character after the Latin letters of old.
+LATIN_END = "\u0250"
+#: Bytes of words that are merged together; parts of texts whose ids are held, twice over.
+TOGETHER, HELD = 40, 200_000
 TWO = struct.Struct("<2I")
 BYTES = [bytes((b,)) for b in range(256)]
 
@@ -66,6 +71,7 @@ class Vocabulary:
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
             self.merges[ids[raw[a]], ids[raw[b]]] = (rank, ids[raw[a] + raw[b]])
         self.none = (len(self.merges), -1)
+        self.pairs = None
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.pieces = [b""] * (1 + max([*ids.values(), *self.special.values()]))
         for piece, i in ids.items():
@@ -115,6 +121,69 @@ class Vocabulary:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
+    def pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that merge as sorted numbers, their ranks and their ids."""
+        key = np.array([a << 32 | b for a, b in self.merges], dtype=np.int64)
+        rank, to = np.array(list(self.merges.values()), dtype=np.int64).reshape(-1, 2).T
+        order = np.argsort(key)
+        return key[order], rank[order], to[order]
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """merge() of many words, packed: words of about one length are merged in step, each by its own least pair."""
+        if self.pairs is None:
+            self.pairs = self.pair_table()
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(sizes > TOGETHER):
+            out[i] = np.array(self.merge(words[i]), dtype="<u4").tobytes()
+        order = np.argsort(sizes, kind="stable")
+        order = order[(sizes[order] > 0) & (sizes[order] <= TOGETHER)]
+        for lo in range(0, len(order), 4096):
+            part = order[lo : lo + 4096]
+            for i, ids in zip(part.tolist(), self._in_step([words[i] for i in part], sizes[part]), strict=True):
+                out[i] = ids
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of pairs (a number above all for none) and the ids they merge into."""
+        keys, rank, to = self.pairs
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        none = keys[at] != key
+        return np.where(none, self.none[0], rank[at]), to[at]
+
+    def _in_step(self, words: list[bytes], sizes: np.ndarray) -> Iterator[bytes]:
+        width = int(sizes.max())
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(-1, width)
+        ids = np.array(self.byte_ids, dtype=np.int64)[raw]
+        ids[np.arange(width) >= sizes[:, None]] = -1
+        ranks, into = self._ranks(ids[:, :-1], ids[:, 1:]) if width > 1 else (np.zeros((len(words), 0), np.int64),) * 2
+        done, live = ids.astype("<u4"), np.arange(len(words))
+        left = sizes.copy()
+        while len(live) and ranks.shape[1]:
+            at = ranks.argmin(axis=1)  # the leftmost of equal ones
+            row = np.arange(len(live))
+            on = ranks[row, at] < self.none[0]
+            if not on.all():
+                stop = ~on
+                done[live[stop], : ids.shape[1]] = ids[stop]
+                live, ids, ranks, into, at = live[on], ids[on], ranks[on], into[on], at[on]
+                row = np.arange(len(live))
+                if not len(live):
+                    break
+            ids[row, at] = into[row, at]
+            left[live] -= 1
+            width = ids.shape[1] - 1
+            ids = np.take_along_axis(ids, np.arange(width) + (np.arange(width) > at[:, None]), axis=1)
+            shift = np.arange(width - 1) + (np.arange(width - 1) >= at[:, None])
+            ranks, into = np.take_along_axis(ranks, shift, axis=1), np.take_along_axis(into, shift, axis=1)
+            for first in (at - 1, at):  # the two pairs that the new piece is in
+                some = np.flatnonzero((first >= 0) & (first < width - 1))
+                ranks[some, first[some]], into[some, first[some]] = self._ranks(ids[some, first[some]], ids[some, first[some] + 1])
+        if len(live):
+            done[live, : ids.shape[1]] = ids
+        return (r[:n].tobytes() for r, n in zip(done, left.tolist(), strict=True))
+
 
 class Transducer:
     """A minimal acyclic automaton over bytes whose paths add up to the number of a word.
@@ -179,6 +248,7 @@ class Transducer:
         self.final = self.first + 4 * (states + 1)
         self.arcs = self.final + 4 * states
         self.labels = self.arcs + 8 * arcs
+        self.keys = None
 
     def find(self, word: bytes) -> bytes | None:
         """The ids of a word, packed, or None."""
@@ -196,44 +266,144 @@ class Transducer:
         lo, hi = two(m, self.offsets + 4 * number)
         return m[self.ids + 4 * lo : self.ids + 4 * hi]
 
+    def find_all(self, words: list[bytes]) -> list[bytes | None]:
+        """find() of many words, a byte of each at a time."""
+        if self.keys is None:
+            first = np.frombuffer(self.map, "<u4", (self.final - self.first) // 4, self.first).astype(np.int64)
+            labels = np.frombuffer(self.map, np.uint8, int(first[-1]), self.labels)
+            self.keys = np.repeat(np.arange(len(first) - 1), np.diff(first)) << 8 | labels
+        arcs = np.frombuffer(self.map, "<u4", 2 * len(self.keys), self.arcs).reshape(-1, 2)
+        final = np.frombuffer(self.map, "<u4", (self.arcs - self.final) // 4, self.final)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        start, data = np.cumsum(size) - size, np.frombuffer(b"".join(words), np.uint8)
+        state, number = np.full(len(words), self.root, dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        on, step = np.flatnonzero(size > 0), 0
+        while len(on) and len(self.keys):
+            key = state[on] << 8 | data[start[on] + step]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            there = self.keys[at] == key
+            state[on[~there]] = -1
+            on, at = on[there], at[there]
+            state[on], number[on] = arcs[at, 0], number[on] + arcs[at, 1]
+            step += 1
+            on = on[size[on] > step]
+        if not len(self.keys):
+            state[size > 0] = -1
+        state[state >= 0] = np.where(final[state[state >= 0]] > 0, state[state >= 0], -1)
+        offsets = np.frombuffer(self.map, "<u4", (self.ids - self.offsets) // 4, self.offsets)
+        return [None if s < 0 else self.map[self.ids + 4 * int(offsets[n]) : self.ids + 4 * int(offsets[n + 1])] for s, n in zip(state.tolist(), number.tolist(), strict=True)]
+
+
+def pre_tokens(part: str, space: str = " ") -> list[str]:
+    """Pre-tokens of a part of a text with a space before it: PATTERN's, which need no search for ASCII letters with a stop at most."""
+    if part.isascii():
+        if part.isalpha():
+            return [space + part]
+        if part[-1:] in STOPS and part[:-1].isalpha():
+            return [space + part[:-1], part[-1]]
+    return PATTERN.findall(space + part)
+
+
+def cut_up(text: str) -> list[str] | None:
+    """A text's parts, each of which is encoded alone: what follows a space, and what follows a newline, with the newline. None if white space meets
+    white space in a way that pre-tokens would tell. The first part stands for itself."""
+    if "\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"):
+        return None
+    return text.replace("\n", " \n").split(" ")
+
+
+def pre_tokens(part: str) -> list[str] | None:
+    """Pre-tokens of a part that is not the first; None if it begins or ends with other white space, or is empty.
+
+    They are PATTERN's, which need no search for plain letters (ASCII or Latin) with a stop at most.
+    """
+    if part == "\n":
+        return ["\n"]
+    first, space, head = (part[1:], "", ["\n"]) if part[:1] == "\n" else (part, " ", [])
+    if not first or first[0] in SPACE_CHARS or first[-1] in SPACE_CHARS:
+        return None
+    if first.isascii() or max(first) < LATIN_END:
+        if first.isalpha():
+            return [*head, space + first]
+        if first[-1] in STOPS and first[:-1].isalpha():
+            return [*head, space + first[:-1], first[-1]]
+    return head + PATTERN.findall(space + first)
+
 
 class Encoder:
-    """Text to packed ids (little-endian unsigned 32-bit)."""
+    """Texts to packed ids (little-endian unsigned 32-bit).
+
+    A text is cut at its spaces and newlines. The parts are encoded once for a batch, the unknown ones together, and
+    held for later batches in bounded memory.
+    """
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Transducer | None = None):
         self.v, self.lexicon = vocabulary, lexicon
-        self.tokens = Cache(self.word, 150_000)
-        self.after_space = Cache(lambda part: self.split(" " + part))
+        self.tokens = Cache(self.word)
+        self.now, self.old = {}, {}
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
 
     def word(self, token: str) -> bytes:
         raw = token.encode()
         found = self.lexicon.find(raw) if self.lexicon else None
-        if found is None:
-            ids = self.v.merge(raw)
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+        return np.array(self.v.merge(raw), dtype="<u4").tobytes() if found is None else found
+
+    def words(self, tokens: list[str]) -> list[bytes]:
+        """word() of many: the lexicon's ids, and merges for those it lacks."""
+        raw = [t.encode() for t in tokens]
+        out = self.lexicon.find_all(raw) if self.lexicon else [None] * len(raw)
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self.v.merge_all([raw[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     def split(self, text: str) -> bytes:
         return b"".join(map(self.tokens.__getitem__, PATTERN.findall(text)))
 
-    def plain(self, text: str) -> bytes:
-        """A text without special tokens. Spaces before a word are always the start of a pre-token, so such parts are encoded once each."""
-        if ODD_SPACE.search(text):
-            return self.split(text)
-        start, *parts = text.split(" ")
-        return self.split(start) + b"".join(map(self.after_space.__getitem__, parts))
+    def know(self, parts: set[str]) -> dict[str, bytes | None]:
+        """The ids of parts; None for those without pre-tokens of their own."""
+        if len(self.now) > HELD:
+            self.now, self.old = {}, self.now
+        parts = parts - self.now.keys()
+        for p in parts & self.old.keys():
+            self.now[p] = self.old[p]
+        found = {p: pre_tokens(p) for p in parts - self.old.keys()}
+        tokens = list({t for x in found.values() if x for t in x})
+        ids = dict(zip(tokens, self.words(tokens), strict=True))
+        for p, x in found.items():
+            self.now[p] = None if x is None else ids[x[0]] if len(x) == 1 else b"".join(map(ids.__getitem__, x))
+        return self.now
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        plain, parts = {}, set()
+        for i, t in enumerate(texts):
+            if t and not any(s in t for s in self.v.special) and (found := cut_up(t)):
+                first = found[0]
+                if not first or not (first[0] in SPACE_CHARS or first[-1] in SPACE_CHARS):
+                    plain[i] = (first, found[1:])
+                    parts.update(plain[i][1])
+        known = self.know(parts)
+        out = [b""] * len(texts)
+        for i, t in enumerate(texts):
+            if i in plain:
+                first, rest = plain[i]
+                found = list(map(known.__getitem__, rest))
+                out[i] = self.split(t) if None in found else self.split(first) + b"".join(found)
+            elif t:
+                out[i] = self.encode(t)
+        return out
 
     def encode(self, text: str | None) -> bytes:
+        """One text, special tokens recognised."""
         if not text:
             return b""
         if not self.special or not self.special.search(text):
-            return self.plain(text)
+            return self.split(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += [self.plain(text[at : m.start()]), struct.pack("<I", self.v.special[m[0]])]
+            out += [self.encode(text[at : m.start()]), struct.pack("<I", self.v.special[m[0]])]
             at = m.end()
-        return b"".join([*out, self.plain(text[at:])])
+        return b"".join([*out, self.encode(text[at:])])
 
 
 @lru_cache(maxsize=1)
@@ -243,7 +413,7 @@ def kept_encoder(vocabulary: str, lexicon: str | None) -> Encoder:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word binary, n long: the pre-tokens of all whole texts and how often each comes."""
+    """word binary, n long: the pre-tokens of all whole texts and how often each comes; a text's first word counts as if a space came before it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: Counter = Counter()
@@ -251,7 +421,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             found: Counter = Counter()
             for part, n in parts.items():
-                for token in PATTERN.findall(part):
+                for token in pre_tokens(part) or PATTERN.findall(part):
                     found[token] += n
             parts.clear()
             return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in found], pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"])
@@ -259,12 +429,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for b in batches:
             for text in b.column(0):
                 if text := text.as_py():
-                    if ODD_SPACE.search(text):
-                        parts.update(PATTERN.findall(text))
-                    else:
-                        start, *rest = text.split(" ")
-                        parts[start] += 1
-                        parts.update(map(" ".__add__, rest))
+                    parts.update(text.replace("\n", " \n").split(" "))
                     if len(parts) > FLUSH:
                         yield flush()
         yield flush()
@@ -301,7 +466,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, decode:
         encoder = kept_encoder(SparkFiles.get(name), SparkFiles.get(lexicon) if lexicon else None)
 
         def each(b: pa.RecordBatch) -> list:
-            packed = [encoder.encode(t.as_py()) for t in b.column("text")]
+            packed = encoder.encode_all(b.column("text").to_pylist())
             out = [pa.array([len(x) // 4 for x in packed], pa.int64())]
             if not length_only:
                 out.append(pa.array(packed, pa.binary()))
