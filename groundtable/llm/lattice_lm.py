@@ -85,6 +85,8 @@ class Lattice:
             keys[at] = self.prefixes(codes)[:, -1] * np.uint64(64) + np.uint64(min(k, 63))
         self.ids = np.argsort(keys)
         self.keys = keys[self.ids]
+        self.maybe = np.zeros(1 << 20, dtype=bool)  # most strings are no piece, which their upper bits tell
+        self.maybe[keys >> np.uint64(44)] = True
 
     @staticmethod
     def prefixes(codes: np.ndarray) -> np.ndarray:
@@ -102,8 +104,12 @@ class Lattice:
         for k in range(1, min(self.longest, n) + 1):
             power = power * int(BASE) & 0xFFFFFFFFFFFFFFFF
             key = (h[:, k:] - h[:, :-k] * np.uint64(power)) * np.uint64(64) + np.uint64(min(k, 63))
+            found = np.full(key.shape, -1, dtype=np.int64)
+            some = np.nonzero(self.maybe[key >> np.uint64(44)])
+            key = key[some]
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out.append(np.where(self.keys[at] == key, self.ids[at], -1))
+            found[some] = np.where(self.keys[at] == key, self.ids[at], -1)
+            out.append(found)
         return out
 
     def spelled(self, codes: np.ndarray) -> np.ndarray:
@@ -233,12 +239,12 @@ def fit(counts: DataFrame, pieces: Pieces, rounds: int = 2) -> Pieces:
     return pieces
 
 
-def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, one_in: int = 250_000) -> DataFrame:
+def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, one_in: int = 250_000, whole_words: bool = True) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: log10 probabilities of every whole text.
 
     Tokens are words in lower case and one end for each text. base_score is the add-one unigram score from
     training counts; score is the lattice model's. Null texts are empty ones: only their end is scored.
-    Every row is scored for itself, repeated rows and null ids too (a null id counts as training).
+    Without `whole_words` only the subword paths count. Every row is scored for itself, repeated rows and null ids too (a null id counts as training).
     An empty table gives no rows; without training documents the vocabulary's own order scores alone.
     """
     spark = docs.sparkSession
@@ -261,9 +267,12 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, o
             paths, seen = np.zeros(b.num_rows), b.column("c").to_numpy()
             for part, codes in by_length(b.column("word").to_pylist()):
                 paths[part] = lattice.score(codes)
-            whole = np.full(b.num_rows, -np.inf)
-            np.log((seen - discount) / (n + 1), out=whole, where=seen > 0)
-            out = np.logaddexp(whole, paths + np.log((discount * v + 1) / (n + 1))) / np.log(10)
+            if whole_words:
+                whole = np.full(b.num_rows, -np.inf)
+                np.log((seen - discount) / (n + 1), out=whole, where=seen > 0)
+                out = np.logaddexp(whole, paths + np.log((discount * v + 1) / (n + 1))) / np.log(10)
+            else:
+                out = (paths + np.log((c + 1) / (n + 1))) / np.log(10)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out)], names=["word", "c", "c_all", "log_p"])
 
     scored = cut(counts.mapInArrow(by_word, "word binary, c long, c_all long, log_p double"))
@@ -277,32 +286,36 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, o
         index = {joined[e - k : e]: i for i, (e, k) in enumerate(zip(ends_at, sizes.tolist(), strict=True))}
         values = np.vstack([values, np.zeros((1, 3))]).astype(float)
         for b in batches:
-            key, row, times, tokens, sums = [], [], [], [], []
+            key, row, times, tokens, sums, own, at_row = [], [], [], [], [], [], 0
             for r, text in zip(b.column("row").to_pylist(), b.column("text"), strict=True):
                 found = text_words(text.as_py())
                 at = np.fromiter(map(index.get, found, repeat(-1)), np.int64, len(found))
                 rare = Counter(found[i] for i in np.flatnonzero(at < 0).tolist())
-                key += [b" %d" % r, *rare]  # no word holds a space
+                key += [b" %d" % r, *rare]  # no word holds a space; the row's own columns go with this one
+                own += [at_row, *repeat(None, len(rare))]
+                at_row += 1
                 row += [r] * (1 + len(rare))
                 times += [0, *rare.values()]
                 tokens += [len(found) + 1, *repeat(0, len(rare))]
                 sums.append(values[at].sum(axis=0))
                 sums += [np.zeros(3)] * len(rare)
             s = np.array(sums).reshape(-1, 3)
-            columns = [pa.array(key, pa.binary()), pa.array(row, pa.int64()), pa.array(times, pa.int64()), pa.array(tokens, pa.int64()), *(pa.array(s[:, i]) for i in range(3))]
-            yield pa.RecordBatch.from_arrays(columns, names=["word", "row", "times", "tokens", "known_sum", "base_sum", "log_sum"])
+            own = pa.array(own, pa.int64())
+            columns = [pa.array(key, pa.binary()), pa.array(row, pa.int64()), pa.array(times, pa.int64()), pa.array(tokens, pa.int64()), *(pa.array(s[:, i]) for i in range(3)), *(b.column(c).take(own) for c in ("doc_id", "held_out"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "row", "times", "tokens", "known_sum", "base_sum", "log_sum", "doc_id", "held_out"])
 
-    numbered = rows.withColumn("row", F.monotonically_increasing_id())
-    looked = numbered.select("row", "text").mapInArrow(per_text, "word binary, row long, times long, tokens long, known_sum double, base_sum double, log_sum double")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "text", "doc_id", "held_out")
+    looked = numbered.mapInArrow(per_text, f"word binary, row long, times long, tokens long, known_sum double, base_sum double, log_sum double, doc_id {kind}, held_out boolean")
     zero = F.lit(0.0)
     summed = looked.join(table, "word", "left").groupBy("row").agg(
-        F.sum("tokens").alias("n_tokens"),
+        F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("tokens").alias("n_tokens"),
         F.sum(F.col("known_sum") + F.coalesce(F.col("known") * F.col("times"), zero)).alias("known"),
         F.sum(F.col("base_sum") + F.coalesce(F.col("base") * F.col("times"), zero)).alias("base"),
         F.sum(F.col("log_sum") + F.coalesce(F.col("log_p") * F.col("times"), zero)).alias("log_p"),
     )
     end_base, end_score = float(np.log10((ends + 1) / below)), float(np.log10(max(ends, 0.01) / (n + 1)))
-    return numbered.select("row", "doc_id", "held_out").join(summed, "row").select(
+    return summed.select(
         "doc_id", "held_out", "n_tokens", (F.round("known").cast("long") + F.lit(int(ends > 0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + F.lit(end_base)).alias("base_score"), (F.col("log_p") + F.lit(end_score)).alias("score"),
     )

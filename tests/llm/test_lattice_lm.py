@@ -62,3 +62,41 @@ def test_score(spark, stored, odd_rows):
     seen = sum(10**r.score for r in rows if r.n_tokens == 1) / 3  # the empty text alone
     assert 0 < seen < 1
     assert lm.score(docs.limit(0), PATH, lm.fold(F.col("doc_id"))).count() == 0
+
+
+def test_score_of_texts(spark, stored):
+    """Every text's score from its words by sums over all segmentations, and the same with numbers of rows that no second scan has to repeat."""
+    from pyspark.sql import functions as F
+
+    texts = ["the cat sat", "the dog sat down", "zebra zebra the", "", "cats and the dogs", "the cat sat"]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = stored(rows)
+    for whole in (True, False):
+        got = {r.doc_id: r for r in lm.score(docs, PATH, F.col("doc_id") == 4, whole_words=whole).collect()}
+        counts = Counter(w for i, t in rows if i != 4 for w in t.encode().split())
+        c, v, ends = sum(counts.values()), len(counts), len(rows) - 1
+        n = c + ends
+        ones, twos = (sum(x == k for x in counts.values()) for k in (1, 2))
+        discount = min(0.9, max(0.1, ones / (ones + 2 * twos)))
+        pieces = lm.fit(spark.createDataFrame([(bytearray(w), k) for w, k in counts.items()], "word binary, c long"), lm.Pieces.load(PATH))
+        place = {t: i for i, t in enumerate(pieces.texts)}
+
+        def segmentations(word, pieces=pieces, place=place):
+            spelled = chr(lm.MARK) + word
+
+            def paths(i):
+                if i == len(spelled):
+                    return 1.0
+                total = sum(math.exp(pieces.logs[place[spelled[i:j]]]) * paths(j) for j in range(i + 1, len(spelled) + 1) if spelled[i:j] in place)
+                return total + (math.exp(sum(pieces.logs[len(place) + b] for b in spelled[i].encode())) * paths(i + 1) if i else 0.0)
+
+            return paths(0)
+
+        for i, t in rows:
+            want = math.log10(ends / (n + 1))
+            for w in t.split():
+                k = counts[w.encode()]
+                p = segmentations(w) * (discount * v + 1) / (n + 1) + max(0, k - discount) / (n + 1) * (k > 0) if whole else segmentations(w) * (c + 1) / (n + 1)
+                want += math.log10(p)
+            assert abs(got[i].score - want) < 1e-6
+            assert got[i].held_out == (i == 4)
