@@ -12,7 +12,7 @@ vectors of a block to one length; queries have 0 there.
 
 The table is dealt into blocks of about `block` vectors and `query_block` queries; each pair of blocks is
 one group. Blocks are joined on their numbers, so each vector goes once to each block of queries and each
-query once to each block of vectors.
+query once to each block of vectors. Of a small table the queries are dealt into more blocks, for `tiles` groups.
 """
 
 from __future__ import annotations
@@ -22,9 +22,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Directions, first half window (in deviations of a projection), growth of windows, threshold as a share of directions,
-#: share of a block to verify before widening ends.
-DIRECTIONS, HALF, GROWTH, THRESHOLD, VERIFY = 64, 0.7, 1.2, 0.65, 0.2
+#: Directions, first half window (in deviations of a projection), growth of windows, threshold as a share of directions.
+DIRECTIONS, HALF, GROWTH, THRESHOLD = 64, 0.7, 1.2, 0.65
+#: Vectors of a block of n that are verified before widening ends, besides those asked for: this many times the root of n.
+VERIFY = 14
+#: Queries that a tile has at least, where queries are dealt out for more tiles.
+LEAST_QUERIES = 64
 
 
 def usable(vector: Column) -> Column:
@@ -61,7 +64,7 @@ class Block:
         n = len(self.ids)
         at = np.append(query / np.sqrt((query**2).sum()), 0.0) @ self.a
         counts, seen = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
-        least, enough = max(1, int(THRESHOLD * DIRECTIONS)), k + 1 + int(VERIFY * n)
+        least, enough = max(1, int(THRESHOLD * DIRECTIONS)), k + 1 + int(VERIFY * n**0.5)
         lo = hi = np.array([np.searchsorted(s, x) for s, x in zip(self.sorted, at, strict=True)])
         half, found, scores = HALF, [], []
         while True:
@@ -92,7 +95,7 @@ class Block:
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 16384, query_block: int = 4096, seed: int = 7
+    vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 16384, query_block: int = 4096, tiles: int = 24, seed: int = 7
 ) -> DataFrame:
     """query_id, rank (from 1), <id_col>, score: the k rows of largest inner product found for each query row.
 
@@ -109,6 +112,7 @@ def nearest(
     )
     n, queries = vectors.agg(F.count(F.lit(1)), F.coalesce(F.sum(is_query.cast("int")), F.lit(0))).first()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-queries // query_block))
+    query_blocks = max(query_blocks, min(-(-tiles // blocks), -(-queries // LEAST_QUERIES)))  # small tables too give work to many tasks
     keys = ["dim", "block", "query_block"]
     index = rows.withColumns({"block": F.pmod(F.xxhash64("id"), F.lit(blocks)), "query_block": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))})
     asked = rows.filter("q").withColumns({"query_block": F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int"), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))})

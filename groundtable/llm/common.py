@@ -117,14 +117,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
     """text and label of at most `per_class` labelled documents of each class, and how many labelled ids each class has.
 
     `held_out` is a condition on doc_id; ids for which it is true or null never take part. Ids labelled more than
-    once count with their greatest label. Which ids are taken depends on the ids alone. The ids (at most
-    2 * per_class) are broadcast; texts are not moved unless they are taken.
+    once count with their greatest label, ids of several documents with the least text. Which ids are taken depends on
+    the ids alone. The ids (at most 2 * per_class) are broadcast; texts are not moved unless they are taken.
     """
     known = labels.filter(F.col(label).isin(0, 1) & ~F.coalesce(held_out, F.lit(True))).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     sizes = {int(r["label"]): r["count"] for r in known.groupBy("label").count().collect()}
     picked = [known.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     ids = picked[0].union(picked[1])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "label"), sizes
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")), sizes
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -14,7 +14,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Each round points every node's larger neighbours at its smallest one, then every node and its smaller
     neighbours at the smallest (large and small stars), so trees flatten in a number of rounds that grows with
     the logarithm of their size. Least neighbours come from partial aggregation, so a hub is one row a task.
-    Rounds are written to the shared folder; it ends when a round changes nothing.
+    Rounds are written to the shared folder; it ends when a round changes nothing. An answer that is not ready after `most_rounds` is an error.
     """
     now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
@@ -31,4 +31,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components still change after {most_rounds} rounds")
     return now.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("root"))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import SPACE
+from groundtable.llm.common import SPACE, quoted
 
 #: Hash slices of a (source, size); only the slice in which the quota ends is ordered.
 SLICES = 256
@@ -110,26 +110,28 @@ def quotas(counts: DataFrame, goals: DataFrame) -> DataFrame:
     return rows.groupBy("_source").applyInPandas(plan, "_source string, size long, copies long, extra long, source_size long, target double")
 
 
+ADDED = ("size", "source_size", "target", "taken")
+
+
 def mix(docs: DataFrame, seed: int = 42, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
     """`docs` with size, source_size, target (its source's) and taken: the words the mix takes of it, repeats counted.
 
     taken is 0, 1 or 2 times the size. Null texts have size 0 and are never taken; documents without a source are
     a source of their own, the last. Which documents of a size are taken depends on the seed, their ids and texts
     alone, so reruns agree; of equal rows any may be taken, which gives the same rows. Input columns named like the
-    added ones are replaced. An empty table gives no rows.
+    added ones are replaced, all others stay, whatever their names. An empty table gives no rows.
     """
-    added = ("size", "source_size", "target", "taken")
-    rows = docs.drop(*(c for c in docs.columns if c in added)).withColumns({
-        "size": size_in_words(F.col("text")),
-        "_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")),
-        "_draw": F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))),
-    })
-    return _select(rows, weights, share)
+    return mix_sizes(docs.drop(*ADDED).withColumn("size", size_in_words(F.col("text"))), seed, weights, share, F.xxhash64("text"))
 
 
-def mix_sizes(rows: DataFrame, seed: int = 42, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:
-    """mix() for rows that have doc_id, source and size already, without texts."""
-    return _select(rows.withColumns({"_source": F.coalesce(F.concat(F.lit("="), "source"), F.lit("")), "_draw": F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))}), weights, share)
+def mix_sizes(rows: DataFrame, seed: int = 42, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, tie: Column | None = None) -> DataFrame:
+    """mix() for rows that have doc_id, source and size already; `tie`, a hash of the text, tells rows of one id apart."""
+    own = [c for c in rows.columns if c.lower() not in ADDED]
+    named = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    draw = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(0).cast("long") if tie is None else tie)
+    # columns of the caller travel in one, so that no name of theirs meets one of these
+    rows = rows.select(F.struct(*quoted(own)).alias("doc"), "size", "source", named.alias("_source"), draw.alias("_draw"))
+    return _select(rows, weights, share).select("doc.*", *ADDED)
 
 
 def _select(rows: DataFrame, weights: tuple[int, ...], share: float) -> DataFrame:
@@ -142,7 +144,6 @@ def _select(rows: DataFrame, weights: tuple[int, ...], share: float) -> DataFram
     quota = sliced.join(quotas(counts, goals), ["_source", "size"]).select(
         "_source", "size", "_slice", "n", "copies", "source_size", "target", F.greatest(F.lit(0).cast("long"), F.col("extra") - before).alias("quota")
     )
-    order = F.row_number().over(Window.partitionBy("_source", "size", "_slice").orderBy("_draw", "doc_id"))
+    order = F.row_number().over(Window.partitionBy("_source", "size", "_slice").orderBy("_draw"))
     chosen = rows.join(quota, ["_source", "size", "_slice"]).withColumn("_rank", F.when(F.col("quota") <= 0, F.lit(1)).otherwise(order))
-    taken = F.col("size") * (F.col("copies") + (F.col("_rank") <= F.col("quota")).cast("long"))
-    return chosen.withColumn("taken", taken).drop("_source", "_slice", "_draw", "_rank", "n", "copies", "quota")
+    return chosen.withColumn("taken", F.col("size") * (F.col("copies") + (F.col("_rank") <= F.col("quota")).cast("long")))

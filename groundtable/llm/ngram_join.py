@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import hash_cache, hashes, mix, runs, small_batches, sorted_groups, words
+from groundtable.llm.common import SPACE, fresh, hash_cache, hashes, mix, quoted, runs, small_batches, sorted_groups, words
 from groundtable.llm.components import components
 from groundtable.session import cut
 
@@ -126,7 +126,7 @@ def forest(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray | None = None
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """row long, doc_id, copy binary (a digest of the set; null without words), size, values binary, for each row."""
+    """row long, doc_id, tie (a hash of the text), copy binary (a digest of the set; null without words), size, values binary, for each row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = hash_cache()
@@ -137,10 +137,10 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 copy.append(digest(s) if len(s) else None)
                 size.append(len(s))
                 values.append(min_hashes(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(values, pa.binary())], names=["row", "doc_id", "copy", "size", "values"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(values, pa.binary())], names=["row", "doc_id", "tie", "copy", "size", "values"])
 
-    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return named.mapInArrow(work, "row long, doc_id long, copy binary, size long, values binary")
+    named = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    return named.mapInArrow(work, "row long, doc_id long, tie long, copy binary, size long, values binary")
 
 
 def digest(s: np.ndarray) -> bytes:
@@ -260,15 +260,8 @@ def verified(held: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(verify, "a long, b long, docs long")
 
 
-def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, copy_id, class_id, n_links, for every row of `docs` (its doc_id and text).
-
-    copy_id: the least doc_id with the same set of shingles; class_id: the least doc_id that links lead to, step by
-    step; n_links: how many other rows have a similarity of `threshold` or more to this one, copies included. A text of fewer
-    than n words is one shingle of all its words; null, empty and blank texts have none, are alone and have no
-    links. Repeated rows are copies of each other. Rows with a null doc_id take no part and come back with nulls.
-    Other columns are ignored; an empty table gives no rows.
-    """
+def classified(docs: DataFrame, n: int, threshold: float, tolerance: float) -> DataFrame:
+    """doc_id, tie, root (of the class), copy_id, class_id, n_links for every row that has a doc_id; root is null for texts without words."""
     small_batches(docs.sparkSession)
     rows = cut(signatures(docs.filter("doc_id is not null"), n))
     worded = rows.filter("copy is not null")
@@ -281,22 +274,38 @@ def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float =
     counted = links.groupBy(F.col("a").alias("id")).agg(F.sum("docs").alias("docs"))
     one = classes.select("copy", "id", "copies", "least").join(components(links.select("a", "b")), "id", "left").join(counted, "id", "left").withColumn("root", F.coalesce("root", "id"))
     leasts = one.groupBy("root").agg(F.min("least").alias("class_id"))
-    final = one.join(leasts, "root").select("copy", F.col("least").alias("copy_id"), "class_id", (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    with_words = worded.select("doc_id", "copy").join(final, "copy").select("doc_id", "copy_id", "class_id", "n_links")
-    same = F.col("doc_id")
-    alone = rows.filter("copy is null").select("doc_id", same.alias("copy_id"), same.alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    final = one.join(leasts, "root").select("copy", "root", F.col("least").alias("copy_id"), "class_id", (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    with_words = worded.select("doc_id", "tie", "copy").join(final, "copy").select("doc_id", "tie", "root", "copy_id", "class_id", "n_links")
+    same, none = F.col("doc_id"), F.lit(None).cast("long")
+    alone = rows.filter("copy is null").select("doc_id", "tie", none.alias("root"), same.alias("copy_id"), same.alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return with_words.union(alone)
+
+
+def join(docs: DataFrame, n: int = 5, threshold: float = 0.8, tolerance: float = TOLERANCE) -> DataFrame:
+    """doc_id, copy_id, class_id, n_links, for every row of `docs` (its doc_id and text).
+
+    copy_id: the least doc_id with the same set of shingles; class_id: the least doc_id that links lead to, step by
+    step; n_links: how many other rows have a similarity of `threshold` or more to this one, copies included. A text of fewer
+    than n words is one shingle of all its words; null, empty and blank texts have none, are alone and have no
+    links. Repeated rows are copies of each other. Rows with a null doc_id take no part and come back with nulls.
+    Other columns are ignored; an empty table gives no rows.
+    """
     none = F.lit(None).cast("long")
-    nulls = docs.filter("doc_id is null").select(none.alias("doc_id"), none.alias("copy_id"), none.alias("class_id"), none.alias("n_links"))
-    return with_words.union(alone).union(nulls)
+    names = ["doc_id", "copy_id", "class_id", "n_links"]
+    return classified(docs.select("doc_id", "text"), n, threshold, tolerance).select(*names).union(docs.filter("doc_id is null").select(*(none.alias(c) for c in names)))
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8) -> DataFrame:
-    """`docs` with one document of each class: the row whose doc_id names the class.
+    """`docs` with one document of each class: a row whose doc_id names the class, the least by a hash of its text.
 
-    Of repeated rows one stays. Texts without words and rows with a null doc_id all stay. Columns stay as they are.
+    Of repeated rows one stays. Texts without words and rows with a null doc_id all stay. Columns stay as they are,
+    whatever their names.
     """
-    found = join(docs.select("doc_id", "text"), n, threshold)
-    named = found.filter("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
-    mine = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text": F.xxhash64("text")})
-    kept = mine.join(named, "_id", "left_semi").dropDuplicates(["_id", "_text"])
-    return kept.select(*docs.columns).union(docs.filter("doc_id is null"))
+    found = classified(docs.select("doc_id", "text"), n, threshold, TOLERANCE)
+    id_, tie = fresh(docs, "id", "tie")
+    first = found.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "tie")).alias("first"))
+    named = first.select(F.col("first.doc_id").alias(id_), F.col("first.tie").alias(tie)).distinct()
+    mine = docs.withColumns({id_: F.col("doc_id").cast("long"), tie: F.xxhash64("text")})
+    kept = mine.join(named, [id_, tie], "left_semi").dropDuplicates([id_, tie])
+    blank = docs.filter(F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(SPACE.replace("[", "[^", 1)), F.lit(False)))
+    return kept.select(*quoted(docs.columns)).union(blank.select(*quoted(docs.columns)))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from groundtable.llm.common import Adam, Cache, append_columns, bucket, hash_cache, hashes, labelled_sample, sigmoid, words
+from groundtable.session import cut
 
 #: Words in a passage; documents with a score of at least CUT are predicted good.
 PASSAGE, CUT = 48, 0.7
@@ -140,22 +141,26 @@ def train(x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, odds: float, hid
     return net
 
 
-def sample_passages(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, passages and labels of the sample, on the driver; of a longer text at most 64 passages, spread evenly, are learnt from."""
+def sample_passages(sample: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, passages and labels of the sample, on the driver: all passages of a text, of as many texts as have `most` together, half of them of each label."""
 
     def make():
         cache = hash_cache()
 
         def each(b: pa.RecordBatch) -> list:
             x, sizes = describe(b.column("text").to_pylist(), cache)
-            out = []
-            for end, n in zip(np.cumsum(sizes), sizes, strict=True):
-                out.append(x[end - n + np.unique(np.linspace(0, n - 1, min(n, 64)).astype(int))].astype(np.float32).tobytes())
-            return [pa.array(out, pa.binary())]
+            out = [x[end - n : end].astype(np.float32).tobytes() for end, n in zip(np.cumsum(sizes), sizes, strict=True)]
+            return [pa.array(out, pa.binary()), pa.array(sizes, pa.int64())]
 
         return each
 
-    found = append_columns(sample, {"passages": T.BinaryType()}, make, drop=("text",)).toPandas().sort_values("doc_id", kind="stable")
+    rows = cut(append_columns(sample, {"passages": T.BinaryType(), "n": T.LongType()}, make, drop=("text",)))
+    sizes = rows.select("doc_id", "label", "n").toPandas().sort_values(["label", "n", "doc_id"], kind="stable")
+    # where the bound is met, the longest texts are left out
+    few = sizes[sizes.groupby("label")["n"].cumsum() <= most // 2][["doc_id"]]
+    if len(few) < len(sizes):
+        rows = rows.join(F.broadcast(sample.sparkSession.createDataFrame(few, sample.select("doc_id").schema)), "doc_id", "left_semi")
+    found = rows.select("doc_id", "label", "passages").toPandas().sort_values("doc_id", kind="stable")
     rows = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in found["passages"]]
     x = np.concatenate(rows).astype(float) if rows else np.zeros((0, FEATURES))
     return x, np.array([len(r) for r in rows], dtype=np.int64), found["label"].to_numpy()
@@ -166,16 +171,16 @@ def fold(doc_id: Column) -> Column:
     return bucket(doc_id, 4) == 2
 
 
-def score(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, per_class: int = 3000, most_passages: int = 400_000) -> DataFrame:
     """`docs` with held_out boolean, score double (0 to 1, higher is better), predicted int.
 
-    Labels are learnt from at most `per_class` documents of each class; every passage of every text is encoded
-    for scoring. Null and empty texts are one empty passage. Rows are scored one by one, so repeated rows score
+    Labels are learnt from at most `per_class` documents of each class, all their passages, `most_passages` together; every
+    passage of every text is encoded for scoring. Null and empty texts are one empty passage. Rows are scored one by one, so repeated rows score
     alike; a null doc_id is not held out. Without labels of both classes all scores are one prior. Input columns named like
     the added ones are replaced; an empty table gives no rows.
     """
     sample, sizes = labelled_sample(docs, labels, "quality", fold(F.col("doc_id")), per_class)
-    model = train(*sample_passages(sample), odds=(sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5))
+    model = train(*sample_passages(sample, most_passages), odds=(sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

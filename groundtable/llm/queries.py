@@ -69,8 +69,8 @@ def op9_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
-    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_in_words(F.col("text")).alias("size"))
-    return mixing.mix_sizes(cut(sized)).select("doc_id", "size", "source_size", "target", "taken")
+    sized = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_in_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
+    return mixing.mix_sizes(cut(sized), tie=F.col("tie")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op4_line_dedup": op4_line_dedup, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}

@@ -1,10 +1,16 @@
 """Search against brute force."""
 
+import os
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from groundtable import session
 from groundtable.llm import ann
 
+DATA = "/root/testdata"
+
 
 def table(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, score string")
@@ -50,3 +56,16 @@ def test_odd_rows(spark):
     found = [(r.query_id, r["rank"], r.vec_id, r.score) for r in search(table(spark, [(i, v, 0, "s") for i, v in rows]))]
     assert found == [(0, 1, 40, 3.0), (0, 2, 1, 0.5), (0, 3, 2, 0.5), (40, 1, 0, 3.0), (40, 2, 1, 1.5), (40, 3, 2, 1.5)]
     assert search(table(spark, [])) == []
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="the driver's tables are not here")
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_on_the_tables(spark, scale):
+    """At least 0.9 of the true neighbours at every size."""
+    df = session.table(spark, f"{DATA}/{scale}", "embeddings")
+    rows = df.select("vec_id", "embedding").toPandas()
+    truth = brute(rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(float), 20)
+    found = {}
+    for r in search(df):
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sum(len(found[q] & {i for i, _ in best}) for q, best in truth.items()) >= 0.9 * sum(map(len, truth.values()))

@@ -78,12 +78,28 @@ def test_keep_one(spark, stored, near_rows):
     classes = {r.doc_id: r.class_id for r in ngram_join.join(docs).collect() if r.doc_id is not None}
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(i for i, c in classes.items() if i == c)
+    rows = kept.collect()
+    blank = [r for r in rows if r.doc_id is not None and not (r.text or "").encode().split()]
+    assert len(blank) == sum(1 for i, t, *_ in near_rows if i is not None and not (t or "").encode().split())
+    ids = [r.doc_id for r in rows if r.doc_id is None or r not in blank]
+    worded = {i for i, t, *_ in near_rows if i is not None and (t or "").encode().split()}
+    assert sorted(i for i in ids if i is not None) == sorted(i for i, c in classes.items() if i == c and i in worded)
     assert ids.count(None) == 2
     assert ngram_join.join(docs.limit(0)).count() == 0
 
 
+def test_keep_one_of_repeated_ids(spark):
+    """An id that stands for several texts: each class keeps one row, in any names of columns."""
+    long = " ".join("w%d" % i for i in range(60))
+    rows = [(4, long), (4, long + " end"), (2, long), (9, "quite another text of seven words here"), (9, "and one more that is not like it"), (9, None), (8, "  ")]
+    docs = spark.createDataFrame([(i, t, "a", "b", "c", "d") for i, t in rows], ["doc_id", "text", "_id", "id", "tie", "a.b"])
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted([(2, long), (8, "  "), (9, rows[3][1]), (9, rows[4][1]), (9, "")])
+    assert {tuple(r[2:]) for r in got} == {("a", "b", "c", "d")}
+
+
 def test_proven_links_stay(spark):
     """Sets that overlap enough are linked, whatever their MinHash values are."""
     a, b = np.arange(100, dtype=np.uint64), np.arange(10, 100, dtype=np.uint64)
@@ -94,8 +110,12 @@ def test_proven_links_stay(spark):
 
 
 def test_posterior():
-    assert ngram_join.least_matches(0.8, 1e-7)[0] > 4
-    assert all(0.5 < m / n < 0.8 for m, n in zip(ngram_join.least_matches(0.8, 1e-7)[1:], (64, 96), strict=True)) or ngram_join.least_matches(0.8, 1e-7)[2] / 96 < 0.8
+    """The fewest matches at which a pair goes on, against the binomial sum that the posterior's tail is."""
+    from math import comb
+
+    for n, least in zip((32, 64, 96), ngram_join.least_matches(0.8, 1e-7), strict=True):
+        tail = lambda m, n=n: sum(comb(n + 1, k) * 0.8**k * 0.2 ** (n + 1 - k) for k in range(m + 1))
+        assert tail(least) >= 1e-7 > tail(least - 1)
     s = np.arange(1, 2000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     a, b = ngram_join.min_hashes(s[:1000]), ngram_join.min_hashes(s[100:1100])
     assert abs((a == b).mean() - 900 / 1100) < 0.15
