@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtable.llm import bpe, line_dedup, mixing, ngram_join, quality_mil
+from groundtable.llm.common import fresh, quoted
 from groundtable.llm.queries import TOKENIZER
 from groundtable.session import shared_dir, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts good."""
-    return quality_mil.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*docs.columns)
+    return quality_mil.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*quoted(docs.columns))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +34,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    mixed = mixing.mix(docs).filter("taken > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))).select(*docs.columns)
+    mixed, (copy,) = mixing.mix(docs).filter("taken > 0"), fresh(docs, "copy")
+    return mixed.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))).select(*quoted(docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
