@@ -45,7 +45,7 @@ STOPS = frozenset(".,;:!?")
 #: The first character after the Latin letters of old.
 LATIN_END = "\u0250"
 #: Bytes of words that are merged together; parts of texts whose ids are held, twice over.
-TOGETHER, HELD = 40, 200_000
+TOGETHER, HELD = 40, 50_000
 TWO = struct.Struct("<2I")
 BYTES = [bytes((b,)) for b in range(256)]
 

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 #: What separates words, as a Java and Python character class.
 SPACE = r"[\x20\x09-\x0D]"
 #: Entries that a worker's cache holds before they become the old ones; distinct words that a task counts before it passes them on.
-CACHE, FLUSH = 100_000, 250_000
+CACHE, FLUSH = 50_000, 150_000
 #: Rows in a batch between Spark and Python: texts may be long.
-BATCH_ROWS = 2_000
+BATCH_ROWS = 1_000
 
 
 def words(text: str | None) -> list[bytes]:

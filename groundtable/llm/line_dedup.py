@@ -36,7 +36,7 @@ CHUNK, BEST = 8192, 4
 #: The same for a line whose nearest candidate is hardly near enough; lines with more words than LONG have longer signatures.
 MANY, LONG = 128, 64
 #: Words that are sorted at once, a power of 2; pairs of lines that are held at once.
-WORDS_AT_ONCE, PAIRS = 1 << 18, 1 << 20
+WORDS_AT_ONCE, PAIRS = 1 << 18, 1 << 18
 NEVER = np.iinfo(np.int64).max
 #: Counts in a byte: exact below 16, then eight steps for each doubling.
 EXACT, STEPS = 16, 8

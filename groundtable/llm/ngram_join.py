@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundtable.llm.common import SPACE, fresh, hash_cache, hashes, mix, quoted, runs, small_batches, sorted_groups, words
+from groundtable.llm.byte_words import find_words
+from groundtable.llm.common import SPACE, fresh, mix, quoted, runs, small_batches, sorted_groups
 from groundtable.llm.components import components
 from groundtable.session import cut
 
@@ -37,9 +38,14 @@ MULTIPLIERS = np.random.default_rng(20).integers(1, 1 << 63, HASHES, dtype=np.ui
 SHIFTS = np.random.default_rng(21).integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def shingles(text: str | None, n: int, cache) -> np.ndarray:
-    """Sorted distinct hashes of all runs of n words; a text of fewer words is one shingle, one without words has none."""
-    h = hashes(words(text), cache)
+def shingles(texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of all runs of n words; a text of fewer words is one shingle, one without words has none."""
+    found = find_words(texts)
+    h, first = found.hashes(), found.first()
+    return (text_shingles(h[lo:hi], n) for lo, hi in zip(first[:-1], first[1:], strict=True))
+
+
+def text_shingles(h: np.ndarray, n: int) -> np.ndarray:
     if not len(h):
         return h
     n = min(n, len(h))
@@ -129,11 +135,9 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     """row long, doc_id, tie (a hash of the text), copy binary (a digest of the set; null without words), size, values binary, for each row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = hash_cache()
         for b in batches:
             copy, size, values = [], [], []
-            for text in b.column("text"):
-                s = shingles(text.as_py(), n, cache)
+            for s in shingles(b.column("text"), n):
                 copy.append(digest(s) if len(s) else None)
                 size.append(len(s))
                 values.append(min_hashes(s).tobytes() if len(s) else None)
@@ -210,9 +214,8 @@ def sets_of(docs: DataFrame, near: DataFrame, n: int) -> DataFrame:
     """The classes of `near` with their sets: id, group, copies, values, set binary."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = hash_cache()
         for b in batches:
-            s = [shingles(t.as_py(), n, cache) for t in b.column("text")]
+            s = list(shingles(b.column("text"), n))
             # a doc_id may stand for several texts: only the class's own counts
             own = pa.array([digest(x) == c for x, c in zip(s, b.column("copy").to_pylist(), strict=True)], pa.bool_())
             columns = [*(b.column(c) for c in ("id", "group", "copies", "values")), pa.array([x.tobytes() for x in s], pa.binary())]
