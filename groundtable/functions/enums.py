@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from groundtable.functions.text import clean_constant, fold_letters
+from groundtable.functions.text import clean_constant, fold_letters, let
 
 # For each field its values, in the order in which they are tried, with the phrases that mean them.
 GLOSSARIES = {
@@ -44,14 +44,17 @@ PROPERTY_TYPES = {
 
 def match_enum(text: Column, glossary: dict[str, list[str]]) -> Column:
     """The first value, in the glossary's order, of which a phrase stands anywhere in the text; expects composed text."""
-    t, out = fold_letters(F.lower(text)), None
-    for value, phrases in glossary.items():
-        cleaned = list(dict.fromkeys(clean_constant(p) for p in phrases))
-        hit = t.contains(cleaned[0])
-        for p in cleaned[1:]:
-            hit = hit | t.contains(p)
-        out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
-    return out
+
+    def first(t: Column) -> Column:
+        out = None
+        for value, phrases in glossary.items():
+            hit = F.lit(False)
+            for p in dict.fromkeys(clean_constant(p) for p in phrases):
+                hit = hit | t.contains(p)
+            out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
+        return out
+
+    return let(fold_letters(F.lower(text)), first)
 
 
 def canon_enum(field: str, text: Column) -> Column:

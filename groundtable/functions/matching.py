@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from groundtable.functions.text import fold_letters
+from groundtable.functions.text import clean_arabic, fold_letters
 
 TOLERANCE, JACCARD = 0.05, 0.5
 
@@ -21,8 +21,8 @@ def numeric_match(gold: Column, pred: Column) -> Column:
 
 
 def text_match(gold: Column, pred: Column) -> Column:
-    """Equal once trimmed, lower-cased and folded; expects composed text."""
-    return F.coalesce(fold_letters(F.lower(F.trim(gold))) == fold_letters(F.lower(F.trim(pred))), F.lit(False))
+    """Equal once trimmed, lower-cased, composed and folded."""
+    return F.coalesce(clean_arabic(F.lower(F.trim(gold))) == clean_arabic(F.lower(F.trim(pred))), F.lit(False))
 
 
 def split_list(text: Column) -> Column:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from groundtable.functions.text import ascii_digits, clean_constant, fold_letters
+from groundtable.functions.text import ascii_digits, clean_constant, fold_letters, let
 
 # Multipliers and spelled-out numbers, in the order in which they are tried.
 MULTIPLIERS = {"مليون": 1e6, "مليار": 1e9, "الف": 1e3, "ألف": 1e3, "m": 1e6, "mn": 1e6, "million": 1e6, "k": 1e3, "thousand": 1e3}
@@ -35,11 +33,6 @@ def lookup(key: Column, values: dict) -> Column:
     return F.try_element_at(F.create_map(*pairs), key)
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value evaluated once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def parse_number(text: Column, faithful: bool = True) -> Column:
     """A number from text that is composed already: a word multiplier, with a half or quarter; a spelled-out number with one;
     digits with a suffix.

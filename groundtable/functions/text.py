@@ -6,7 +6,9 @@ here that Spark lacks: it runs in Arrow batches, once a row, and the rest works
 
 from __future__ import annotations
 
+import string
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,6 +23,7 @@ TATWEEL = "ـ"
 DIACRITICS = "[ً-ٰٟۖ-ۭ]"
 LETTERS, PLAIN_LETTERS = "إأآةى", "اااهي"
 ARABIC_BLOCK = "[؀-ۿ]"
+LATIN = string.ascii_letters
 #: Words that wrap a compound's name (fixed values).
 COMPOUND_WORDS = r"(?iU)\b(?:compound|project)\b|كومباوند|كمبوند|كمباوند|مشروع"
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&middot;": "·", "&copy;": "©"}
@@ -28,6 +31,11 @@ ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'"
 MIXED_ABOVE = 0.15
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 @F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode compatibility composition; null stays null."""
@@ -67,15 +75,15 @@ def detect_language(text: Column) -> Column:
 
     The whole Arabic block counts, its digits and marks too. A minority of exactly the limit is not mixed.
     """
-    arabic = F.regexp_count(text, F.lit(ARABIC_BLOCK))
-    latin = F.regexp_count(text, F.lit("[A-Za-z]"))
-    total = arabic + latin
-    return (
-        F.when(total == 0, F.lit(None).cast("string"))
-        .when((F.least(arabic, latin) > 0) & (F.least(arabic, latin) / total > MIXED_ABOVE), "mixed")
-        .when(arabic >= latin, "ar")
-        .otherwise(F.when(latin > arabic, "en"))
-    )
+
+    def named(n: Column) -> Column:
+        arabic, latin = n["arabic"], n["latin"]
+        few, total = F.least(arabic, latin), arabic + latin
+        return F.when(total == 0, F.lit(None).cast("string")).when((few > 0) & (few / total > MIXED_ABOVE), "mixed").when(arabic >= latin, "ar").otherwise(F.when(latin > arabic, "en"))
+
+    without = F.length(F.translate(text, LATIN, ""))
+    counts = F.struct(F.regexp_count(text, F.lit(ARABIC_BLOCK)).alias("arabic"), (F.length(text) - without).alias("latin"))
+    return F.when(text.isNotNull(), let(counts, named))
 
 
 def clean_compound(name: Column) -> Column:
@@ -99,10 +107,22 @@ def unescape_all(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else html.unescape(x))
 
 
-def strip_markup(markup: Column, all_entities: bool = False) -> Column:
-    """Line breaks as newlines, then tags dropped, entities unescaped, ends trimmed."""
+def strip_markup(markup: Column, all_entities: bool = True) -> Column:
+    """Line breaks as newlines, then tags dropped, entities unescaped, ends trimmed.
+
+    With `all_entities`, numbered and rare ones too: Python sees only the texts that hold an entity beyond the short list.
+    """
     plain = F.regexp_replace(F.regexp_replace(markup, r"<br\s*/?>", "\n"), "<[^>]+>", "")
-    return F.regexp_replace((unescape_all if all_entities else unescape)(plain), r"^\s+|\s+$", "")
+    if all_entities:
+        rare = F.replace(plain, F.lit("&amp;"), F.lit(""))
+        for entity in ENTITIES:
+            rare = F.replace(rare, F.lit(entity), F.lit(""))
+        beyond = rare.contains("&")
+        # the function runs for every row it is given, so rows without need of it give it a null
+        plain = F.coalesce(unescape_all(F.when(beyond, plain)), unescape(plain))
+    else:
+        plain = unescape(plain)
+    return F.regexp_replace(plain, r"^\s+|\s+$", "")
 
 
 def canonical_governorate(name: Column) -> Column:

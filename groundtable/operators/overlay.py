@@ -9,9 +9,9 @@ from groundtable import schemas
 from groundtable.functions.enums import GLOSSARIES, canon_enum, match_enum
 from groundtable.functions.money import plan_total
 
-#: What only a sale has; a rental's deposit stays.
+#: What only a sale has; a rental's deposit stays (fixed values).
 SALE_ONLY = ("sale_type", "installment_amount", "installment_frequency", "installment_years", "cash_discount_pct", "total_installment_cost")
-#: What a backfill may change.
+#: What a backfill may change (fixed values).
 TOUCHED = (
     "compound_name", "sale_type", "installment_amount", "installment_frequency", "installment_years", "down_payment_amount", "down_payment_pct", "cash_discount_pct",
     "total_installment_cost", "finishing_level", "delivery_status", "payment_type",
@@ -64,5 +64,9 @@ def backfill(records: DataFrame, listings: DataFrame) -> tuple[DataFrame, DataFr
     differs = F.array_compact(F.array(*(F.when(~F.col(c).eqNullSafe(F.col(f"_old_{c}")), F.lit(c)) for c in TOUCHED)))
     after = after.withColumn("changed", differs).drop("_extra", *(f"_old_{c}" for c in TOUCHED))
     after = after.withColumn("normalized_at", F.when(F.size("changed") > 0, F.current_timestamp()).otherwise(F.col("normalized_at")))
-    counts = after.agg(*(F.count_if(F.array_contains("changed", c)).alias(c) for c in TOUCHED))
-    return after, counts
+    return after, changes(after)
+
+
+def changes(after: DataFrame, fields: tuple[str, ...] = TOUCHED) -> DataFrame:
+    """One row: in how many rows each field is among `changed`."""
+    return after.agg(*(F.count_if(F.array_contains("changed", c)).alias(c) for c in fields))

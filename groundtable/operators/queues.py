@@ -52,14 +52,16 @@ def pending_parse(pages: DataFrame, records: DataFrame, limit: int | None = None
     """Pages never parsed, or changed since."""
     seen = records.select("listing_id", F.col("content_hash").alias("_parsed"), F.lit(True).alias("_seen"))
     changed = F.col("_seen").isNull() | ~F.col("content_hash").eqNullSafe(F.col("_parsed"))
-    return limited(pages.join(seen, "listing_id", "left").filter(changed).drop("_parsed", "_seen"), limit)
+    rows = pages.join(seen, "listing_id", "left").filter(changed).drop("_parsed", "_seen")
+    return rows.orderBy("listing_id").limit(limit) if limit else rows
 
 
 def pending_extract(records: DataFrame, extractions: DataFrame, version: str, model: str | None = None, limit: int | None = None) -> DataFrame:
     """Described records that no successful extraction of this prompt version (and model, if given) covers."""
     done = extractions.filter((F.col("prompt_version") == version) & F.col("error").isNull())
     done = done.filter(F.col("model") == model) if model else done
-    return limited(records.filter(F.col("description_raw").isNotNull()).join(done.select("listing_id"), "listing_id", "left_anti"), limit)
+    rows = records.filter(F.col("description_raw").isNotNull()).join(done.select("listing_id"), "listing_id", "left_anti")
+    return rows.orderBy("listing_id").limit(limit) if limit else rows
 
 
 def top_per_slice(df: DataFrame, slices: list[str], order: list[Column], n: int) -> DataFrame:
@@ -71,5 +73,5 @@ def live_slices(dimensions: list[DataFrame], hits: DataFrame, keys: list[str]) -
     """Combinations of the dimensions' values that have hits, with their number n; dimensions are a few rows each."""
     every = dimensions[0]
     for d in dimensions[1:]:
-        every = every.crossJoin(F.broadcast(d))
+        every = every.crossJoin(d)
     return every.join(hits.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, "left").withColumn("n", F.coalesce("n", F.lit(0))).filter("n > 0")

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundtable.functions.money import unit_price
-
-
-def status(listings: DataFrame, pages: DataFrame, records: DataFrame, extractions: DataFrame) -> dict[str, int]:
-    """Rows of the tables, extracted records, and listings extracted without error."""
-    done = extractions.agg(F.count_distinct(F.when(F.col("error").isNull(), F.col("listing_id")))).first()[0]
-    return {"listings": listings.count(), "pages": pages.count(), "records": records.count(), "extracted": records.filter("extracted_at is not null").count(), "extractions": done}
+from groundtable.operators.queues import pending_extract, pending_fetch, pending_parse
+
+
+def status(listings: DataFrame, pages: DataFrame, records: DataFrame, extractions: DataFrame, failures: DataFrame, version: str = "", model: str | None = None) -> DataFrame:
+    """what, n: rows of the tables, described records, listings extracted without error, failures, and what each stage has still to do."""
+    rows = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
+    found = {
+        "listings": rows(listings), "pages": rows(pages), "records": rows(records), "described": records.agg(F.count("description_raw").alias("n")),
+        "extracted": extractions.agg(F.count_distinct(F.when(F.col("error").isNull(), F.col("listing_id"))).alias("n")), "failures": rows(failures),
+        "pending_fetch": rows(pending_fetch(listings, pages, failures, stratify=False)), "pending_parse": rows(pending_parse(pages, records)),
+        "pending_extract": rows(pending_extract(records, extractions, version, model)),
+    }
+    return reduce(DataFrame.union, (df.select(F.lit(k).alias("what"), "n") for k, df in found.items()))
 
 
 def spending(extractions: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from groundtable import schemas
 from groundtable.functions.matching import blank_as_null, jaccard_match, numeric_match, split_list, text_match
+from groundtable.functions.text import nfkc
 
 
 def tally(pairs: DataFrame, correct: Column) -> DataFrame:
@@ -38,9 +39,14 @@ def score_fields(gold: DataFrame, records: DataFrame, fields: list[str] | None =
     """Counts and rates of every labelled field over listings that both sides have."""
     fields = fields or schemas.names(schemas.GROUP_B)
     pairs = long_form(gold, "listing_id", fields, "gold").join(long_form(records, "listing_id", fields, "pred"), ["listing_id", "field"])
-    lists = jaccard_match(split_list(F.col("gold")), split_list(F.col("pred")))
-    correct = F.when(F.col("field").isin(*schemas.NUMERIC), numeric_match(F.col("gold"), F.col("pred"))).when(F.col("field") == "amenities", lists).otherwise(text_match(F.col("gold"), F.col("pred")))
-    return tally(pairs, correct)
+    return tally(pairs, matches(F.col("field")))
+
+
+def matches(field: Column, numeric: tuple[str, ...] = schemas.NUMERIC, lists: tuple[str, ...] = ("amenities",)) -> Column:
+    """Whether pred is right for gold: by number, as lists or as text, as the field is."""
+    gold, pred = F.col("gold"), F.col("pred")
+    both = [split_list(nfkc(F.lower(F.trim(x)))) for x in (gold, pred)]
+    return F.when(field.isin(*numeric), numeric_match(gold, pred)).when(field.isin(*lists), jaccard_match(*both)).otherwise(text_match(gold, pred))
 
 
 def unmatched(gold: DataFrame, records: DataFrame) -> DataFrame:

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import logging
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtable import schemas
 from groundtable.functions.money import unit_price
 from groundtable.functions.text import detect_language, nfkc
+from groundtable.operators.export import export
 from groundtable.operators.grounding import canonicalize, ground
-from groundtable.operators.overlay import backfill, overlay
-from groundtable.operators.queues import limited, live_slices, pending_extract, pending_parse, top_per_slice
+from groundtable.operators.overlay import backfill, changes, overlay
+from groundtable.operators.queues import live_slices, pending_extract, pending_parse, top_per_slice
 from groundtable.operators.store import insert_ignore, log_failures, upsert
-from groundtable.sources.extractions import parse_raw
-from groundtable.sources.hits import parse_hits, stated_columns
+from groundtable.session import stored
+from groundtable.sources.extractions import parse_raw, with_cost
+from groundtable.sources.hits import parse_hits, read_hits, stated_columns
 from groundtable.sources.pages import description
 
+LOG = logging.getLogger(__name__)
+#: Of the vocabularies that extractions are snapped to.
+TAXONOMY_VERSION = "1"
+
 
 def failure(rows: DataFrame, stage: str, error_class: str, message) -> DataFrame:
     return rows.select("listing_id", F.lit(stage).alias("stage"), F.lit(error_class).alias("error_class"), message.alias("message"), F.current_timestamp().alias("ts"))
@@ -25,84 +34,132 @@ def discover(listings: DataFrame, hits: DataFrame, dimensions: list[DataFrame],
     """`listings` with the first hits of every slice that has any; known listings stay as they are."""
     live = live_slices(dimensions, hits, keys).select(*keys)
     order = [F.col("discovered_at"), F.col("listing_id")]
-    taken = top_per_slice(hits.join(F.broadcast(live), keys, "left_semi"), keys, order, per_slice or 200)
+    taken = top_per_slice(hits.join(live, keys, "left_semi"), keys, order, per_slice or 200)
     return insert_ignore(listings, taken, ["listing_id"], order)
 
 
 def parse(listings: DataFrame, pages: DataFrame, records: DataFrame, failures: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Records with the stated columns of new and changed pages, and failures with pages that lack a hit, a price or a purpose."""
-    todo = pending_parse(pages, records, limit).select("listing_id", "html", "content_hash")
-    joined = todo.join(listings.select("listing_id", "url", "hit_json"), "listing_id", "left")
-    orphans = failure(joined.filter("hit_json is null"), "parse", "missing_hit", F.lit("no hit for this page"))
-    hits = parse_hits(joined.filter("hit_json is not null").select("listing_id", "url", "hit_json"))
-    said = todo.select("listing_id", "content_hash", description(F.col("html")).alias("description_raw"))
-    rows = stated_columns(hits).join(said, "listing_id").withColumns({
+    todo = pending_parse(pages.select("listing_id", "content_hash", "html"), records, limit)
+    joined = todo.join(listings.select("listing_id", "url", "hit_json"), "listing_id", "left").withColumn("description_raw", description(F.col("html")))
+    said = parse_hits(joined.select("listing_id", "url", "hit_json", "content_hash", "description_raw"))
+    rows = stated_columns(said, "content_hash", "description_raw", F.col("hit_json").isNull().alias("orphan")).withColumns({
         "language": detect_language(F.col("description_raw")), "price_per_sqm": F.round(unit_price(F.col("price"), F.col("area_sqm")), 2), "parsed_at": F.current_timestamp(),
     })
+    rows = stored(rows, "parsed")  # what becomes records and what becomes failures is decided once
     bad = F.col("price").isNull() | F.col("purpose").isNull()
-    failures = log_failures(log_failures(failures, orphans), failure(rows.filter(bad), "parse", "sanity", F.lit("price or purpose is missing")))
-    return upsert(records, rows.filter(~bad), ["listing_id"]), failures
+    orphans = failure(rows.filter("orphan"), "parse", "missing_hit", F.lit("no hit for this page"))
+    insane = failure(rows.filter(bad & ~F.col("orphan")), "parse", "sanity", F.lit("price or purpose is missing"))
+    return upsert(records, rows.filter(~bad & ~F.col("orphan")).drop("orphan"), ["listing_id"]), log_failures(log_failures(failures, orphans), insane)
 
 
-def extract(records: DataFrame, extractions: DataFrame, landed: DataFrame, failures: DataFrame, version: str, model: str, limit: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Records with landed model output canonicalised, grounded and overlaid; extractions and failures with their new rows."""
+def extract(
+    records: DataFrame, extractions: DataFrame, landed: DataFrame, failures: DataFrame, version: str, model: str, limit: int | None = None,
+    taxonomy: str = TAXONOMY_VERSION, rates: dict[str, tuple[float, float]] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records with landed model output canonicalised, grounded and overlaid; extractions and failures with their new rows.
+
+    An extraction is grounded (1) if nothing of it was rejected, not (0) if something was, neither (null) if it could not be read. With `rates`
+    (dollars a million tokens in and out, by model) its cost is worked out, else it is what has landed.
+    """
     todo = pending_extract(records, extractions, version, model, limit)
     mine = landed.filter((F.col("prompt_version") == version) & (F.col("model") == model)).drop("grounded", "error", "ts")
+    mine = with_cost(mine, rates) if rates else mine
     stated = todo.select("listing_id", "description_raw", "price", "purpose", *schemas.names(schemas.HINTS))
     rows = parse_raw(mine).join(stated, "listing_id")
-    good = rows.filter(~F.col("bad"))
     fields = schemas.names(schemas.EXTRACTED)
-    raw = good.select("listing_id", *(F.col(f"fields.{c}").alias(c) for c in fields), nfkc(F.col("description_raw")).alias("_said"), "price", "purpose", *schemas.names(schemas.HINTS))
-    raw = raw.withColumns({c: nfkc(F.col(c)) for c in (*schemas.ENUMS, *schemas.TEXTS)})
-    done = overlay(ground(canonicalize(raw), F.col("_said")))
-    updates = done.select("listing_id", *fields, "total_installment_cost", F.lit(version).alias("prompt_version"), F.lit(model).alias("model"), F.current_timestamp().alias("extracted_at"))
-    log = rows.select(
-        "listing_id", "prompt_version", "model", "raw_json", "tokens_in", "tokens_out", "cost_usd", (~F.col("bad")).cast("int").alias("grounded"),
-        F.when(F.col("bad"), F.lit("no JSON object")).alias("error"), F.current_timestamp().alias("ts"),
+    kept = [F.col(c) for c in ("listing_id", "prompt_version", "model", "raw_json", "tokens_in", "tokens_out", "cost_usd", "bad", "price", "purpose", *schemas.names(schemas.HINTS))]
+    raw = rows.select(*kept, *(F.col(f"fields.{c}").alias(c) for c in fields), nfkc(F.col("description_raw")).alias("_said"))
+    raw = raw.withColumns({c: nfkc(F.col(c)) for c in (*schemas.ENUMS, *schemas.TEXTS)} | {"amenities": F.coalesce("amenities", F.array().cast("array<string>"))})
+    done = stored(overlay(ground(canonicalize(raw), F.col("_said"))).drop("_said"), "extracted")
+    now = F.current_timestamp()
+    updates = done.filter(~F.col("bad")).select(
+        "listing_id", *fields, "total_installment_cost", F.lit(version).alias("prompt_version"), F.lit(model).alias("model"), F.lit(taxonomy).alias("taxonomy_version"), now.alias("extracted_at"), now.alias("normalized_at")
+    )
+    readable = lambda c: F.when(~F.col("bad"), F.col(c)).alias(c)
+    log = done.select(
+        "listing_id", "prompt_version", "model", *map(readable, ("raw_json", "tokens_in", "tokens_out", "cost_usd")), F.when(~F.col("bad"), (F.size("rejected") == 0).cast("int")).alias("grounded"),
+        F.when(F.col("bad"), F.lit("no JSON object")).alias("error"), now.alias("ts"),
     )
-    keys = ["listing_id", "prompt_version", "model"]
-    failures = log_failures(failures, failure(rows.filter("bad"), "extract", "llm_error", F.col("raw_json")))
-    return upsert(records, updates, ["listing_id"]), upsert(extractions, log, keys), failures
+    for r in done.filter(~F.col("bad")).select(F.explode("rejected").alias("field")).groupBy("field").count().orderBy("field").collect():
+        LOG.info("not in the text: %s, %d times", r["field"], r["count"])
+    failures = log_failures(failures, failure(done.filter("bad"), "extract", "llm_error", F.coalesce("raw_json", F.lit("no output"))))
+    return upsert(records, updates, ["listing_id"]), upsert(extractions, log, ["listing_id", "prompt_version", "model"]), failures
 
 
 def refill(records: DataFrame, listings: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Records after a backfill, and its counts of changes by column."""
-    after, counts = backfill(limited(records, limit), listings)
-    return upsert(records, after.drop("changed"), ["listing_id"]), counts
+    rows = records.orderBy("listing_id").limit(limit) if limit else records
+    after = stored(backfill(rows, listings)[0], "refilled")
+    return upsert(records, after.drop("changed"), ["listing_id"]), changes(after)
+
+
+#: The tables of a store.
+TABLES = {"listings": schemas.LISTINGS, "pages": schemas.PAGES, "records": schemas.RECORDS, "extractions": schemas.EXTRACTIONS, "failures": schemas.FAILURES}
+
+
+def versions(spark: SparkSession, store: str, name: str) -> tuple[list[int], list[int]]:
+    """Numbers of a table's complete versions and of those that a stopped write has left, ascending."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store}/{name}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [p.getPath() for p in fs.listStatus(path)] if fs.exists(path) else []
+    numbers = {int(p.getName()[1:]): p for p in found if re.fullmatch(r"v\d+", p.getName())}
+    whole = [n for n, p in sorted(numbers.items()) if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return whole, sorted(set(numbers) - set(whole))
 
 
 def load(spark: SparkSession, store: str, name: str) -> DataFrame:
-    """A table of the store, empty if it is not there yet."""
-    schema = {"listings": schemas.LISTINGS, "pages": schemas.PAGES, "records": schemas.RECORDS, "extractions": schemas.EXTRACTIONS, "failures": schemas.FAILURES}[name]
+    """The last complete version of a table; files put there by hand, if there is none; an empty table, if there is nothing."""
+    whole, _ = versions(spark, store, name)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store}/{name}")
+    if whole:
+        return spark.read.schema(TABLES[name]).parquet(f"{store}/{name}/v{whole[-1]}")
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(schema).parquet(f"{store}/{name}") if there else spark.createDataFrame([], schema)
+    return spark.read.schema(TABLES[name]).option("pathGlobFilter", "*.parquet").parquet(f"{store}/{name}") if there else spark.createDataFrame([], TABLES[name])
 
 
 def save(df: DataFrame, store: str, name: str) -> None:
-    """Writes a table beside the old one, then swaps the two: readers see one or the other."""
-    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    path = lambda suffix: jvm.org.apache.hadoop.fs.Path(f"{store}/{name}{suffix}")
-    fs = path("").getFileSystem(conf)
-    df.write.mode("overwrite").parquet(f"{store}/{name}_new")
-    fs.delete(path("_old"), True)
-    if fs.exists(path("")):
-        fs.rename(path(""), path("_old"))
-    fs.rename(path("_new"), path(""))
-    fs.delete(path("_old"), True)
-
-
-def run(spark: SparkSession, store: str, version: str, model: str) -> None:
-    """parse, extract and backfill over a store whose listings, pages and landed output have arrived."""
-    tables = {t: load(spark, store, t) for t in ("listings", "pages", "records", "extractions", "failures")}
-    records, failures = parse(tables["listings"], tables["pages"], tables["records"], tables["failures"])
+    """Writes the next version of a table. It counts once it is complete, so a reader or a crash at any time finds a whole table.
+
+    The version before stays, for plans that still read it; older ones and what stopped writes have left go.
+    """
+    spark = df.sparkSession
+    whole, broken = versions(spark, store, name)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{store}/{name}/v{max([0, *whole, *broken]) + 1}")
+    path = lambda n: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store}/{name}/v{n}")
+    for n in [*whole[:-1], *broken]:
+        path(n).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path(n), True)
+
+
+def run_parse(spark: SparkSession, store: str, limit: int | None = None) -> None:
+    """parse() over a store. Records are saved before failures: a run that stops between the two finds the failures again."""
+    tables = {t: load(spark, store, t) for t in TABLES}
+    records, failures = parse(tables["listings"], tables["pages"], tables["records"], tables["failures"], limit)
     save(records, store, "records")
     save(failures, store, "failures")
+
+
+def run_extract(spark: SparkSession, store: str, version: str, model: str, limit: int | None = None, rates: dict[str, tuple[float, float]] | None = None) -> None:
+    """extract() over a store and the model output landed in it. Extractions, which say what is done, are saved last."""
     landed = spark.read.schema(schemas.EXTRACTIONS).parquet(f"{store}/landed")
-    records, extractions, failures = extract(load(spark, store, "records"), tables["extractions"], landed, load(spark, store, "failures"), version, model)
-    for name, df in (("records", records), ("extractions", extractions), ("failures", failures)):
-        save(df, store, f"{name}_next")
-    for name in ("records", "extractions", "failures"):
-        save(spark.read.parquet(f"{store}/{name}_next"), store, name)
-    records, _ = refill(load(spark, store, "records"), tables["listings"])
+    records, extractions, failures = extract(*(load(spark, store, t) for t in ("records", "extractions")), landed, load(spark, store, "failures"), version, model, limit, rates=rates)
+    for name, df in (("records", records), ("failures", failures), ("extractions", extractions)):
+        save(df, store, name)
+
+
+def run_discover(spark: SparkSession, store: str, landed: str, per_slice: int | None = None) -> None:
+    """discover() over a store and landed hits: JSON lines of hits, below purpose=, governorate= and category= folders or with these as fields."""
+    keys = ["purpose", "governorate", "category"]
+    hits = read_hits(spark, landed)
+    dimensions = [hits.select(k).distinct() for k in keys]
+    save(discover(load(spark, store, "listings"), hits, dimensions, keys, per_slice or 200), store, "listings")
+
+
+def run(spark: SparkSession, store: str, version: str, model: str, limit: int | None = None, out: str | None = None) -> None:
+    """parse, extract and backfill over a store whose listings, pages and landed output have arrived; exports the dataset, if told where."""
+    run_parse(spark, store, limit)
+    run_extract(spark, store, version, model, limit)
+    records, _ = refill(load(spark, store, "records"), load(spark, store, "listings"), limit)
     save(records, store, "records")
+    if out:
+        export(load(spark, store, "records"), None, out)

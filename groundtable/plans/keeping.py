@@ -78,9 +78,9 @@ def upsert_partial(spark: SparkSession, d: str) -> DataFrame:
 
 
 def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
-    """Half of the orders, and a batch of which part is there already and part comes twice."""
+    """Half of the orders, and a batch of all of them, part of which comes twice."""
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    batch = orders.filter("o_orderkey % 4 <> 3").select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    batch = orders.select("o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
     twice = batch.union(batch.filter("o_orderkey % 5 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1))
     return store.insert_ignore(orders.filter("o_orderkey % 2 = 0"), twice, ["o_orderkey"], [F.col("o_totalprice")])
 
@@ -97,17 +97,26 @@ def gold_sample(spark: SparkSession, d: str) -> DataFrame:
 
 def dataset_view(spark: SparkSession, d: str) -> DataFrame:
     """Documents with their labels as the dataset shows them: flags as booleans, lists joined."""
-    words = F.slice(F.split("text", " "), 1, 3)
     both = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
-    items = F.when(F.col("doc_id") % 5 == 0, F.array().cast("array<string>")).when(F.col("doc_id") % 5 != 1, words)
-    return both.select("doc_id", F.col("toxic").cast("boolean").alias("is_toxic"), F.array_join(items, ", ").alias("amenities"))
+    items = F.when(F.col("doc_id") % 5 == 0, F.array().cast("array<string>")).when(F.col("doc_id") % 5 != 1, F.split("text", " "))
+    return export.dataset_view(both.select(F.col("doc_id").cast("string").alias("listing_id"), F.col("lang").alias("language"), F.col("toxic").alias("is_verified"), items.alias("amenities")))
+
+
+def store_status(spark: SparkSession, d: str) -> DataFrame:
+    """What a store of documents holds and has still to do: some without a page, some changed since, some described, some extracted."""
+    k = F.col("doc_id")
+    docs = table(spark, d, "documents").select(k, k.cast("string").alias("listing_id"), F.col("source").alias("governorate"), F.col("lang").alias("purpose"), F.lit(0).alias("discovered_at"), F.md5("text").alias("content_hash"), "text")
+    records = docs.filter("doc_id % 3 = 1").select("listing_id", F.when(k % 5 != 0, F.col("content_hash")).alias("content_hash"), F.when(k % 2 == 0, F.col("text")).alias("description_raw"))
+    done = docs.filter("doc_id % 4 = 0").select("listing_id", F.when(k % 8 == 0, F.lit("v1")).otherwise("v0").alias("prompt_version"), F.lit("m").alias("model"), F.when(k % 16 == 0, F.lit("failed")).alias("error"))
+    failed = event_failures(spark, d).withColumn("listing_id", F.col("listing_id").cast("string"))
+    return report.status(docs, docs.filter("doc_id % 3 <> 0"), records, done, failed, "v1")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         pending_anti, pending_changed_null_safe, pending_dead_letter, pending_by_version, round_robin, first_seen_dedup, topk_per_slice, slice_verify,
-        upsert_partial, insert_ignore, failure_log_topk, gold_sample, dataset_view,
+        upsert_partial, insert_ignore, failure_log_topk, gold_sample, dataset_view, store_status,
     )
 }
 ORACLE_SQL = {
@@ -136,12 +145,18 @@ FROM nation CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer UNION SELECT
 SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 0 THEN NULL WHEN o_orderkey % 10 = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderpriority FROM orders
 UNION ALL SELECT o_orderkey + 100000000, 'N', NULL, 'new' FROM orders WHERE o_orderkey % 100 = 1""",
     "insert_ignore": """
-SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice FROM orders WHERE o_orderkey % 4 <> 3""",
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice FROM orders""",
     "failure_log_topk": """
 SELECT 'fetch' AS stage, CASE WHEN event_id % 11 <> 0 THEN event_type END AS error_class, substr(props, 1, 80) AS message, count(*) AS n
 FROM events GROUP BY ALL ORDER BY n DESC, stage, error_class NULLS FIRST, message LIMIT 30""",
     "gold_sample": "SELECT doc_id, source FROM (SELECT doc_id, source FROM documents ORDER BY md5(doc_id || '|42'), doc_id LIMIT 25)",
     "dataset_view": r"""
-SELECT doc_id, CAST(toxic AS BOOLEAN) AS is_toxic, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 <> 1 THEN array_to_string(string_split(text, ' ')[1:3], ', ') END AS amenities
+SELECT CAST(doc_id AS VARCHAR) AS listing_id, lang AS language, CAST(toxic AS BOOLEAN) AS is_verified, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 <> 1 THEN array_to_string(string_split(text, ' '), ', ') END AS amenities
 FROM documents LEFT JOIN labels USING (doc_id)""",
+    "store_status": """
+WITH given_up AS (SELECT user_id FROM events WHERE event_id % 11 <> 0 AND event_id % 50 <> 0 AND event_type NOT IN ('blocked', 'timeout') GROUP BY 1 HAVING count(*) >= 3)
+SELECT unnest(['listings', 'pages', 'records', 'described', 'extracted', 'failures', 'pending_fetch', 'pending_parse', 'pending_extract']) AS what, unnest([count(*), count(*) FILTER (doc_id % 3 <> 0),
+  count(*) FILTER (doc_id % 3 = 1), count(text) FILTER (doc_id % 3 = 1 AND doc_id % 2 = 0), count(*) FILTER (doc_id % 4 = 0 AND doc_id % 16 <> 0), (SELECT count(*) FROM events),
+  count(*) FILTER (doc_id % 3 = 0 AND doc_id NOT IN (SELECT user_id FROM given_up)), count(*) FILTER (doc_id % 3 = 2 OR doc_id % 3 = 1 AND doc_id % 5 = 0),
+  count(text) FILTER (doc_id % 3 = 1 AND doc_id % 2 = 0 AND (doc_id % 8 <> 0 OR doc_id % 16 = 0))]) AS n FROM documents""",
 }

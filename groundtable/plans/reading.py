@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundtable import schemas
 from groundtable.functions import enums, numbers, text
 from groundtable.functions.matching import jaccard, jaccard_match, split_list
-from groundtable.operators import grounding, overlay, scoring
+from groundtable.operators import grounding, overlay, scoring, store
+from groundtable.plans import batch
 from groundtable.plans.pricing import plans
 from groundtable.session import table
 from groundtable.sources import hits, pages
@@ -207,7 +209,7 @@ def judged(spark: SparkSession, d: str) -> DataFrame:
 
 def score_fields(spark: SparkSession, d: str) -> DataFrame:
     """Accuracy and hallucination by field."""
-    return scoring.tally(judged(spark, d), F.col("gold") == F.col("pred"))
+    return scoring.tally(judged(spark, d), scoring.matches(F.col("field"), numeric=("quality",)))
 
 
 def markdown_report(spark: SparkSession, d: str) -> DataFrame:
@@ -216,18 +218,55 @@ def markdown_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jaccard_amenities(spark: SparkSession, d: str) -> DataFrame:
-    """First words of each turn of a conversation against the turn before, as lists."""
-    said = table(spark, d, "conversations").select("conv_id", "turn", F.array_join(F.slice(F.split("text", " "), 1, 6), "; ").alias("said"))
+    """Words of each turn of a conversation against the turn before, as lists."""
+    said = table(spark, d, "conversations").select("conv_id", "turn", F.array_join(F.split("text", " "), "; ").alias("said"))
     before = said.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("said").alias("other"))
     a, b = split_list(F.col("said")), split_list(F.col("other"))
     return said.join(before, ["conv_id", "turn"]).select("conv_id", "turn", F.round(jaccard(a, b), 6).alias("similarity"), jaccard_match(a, b).alias("alike"))
 
 
+def canonicalize(spark: SparkSession, d: str) -> DataFrame:
+    """Values as a model may write them: numbers with suffixes, shares, phrases for vocabularies, dates that parse and that do not."""
+    k = F.col("o_orderkey")
+    said = table(spark, d, "orders").select(
+        k, F.when(k % 4 == 0, F.concat((k % 50 + 1).cast("string"), F.lit("K"))).when(k % 4 == 1, F.concat((k % 9 + 1).cast("string"), F.lit(",500,000 EGP"))).when(k % 4 == 2, "on request").alias("down_payment_amount"),
+        F.concat((k % 30).cast("string"), F.lit(" % now")).alias("down_payment_pct"), F.when(k % 3 == 0, "Cash please").when(k % 3 == 1, "both").otherwise("barter").alias("payment_type"),
+        F.when(k % 5 == 0, "Q1 2027").when(k % 5 == 1, "by 2026").when(k % 5 == 2, "soon").alias("delivery_date"),
+    )
+    return grounding.canonicalize(said)
+
+
+def extract_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Landed model output through the batch: some in the text, some not, some unreadable."""
+    k = F.col("o_orderkey")
+    said = F.floor("o_totalprice").cast("string")
+    orders = table(spark, d, "orders").select(k, k.cast("string").alias("listing_id"), said.alias("said"))
+    records = orders.select("listing_id", F.concat(F.lit("pay "), F.col("said"), F.lit(" to acme")).alias("description_raw"), F.lit("sale").alias("purpose"))
+    raw = F.when(k % 3 == 0, F.concat(F.lit('Here: {"developer_name": "Acme", "down_payment_amount": "'), F.col("said"), F.lit('"}'))).when(k % 3 == 1, F.lit('{"developer_name": "Nobody", "amenities": ["pool"]}')).otherwise("no answer")
+    landed = orders.select("listing_id", F.lit("v1").alias("prompt_version"), F.lit("m").alias("model"), raw.alias("raw_json"), F.lit(1000).cast("long").alias("tokens_in"), F.lit(500).cast("long").alias("tokens_out"))
+    empty = lambda schema: spark.createDataFrame([], schema)
+    kept, log, failed = batch.extract(store.migrate(records, spark, schemas.RECORDS), empty(schemas.EXTRACTIONS), store.migrate(landed, spark, schemas.EXTRACTIONS), empty(schemas.FAILURES), "v1", "m", rates={"m": (1.0, 2.0)})
+    failed = failed.select("listing_id", F.col("error_class").alias("failure"))
+    fields = kept.select("listing_id", "developer_name", "down_payment_amount", F.array_join("amenities", ",").alias("amenities"), "taxonomy_version", F.col("normalized_at").isNotNull().alias("normalized"))
+    return log.select("listing_id", "grounded", "cost_usd", "error").join(fields, "listing_id").join(failed, "listing_id", "left")
+
+
+def descriptions(spark: SparkSession, d: str) -> DataFrame:
+    """Descriptions from JSON-LD after a block that does not parse, or from the document, with entities of any kind."""
+    k = F.col("page_id")
+    id_ = k.cast("string")
+    ld = F.concat(F.lit('<script type="application/ld+json">{bad</script><script type="application/ld+json">{"@graph": [{"mainEntity": {}}, {"mainEntity": {"description": "from ld '), id_, F.lit('"}}]}</script>'))
+    dom = F.concat(F.lit('<div aria-label="وصف العقار" a><div b> <span c>dom &#1587;&#x627; &rsquo;q&amp;lt;&middot;<br/>'), id_, F.lit("</span></div>"))
+    html = F.when(k % 3 == 0, F.concat(ld, dom, F.col("html"))).when(k % 3 == 1, F.concat(dom, F.col("html"))).otherwise(F.col("html"))
+    return table(spark, d, "pages").select("page_id", pages.description(html).alias("description"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         json_field, location_path, deepest_category, epoch_date, digits_ascii, clean_arabic, language_mix, parse_number, parse_percentage, delivery_date, enum_match, enum_guard,
         strip_markup, state_blob, page_classify, ground_numeric, ground_text, overlay_precedence, rent_guard, backfill_changes, score_fields, markdown_report, jaccard_amenities,
+        canonicalize, extract_batch, descriptions,
     )
 }
 
@@ -257,6 +296,14 @@ WITH j AS (SELECT d.doc_id, field, gold, pred FROM documents d JOIN labels l USI
   ('quality', CASE WHEN d.doc_id % 4 <> 0 THEN quality END, CASE WHEN d.doc_id % 3 <> 0 THEN CAST(n_chars > 500 AS INTEGER) END),
   ('toxic', CASE WHEN d.doc_id % 5 <> 0 THEN toxic END, CAST(n_chars < 400 AS INTEGER))) v(field, gold, pred))
 """
+SCORED = (
+    JUDGED
+    + """
+, t AS (SELECT field, count(gold) AS gold_nonnull, count(pred) AS pred_nonnull, count(*) FILTER (gold = pred) AS correct, count(*) FILTER (gold IS NULL) AS gold_null,
+  count(*) FILTER (gold IS NULL AND pred IS NOT NULL) AS hallucinated FROM j GROUP BY field),
+r AS (SELECT *, CASE WHEN gold_nonnull > 0 THEN correct / gold_nonnull END AS accuracy, CASE WHEN gold_null > 0 THEN hallucinated / gold_null END AS hallucination_rate FROM t)
+"""
+)
 ORACLE_SQL = {
     "json_field": "SELECT event_type, count(k) AS n, CAST(sum(k) AS BIGINT) AS total FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY event_type",
     "location_path": """
@@ -307,13 +354,22 @@ FROM orders GROUP BY 1""",
     + """
 SELECT unnest(['compound_name', 'sale_type', 'installment_frequency', 'installment_years']) AS "column", unnest([count(*) FILTER (compound_name IS DISTINCT FROM c0), count(*) FILTER (sale_type IS DISTINCT FROM s0),
   count(*) FILTER (installment_frequency IS DISTINCT FROM f0), count(*) FILTER (installment_years IS DISTINCT FROM y0)]) AS n FROM o""",
-    "score_fields": JUDGED
+    "score_fields": SCORED + "SELECT * FROM r",
+    "markdown_report": SCORED
     + """
-, t AS (SELECT field, count(gold) AS gold_nonnull, count(pred) AS pred_nonnull, count(*) FILTER (gold = pred) AS correct, count(*) FILTER (gold IS NULL) AS gold_null,
-  count(*) FILTER (gold IS NULL AND pred IS NOT NULL) AS hallucinated FROM j GROUP BY field)
-SELECT *, CASE WHEN gold_nonnull > 0 THEN correct / gold_nonnull END AS accuracy, CASE WHEN gold_null > 0 THEN hallucinated / gold_null END AS hallucination_rate FROM t""",
+SELECT '| field | gold non-null | pred non-null | accuracy | hallucination |' || chr(10) || '|---|---|---|---|---|' || chr(10) || string_agg('| ' || field || ' | ' || gold_nonnull || ' | ' || pred_nonnull || ' | ' ||
+  coalesce(printf('%.0f', accuracy * 100) || '%', 'n/a') || ' | ' || coalesce(printf('%.0f', hallucination_rate * 100) || '%', 'n/a') || ' |', chr(10) ORDER BY field) AS report FROM r""",
+    "canonicalize": """
+SELECT o_orderkey, CAST(CASE o_orderkey % 4 WHEN 0 THEN (o_orderkey % 50 + 1) * 1000 WHEN 1 THEN (o_orderkey % 9 + 1) * 1000000 + 500000 END AS DOUBLE) AS down_payment_amount, CAST(o_orderkey % 30 AS DOUBLE) AS down_payment_pct,
+  CASE o_orderkey % 3 WHEN 0 THEN 'cash' WHEN 1 THEN 'both' END AS payment_type, CASE o_orderkey % 5 WHEN 0 THEN '2027-Q1' WHEN 1 THEN '2026' WHEN 2 THEN 'soon' END AS delivery_date FROM orders""",
+    "extract_batch": """
+SELECT CAST(o_orderkey AS VARCHAR) AS listing_id, CAST(CASE m WHEN 0 THEN 1 WHEN 1 THEN 0 END AS INTEGER) AS "grounded", CASE WHEN m < 2 THEN CAST(0.002 AS DOUBLE) END AS cost_usd, CASE WHEN m = 2 THEN 'no JSON object' END AS error,
+  CASE WHEN m = 0 THEN 'Acme' END AS developer_name, CASE WHEN m = 0 THEN floor(o_totalprice) END AS down_payment_amount, CASE m WHEN 0 THEN '' WHEN 1 THEN 'pool' END AS amenities, CASE WHEN m < 2 THEN '1' END AS taxonomy_version,
+  m < 2 AS normalized, CASE WHEN m = 2 THEN 'llm_error' END AS failure FROM (SELECT *, o_orderkey % 3 AS m FROM orders)""",
+    "descriptions": """
+SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'from ld ' || page_id WHEN 1 THEN 'dom سا ’q&lt;·' || chr(10) || page_id END AS description FROM pages""",
     "jaccard_amenities": r"""
-WITH s AS (SELECT conv_id, turn, list_filter(list_transform(regexp_split_to_array(array_to_string(string_split(text, ' ')[1:6], '; '), '[;,]'), lambda x: trim(x)), lambda x: x <> '') AS a FROM conversations),
+WITH s AS (SELECT conv_id, turn, list_filter(list_transform(regexp_split_to_array(array_to_string(string_split(text, ' '), '; '), '[;,]'), lambda x: trim(x)), lambda x: x <> '') AS a FROM conversations),
 p AS (SELECT s.conv_id, s.turn, s.a, b.a AS b FROM s JOIN s b ON s.conv_id = b.conv_id AND s.turn = b.turn + 1),
 f AS (SELECT *, list_distinct(a) AS da, list_distinct(b) AS db, list_distinct(list_transform(a, lambda x: lower(x))) AS la, list_distinct(list_transform(b, lambda x: lower(x))) AS lb FROM p),
 n AS (SELECT *, len(list_intersect(da, db)) AS i, len(list_distinct(list_concat(da, db))) AS u, len(list_intersect(la, lb)) AS li, len(list_distinct(list_concat(la, lb))) AS lu FROM f)

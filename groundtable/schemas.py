@@ -16,7 +16,7 @@ HINTS = (
     "hint_completion_status string, hint_ownership string, hint_down_payment double, hint_furnishing_status string, hint_amenities array<string>, hint_compound_name string, "
     "hint_monthly_installment double, hint_installment_years double"
 )
-PROVENANCE = "parsed_at timestamp, content_hash string, extracted_at timestamp, prompt_version string, model string, normalized_at timestamp, source string"
+PROVENANCE = "parsed_at timestamp, content_hash string, extracted_at timestamp, prompt_version string, model string, normalized_at timestamp, taxonomy_version string"
 
 LISTINGS = "listing_id string, url string, purpose string, governorate string, category string, hit_json string, discovered_at timestamp"
 PAGES = "listing_id string, url string, html string, bytes long, content_hash string, fetched_at timestamp"

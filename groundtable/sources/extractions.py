@@ -25,5 +25,5 @@ def cost(tokens_in: Column, tokens_out: Column, rate_in: Column, rate_out: Colum
 def with_cost(rows: DataFrame, rates: dict[str, tuple[float, float]]) -> DataFrame:
     """cost_usd from a table of a few models' rates."""
     table = rows.sparkSession.createDataFrame([(m, *r) for m, r in rates.items()], "model string, rate_in double, rate_out double")
-    joined = rows.drop("cost_usd").join(F.broadcast(table), "model", "left")
+    joined = rows.drop("cost_usd").join(table, "model", "left")
     return joined.withColumn("cost_usd", cost(F.col("tokens_in"), F.col("tokens_out"), F.col("rate_in"), F.col("rate_out"))).drop("rate_in", "rate_out")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtable import schemas
@@ -50,8 +50,24 @@ def epoch_date(seconds: Column) -> Column:
     return F.to_date(F.timestamp_seconds(sane))
 
 
-def stated_columns(hits: DataFrame) -> DataFrame:
-    """listing_id, url and the columns a hit states: 15 fields and 8 hints, from `hit`."""
+def read_hits(spark: SparkSession, path: str) -> DataFrame:
+    """Landed hits as listings: lines of JSON with externalID, purpose, governorate and category (in the line, or as folders k=v), the line itself as hit_json.
+
+    Lines without an id are left out. A hit lands when its file does.
+    """
+    keys = ["purpose", "governorate", "category"]
+    rows = spark.read.text(path).select("*", F.col("_metadata.file_modification_time").alias("discovered_at"))
+    there = [c for c in keys if c in rows.columns]
+    said = lambda k: F.col(k) if k in there else F.get_json_object("value", f"$.{k}")
+    id_ = F.nullif(F.trim(F.get_json_object("value", "$.externalID")), F.lit(""))
+    return rows.select(
+        id_.alias("listing_id"), F.coalesce(F.get_json_object("value", "$.url"), id_).alias("url"), said("purpose").alias("purpose"), said("governorate").alias("governorate"),
+        (F.col("category") if "category" in there else F.get_json_object("value", "$.slice")).alias("category"), F.col("value").alias("hit_json"), "discovered_at",
+    ).filter("listing_id is not null")
+
+
+def stated_columns(hits: DataFrame, *more: Column | str) -> DataFrame:
+    """listing_id, url, `more`, and the columns a hit states: 15 fields and 8 hints, from `hit`."""
     h = F.col("hit")
     category = deepest(h["category"])
     kind = property_type(filled(category["nameSingular_l1"], category["name_l1"]))
@@ -60,6 +76,7 @@ def stated_columns(hits: DataFrame) -> DataFrame:
     return hits.select(
         "listing_id",
         "url",
+        *more,
         purpose.alias("purpose"),
         kind.alias("property_type"),
         h["price"].alias("price"),

@@ -1,7 +1,7 @@
 """Landed pages as a stream: files of a folder become rows of the store as they arrive.
 
 The stream's checkpoint is the queue of what is still to do: a file is read once, and a batch that is run again
-after a failure writes the same rows, because pages are upserted by listing.
+after a failure writes the same rows: pages are upserted by listing, and a failure is the page's id and time.
 """
 
 from __future__ import annotations
@@ -13,18 +13,26 @@ from pyspark.sql.streaming import StreamingQuery
 from groundtable.operators.queues import first_seen
 from groundtable.operators.store import log_failures, upsert
 from groundtable.plans.batch import failure, load, save
+from groundtable.session import stored
 from groundtable.sources.pages import page_rows
 
 LANDED = "listing_id string, url string, html string, fetched_at timestamp"
 
 
 def keep_pages(batch: DataFrame, store: str) -> None:
-    """Good pages into the table of pages, the latest of each listing; blocked ones into the failures."""
+    """Good pages into the table of pages, the latest of each listing; blocked ones into the failures, once: their time is the page's own."""
     spark = batch.sparkSession
     last = first_seen(batch, ["listing_id"], [F.desc_nulls_last("fetched_at"), F.col("url")])
-    rows = page_rows(last).join(last.select("listing_id", "fetched_at"), "listing_id")
-    save(upsert(load(spark, store, "pages"), rows.filter(~F.col("blocked")).drop("blocked"), ["listing_id"]), store, "pages")
-    save(log_failures(load(spark, store, "failures"), failure(rows.filter("blocked"), "fetch", "blocked", F.lit("no listing on the page"))), store, "failures")
+    rows = stored(page_rows(last).join(last.select("listing_id", "fetched_at"), "listing_id"), "landed")
+    pages = load(spark, store, "pages")
+    save(upsert(pages, rows.filter(~F.col("blocked")).drop("blocked"), ["listing_id"]), store, "pages")
+    blocked = rows.filter("blocked")
+    if not blocked.isEmpty():
+        failures = load(spark, store, "failures")
+        new = failure(blocked, "fetch", "blocked", F.lit("no listing on the page")).join(blocked.select("listing_id", "fetched_at"), "listing_id").withColumn("ts", F.col("fetched_at")).drop("fetched_at")
+        known = failures.filter("stage = 'fetch' and error_class = 'blocked'").select(F.col("listing_id").alias("_id"), F.col("ts").alias("_ts"))
+        fresh = new.join(known, F.col("listing_id").eqNullSafe(F.col("_id")) & F.col("ts").eqNullSafe(F.col("_ts")), "left_anti")
+        save(log_failures(failures, fresh), store, "failures")
 
 
 def follow_pages(spark: SparkSession, landed: str, store: str, checkpoint: str, files: int = 1000) -> StreamingQuery:

@@ -2,7 +2,7 @@
 
 import json
 
-from groundtable import schemas
+from groundtable import cli, schemas
 from groundtable.operators.overlay import TOUCHED
 from groundtable.plans import batch
 from groundtable.sources import hits, pages
@@ -69,5 +69,53 @@ def test_batch_is_idempotent(spark, tmp_path):
     batch.run(spark, store, "v1", "m")
     again = batch.load(spark, store, "records").collect()
     assert [x.asDict() | {"parsed_at": None} for x in again] == [x.asDict() | {"parsed_at": None} for x in first]
+    log = {x.listing_id: x for x in batch.load(spark, store, "extractions").collect()}
+    assert log["a"].grounded == 0 and first[0].taxonomy_version == "1" and first[0].normalized_at is not None and first[0].amenities == []
     _, counts = batch.refill(batch.load(spark, store, "records"), batch.load(spark, store, "listings"))
     assert set(counts.first().asDict().values()) == {0} and len(counts.columns) == len(TOUCHED)
+
+
+def test_saves_survive_a_stop(spark, tmp_path):
+    """A version that is not complete does not count, whatever it holds; the one before is still there for plans that read it."""
+    store, rows = str(tmp_path), lambda n: spark.createDataFrame([(str(i), "u", None, None, None, "{}", None) for i in range(n)], schemas.LISTINGS)
+    assert batch.load(spark, store, "listings").count() == 0
+    batch.save(rows(5), store, "listings")
+    rows(3).write.parquet(f"{store}/listings/v2")
+    (tmp_path / "listings" / "v2" / "_SUCCESS").unlink()
+    assert batch.load(spark, store, "listings").count() == 5
+    (tmp_path / "listings" / "v3" / "_temporary").mkdir(parents=True)
+    held = batch.load(spark, store, "listings")
+    batch.save(held.limit(4), store, "listings")
+    assert batch.load(spark, store, "listings").count() == 4 and held.count() == 5
+    batch.save(held.limit(2), store, "listings")
+    assert sorted(p.name for p in (tmp_path / "listings").iterdir()) == ["v4", "v5"]
+
+
+def test_commands(spark, tmp_path, capsys):
+    """discover, parse, extract, backfill, status and export from landed files, by the command line."""
+    store = str(tmp_path / "store")
+    folder = tmp_path / "store" / "hits" / "purpose=for-sale" / "governorate=Cairo" / "category=flats"
+    folder.mkdir(parents=True)
+    (folder / "hits.json").write_text("\n".join(json.dumps(HIT | {"externalID": str(i)}) for i in (1, 2, 3, 3)) + "\n{}\n")
+    cli.main(["discover", store], spark)
+    cli.main(["discover", store], spark)
+    found = batch.load(spark, store, "listings").orderBy("listing_id").collect()
+    assert [(r.listing_id, r.governorate, r.category) for r in found] == [(i, "Cairo", "flats") for i in "123"]
+    said = json.dumps({"property": {"data": {"mainDescription": "flat by Acme"}}})
+    spark.createDataFrame([(i, "u", state(said), 1, "h", None) for i in "12"], schemas.PAGES).write.parquet(f"{store}/pages")
+    spark.createDataFrame([(i, "v1", "m", json.dumps({"developer_name": "Acme"}), 1, 1, None, None, None, None) for i in "12"], schemas.EXTRACTIONS).write.parquet(f"{store}/landed")
+    cli.main(["parse", store, "--limit", "1"], spark)
+    assert [r.listing_id for r in batch.load(spark, store, "records").collect()] == ["1"]
+    cli.main(["parse", store], spark)
+    cli.main(["extract", store, "--model", "m"], spark)
+    assert {(r.listing_id, r.developer_name, r.prompt_version) for r in batch.load(spark, store, "records").collect()} == {("1", "Acme", "v1"), ("2", "Acme", "v1")}
+    cli.main(["backfill", store], spark)
+    capsys.readouterr()
+    cli.main(["status", store, "--model", "m"], spark)
+    out = capsys.readouterr().out
+    assert "pending_fetch" in out and "described" in out
+    cli.main(["export", store, "--out", f"{tmp_path}/out"], spark)
+    assert spark.read.parquet(f"{tmp_path}/out/dataset.parquet").count() == 2
+    for _ in range(2):
+        cli.main(["template", store, "--out", f"{tmp_path}/gold"], spark)
+    assert (tmp_path / "gold.bak").exists() and spark.read.csv(f"{tmp_path}/gold", header=True).count() == 2

@@ -22,3 +22,8 @@ def test_follow_pages(spark, tmp_path):
     land(("b", GOOD, 3))
     assert {r.listing_id for r in batch.load(spark, store, "pages").collect()} == {"a", "b"}
     assert batch.load(spark, store, "failures").count() == 1
+    # the same batch again, as after a failure, changes nothing
+    batch_ = spark.createDataFrame([("b", "u", "short", datetime(2024, 1, 1))], landing.LANDED)
+    landing.keep_pages(batch_, store)
+    landing.keep_pages(batch_, store)
+    assert batch.load(spark, store, "failures").count() == 1
