@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundtable.llm.common import FLUSH, Cache, append_columns, small_batches
+from groundtable.llm.common import FLUSH, Cache, append_columns, small_batches, tidy
 from groundtable.session import cut
 
 #: White space of the pre-tokenizer: Unicode's White_Space (fixed values).
@@ -343,6 +343,10 @@ class Encoder:
         self.now, self.old = {}, {}
         self.special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
 
+    def forget(self) -> None:
+        """Drops what is held of texts; the vocabulary stays."""
+        self.now, self.old, self.tokens = {}, {}, Cache(self.word)
+
     def word(self, token: str) -> bytes:
         raw = token.encode()
         found = self.lexicon.find(raw) if self.lexicon else None
@@ -408,7 +412,7 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def kept_encoder(vocabulary: str, lexicon: str | None) -> Encoder:
-    """The encoder of a worker process: its caches outlive a task."""
+    """The encoder of a worker process: the vocabulary is read once, not for each task."""
     return Encoder(Vocabulary(vocabulary), Transducer(lexicon) if lexicon else None)
 
 
@@ -434,7 +438,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                         yield flush()
         yield flush()
 
-    return docs.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(tidy(work), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, tokenizer: str, one_in: int = 100_000) -> str:
@@ -474,6 +478,7 @@ def encode(docs: DataFrame, tokenizer: str, lexicon: str | None = None, decode:
                 out.append(pa.array([encoder.v.decode(np.frombuffer(x, "<u4").tolist()) for x in packed], pa.string()))
             return out
 
+        each.forget = encoder.forget
         return each
 
     return append_columns(docs, added, make)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import platform
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,12 +72,27 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]))
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`work`, after which a worker that waits for its next task gives its free memory back: workers outlive tasks and share an executor's memory."""
+
+    def then_give_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux" and platform.libc_ver()[0] == "glibc":
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return then_give_back
+
+
 def append_columns(
     df: DataFrame, added: dict[str, T.DataType], make: Callable[[], Callable[[pa.RecordBatch], list]], drop: tuple[str, ...] = ()
 ) -> DataFrame:
     """`df` with columns computed in Arrow batches; an input column of a same name is replaced.
 
-    `make()` runs once in each task and returns a function from a batch to one array for each added column.
+    `make()` runs once in each task and returns a function from a batch to one array for each added column; its
+    attribute forget, if it has one, is called at the task's end.
     """
     small_batches(df.sparkSession)
     gone = {*added, *drop}
@@ -84,10 +102,13 @@ def append_columns(
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *each(b)], names=names)
+        try:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *each(b)], names=names)
+        finally:
+            getattr(each, "forget", lambda: None)()
 
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(tidy(work), schema)
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: str, size: int = 4 << 20) -> Iterator[pa.Table]:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from groundtable.llm.byte_words import Words, find_words
-from groundtable.llm.common import fresh, mix, quoted, runs, small_batches, sorted_groups
+from groundtable.llm.common import fresh, mix, quoted, runs, small_batches, sorted_groups, tidy
 from groundtable.llm.ngram_join import pairs_within
 from groundtable.session import cut, release, stored
 
@@ -87,7 +87,7 @@ def whole_table(partial: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.int64()), pa.array([in_a_byte(x).tobytes() for x in held.values()], pa.binary())], names=["slice", "counts"])
 
     out = np.zeros((SLOTS // SLICE, SLICE), dtype=np.uint8)
-    for r in partial.repartition("slice").mapInArrow(add, "slice long, counts binary").collect():
+    for r in partial.repartition("slice").mapInArrow(tidy(add), "slice long, counts binary").collect():
         out[r["slice"]] = np.frombuffer(r["counts"], np.uint8)
     return out.ravel()
 
@@ -101,7 +101,7 @@ def marked(rows: DataFrame, column: str) -> np.ndarray:
             counts[slot_of(b.column(column).to_numpy())] = 1
         yield partial_table(counts)
 
-    return whole_table(rows.select(column).mapInArrow(work, PARTIAL)) > 0
+    return whole_table(rows.select(column).mapInArrow(tidy(work), PARTIAL)) > 0
 
 
 def slot_of(values: np.ndarray) -> np.ndarray:
@@ -207,7 +207,7 @@ def surveyed(docs: DataFrame, least: int, threshold: float) -> DataFrame:
         p = partial_table(counts)
         yield batch(**{c: p.column(c) for c in ("slice", "places", "counts")})
 
-    return docs.select("row", "doc_id", "doc", F.xxhash64("text").alias("tie"), "text").mapInArrow(work, SURVEYED)
+    return docs.select("row", "doc_id", "doc", F.xxhash64("text").alias("tie"), "text").mapInArrow(tidy(work), SURVEYED)
 
 
 def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None, some_docs=None) -> DataFrame:
@@ -226,7 +226,7 @@ def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None,
                     out = _postings(x, doc[x.text], counts, threshold)
                     yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
 
-    return docs.select("doc", "text").mapInArrow(work, "cell int, id long, doc long, line long, shape long, low long, high long, wide binary")
+    return docs.select("doc", "text").mapInArrow(tidy(work), "cell int, id long, doc long, line long, shape long, low long, high long, wide binary")
 
 
 def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> pa.RecordBatch:
@@ -344,7 +344,7 @@ def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
             if len(x):
                 yield named(c, x, y, apart, found.cut[x])
 
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(work, "x long, x_doc long, y long, y_doc long, apart long, more boolean")
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tidy(work), "x long, x_doc long, y long, y_doc long, apart long, more boolean")
 
 
 def enough_in_common(p: list[np.ndarray], q: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -374,7 +374,7 @@ def verify(docs: DataFrame, pairs: DataFrame, least: int, threshold: float) -> D
                 held = pa.array([np.sort(x.words[x.start[i] : x.start[i + 1]]).tobytes() for i in on], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(x.id[on]), pa.array(x.more[on]), held], names=["id", "more", "set"])
 
-    found = docs.select("doc", "text").mapInArrow(sets, "id long, more long, set binary").dropDuplicates(["id", "more"])
+    found = docs.select("doc", "text").mapInArrow(tidy(sets), "id long, more long, set binary").dropDuplicates(["id", "more"])
     pairs = pairs.select("x", "y").distinct().join(found.select(F.col("id").alias("x"), F.col("more").alias("x_more"), F.col("set").alias("x_set")), "x")
     pairs = pairs.join(found.select(F.col("id").alias("y"), F.col("set").alias("y_set")), "y")
 
@@ -385,7 +385,7 @@ def verify(docs: DataFrame, pairs: DataFrame, least: int, threshold: float) -> D
                 p, q = ([np.frombuffer(s.as_buffer(), np.uint64) for s in b.column(c)] for c in ("x_set", "y_set"))
                 yield b.select(["x", "x_more"]).filter(pa.array(enough_in_common(p, q, threshold), pa.bool_()))
 
-    return pairs.select("x", "x_more", "x_set", "y_set").mapInArrow(judge, "x long, x_more long").distinct()
+    return pairs.select("x", "x_more", "x_set", "y_set").mapInArrow(tidy(judge), "x long, x_more long").distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
@@ -400,6 +400,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     docs = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NEVER)).alias("doc"), "text")
     survey = stored(surveyed(docs, least, threshold), "lines")
     table = spark.sparkContext.broadcast(whole_table(survey.filter("slice is not null").select("slice", "places", "counts")))
+    release(spark)
     best = candidates(postings(docs, least, threshold, table), threshold)
     found = cut(best.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc"), F.min("apart").alias("apart"), F.max("more").alias("more")))
     del best
@@ -409,6 +410,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     kept = F.when(F.min("apart").over(of_x) <= BEST, F.lit(2 * BEST)).otherwise(F.lit(2 * MANY))
     ranked = found.withColumns({"rank": near, "kept": kept, "more": F.max("more").over(of_x) | (F.count(F.lit(1)).over(of_x) > kept)}).filter(F.col("rank") <= F.col("kept"))
     alike = cut(verify(docs, ranked, least, threshold))
+    release(spark)
     open_ = cut(ranked.filter("more").select("x", "x_doc").distinct().join(alike, "x", "left_anti"))
     if not open_.isEmpty():
         # the cells of the lines that are still open, from their own texts; then all lines of these cells

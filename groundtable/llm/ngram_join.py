@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundtable.llm.byte_words import find_words
-from groundtable.llm.common import SPACE, fresh, mix, quoted, runs, small_batches, sorted_groups
+from groundtable.llm.common import SPACE, fresh, mix, quoted, runs, small_batches, sorted_groups, tidy
 from groundtable.llm.components import components
 from groundtable.session import cut
 
@@ -144,7 +144,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(copy, pa.binary()), pa.array(size, pa.int64()), pa.array(values, pa.binary())], names=["row", "doc_id", "tie", "copy", "size", "values"])
 
     named = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
-    return named.mapInArrow(work, "row long, doc_id long, tie long, copy binary, size long, values binary")
+    return named.mapInArrow(tidy(work), "row long, doc_id long, tie long, copy binary, size long, values binary")
 
 
 def digest(s: np.ndarray) -> bytes:
@@ -171,7 +171,7 @@ def candidate_forest(classes: DataFrame, threshold: float, tolerance: float) ->
                 key = mix(key + v[:, :, k])
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(b.column("id").to_numpy(), HASHES // BAND))], names=["band", "id"])
 
-    keyed = classes.select("id", "values").mapInArrow(bands, "band long, id long")
+    keyed = classes.select("id", "values").mapInArrow(tidy(bands), "band long, id long")
     counts = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = chunked(keyed, counts, "band", F.ceil(F.col("n") / CHUNK)).join(classes.select("id", "values"), "id")
 
@@ -187,7 +187,7 @@ def candidate_forest(classes: DataFrame, threshold: float, tolerance: float) ->
             yield pa.RecordBatch.from_arrays([pa.array(ids[tied]), pa.array(ids[label[tied]])], names=["a", "b"])
 
     dealt = members.select("cell", "id", "chunk", "cross", "values").repartition("cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(compare), "a long, b long").distinct()
 
 
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -222,7 +222,7 @@ def sets_of(docs: DataFrame, near: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["id", "group", "copies", "values", "set"]).filter(own)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("of"), "text").join(near.withColumnRenamed("doc_id", "of"), "of")
-    found = texts.select("id", "group", "copies", "values", "copy", "text").mapInArrow(work, "id long, group long, copies long, values binary, set binary")
+    found = texts.select("id", "group", "copies", "values", "copy", "text").mapInArrow(tidy(work), "id long, group long, copies long, values binary, set binary")
     return found.dropDuplicates(["id"])
 
 
@@ -260,7 +260,7 @@ def verified(held: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["a", "b", "docs"])
 
     dealt = cells.select("cell", "id", "chunk", "cross", "copies", "set").repartition("cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(verify, "a long, b long, docs long")
+    return dealt.mapInArrow(tidy(verify), "a long, b long, docs long")
 
 
 def classified(docs: DataFrame, n: int, threshold: float, tolerance: float) -> DataFrame:
