@@ -6,7 +6,6 @@ here that Spark lacks: it runs in Arrow batches, once a row, and the rest works
 
 from __future__ import annotations
 
-import string
 import unicodedata
 from collections.abc import Callable
 
@@ -23,7 +22,6 @@ TATWEEL = "ـ"
 DIACRITICS = "[ً-ٰٟۖ-ۭ]"
 LETTERS, PLAIN_LETTERS = "إأآةى", "اااهي"
 ARABIC_BLOCK = "[؀-ۿ]"
-LATIN = string.ascii_letters
 #: Words that wrap a compound's name (fixed values).
 COMPOUND_WORDS = r"(?iU)\b(?:compound|project)\b|كومباوند|كمبوند|كمباوند|مشروع"
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&middot;": "·", "&copy;": "©"}
@@ -81,9 +79,8 @@ def detect_language(text: Column) -> Column:
         few, total = F.least(arabic, latin), arabic + latin
         return F.when(total == 0, F.lit(None).cast("string")).when((few > 0) & (few / total > MIXED_ABOVE), "mixed").when(arabic >= latin, "ar").otherwise(F.when(latin > arabic, "en"))
 
-    without = F.length(F.translate(text, LATIN, ""))
-    counts = F.struct(F.regexp_count(text, F.lit(ARABIC_BLOCK)).alias("arabic"), (F.length(text) - without).alias("latin"))
-    return F.when(text.isNotNull(), let(counts, named))
+    counts = F.struct(F.regexp_count(text, F.lit(ARABIC_BLOCK)).alias("arabic"), F.regexp_count(text, F.lit("[A-Za-z]")).alias("latin"))
+    return let(counts, named)
 
 
 def clean_compound(name: Column) -> Column:
