@@ -210,9 +210,34 @@ def surveyed(docs: DataFrame, least: int, threshold: float) -> DataFrame:
     return docs.select("row", "doc_id", "doc", F.xxhash64("text").alias("tie"), "text").mapInArrow(tidy(work), SURVEYED)
 
 
+#: Bytes of a packed posting: doc, id and signature, then the small numbers.
+NUMBERS = ("line", "k", "place", "chunk")
+WIDTH = 4 * 8 + 4 * len(NUMBERS)
+
+
+def packed(doc: np.ndarray, sets: list[np.ndarray], numbers: list[np.ndarray]) -> pa.Array:
+    """Postings as binary values of WIDTH bytes. Bytes that are mostly zero lie together (doc has its high bytes first, of the numbers all low bytes
+    come first), which the shuffle's compression makes use of."""
+    out = np.empty((len(doc), WIDTH), dtype=np.uint8)
+    out[:, :8] = doc.astype(">i8").view(np.uint8).reshape(-1, 8)
+    out[:, 8:32] = np.stack(sets, axis=1).view(np.uint8).reshape(-1, 24)
+    out[:, 32:] = np.stack(numbers, axis=1).astype("<u4").view(np.uint8).reshape(-1, len(numbers), 4).transpose(0, 2, 1).reshape(len(doc), WIDTH - 32)
+    starts = np.arange(len(doc) + 1, dtype=np.int32) * WIDTH
+    return pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(starts), pa.py_buffer(out)])
+
+
+def unpacked(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
+    """doc, id, low, high and NUMBERS of packed postings."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
+    wide = np.ascontiguousarray(rows[:, 8:32]).view(np.int64)
+    small = np.ascontiguousarray(rows[:, 32:].reshape(-1, 4, len(NUMBERS)).transpose(0, 2, 1)).view("<u4")[:, :, 0].astype(np.int64)
+    found = {"doc": np.ascontiguousarray(rows[:, :8]).view(">i8")[:, 0].astype(np.int64)}
+    return found | {name: wide[:, i].copy() for i, name in enumerate(("id", "low", "high"))} | {name: small[:, i].copy() for i, name in enumerate(NUMBERS)}
+
+
 def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None, some_docs=None) -> DataFrame:
-    """A row for each line, word of its prefix and pair of chunks: cell, id, doc, line (above 32 bits of the chunk, twice, plus 1 for two chunks),
-    shape (k and place), and the set's signature: 128 bits, and 128 more that are not yet folded into those if the line is long.
+    """A row for each line, word of its prefix and pair of chunks: cell, posting (packed: doc, id, the set's signature of 128 bits, line, k, place,
+    and the chunk, twice, plus 1 for two chunks), and 128 more bits of signature that are not yet folded into those if the line is long.
     `cells`, a broadcast table of slots, leaves out all other cells; `some_docs` all other texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +251,7 @@ def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None,
                     out = _postings(x, doc[x.text], counts, threshold)
                     yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
 
-    return docs.select("doc", "text").mapInArrow(tidy(work), "cell int, id long, doc long, line long, shape long, low long, high long, wide binary")
+    return docs.select("doc", "text").mapInArrow(tidy(work), "cell int, posting binary, wide binary")
 
 
 def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> pa.RecordBatch:
@@ -259,9 +284,9 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
         other = mine
     a, b = np.minimum(mine, other), np.maximum(mine, other)
     cell = (mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    columns = [cell, x.id[owner], doc[owner], x.line[owner] << 32 | mine * 2 + (a != b), k[owner] << 32 | place, low[owner].view(np.int64), high[owner].view(np.int64)]
-    packed = [w.tobytes() if n > LONG else None for w, n in zip(wide, k.tolist(), strict=True)]
-    return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(packed, pa.binary()).take(pa.array(owner))], names=["cell", "id", "doc", "line", "shape", "low", "high", "wide"])
+    posting = packed(doc[owner], [x.id[owner], low[owner].view(np.int64), high[owner].view(np.int64)], [x.line[owner], k[owner], place, mine * 2 + (a != b)])
+    longer = [w.tobytes() if n > LONG else None for w, n in zip(wide, k.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(cell), posting, pa.array(longer, pa.binary()).take(pa.array(owner))], names=["cell", "posting", "wide"])
 
 
 class Nearest:
@@ -307,16 +332,16 @@ def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sorted_groups(batches, "cell", 1 << 20):
-            c = {name: t.column(name).to_numpy() for name in t.column_names if name != "wide"}
-            c |= {"chunk": c["line"] & 0xFFFFFFFF, "line": c["line"] >> 32, "long": c["shape"] >> 32 > LONG}
+            c = {"cell": t.column("cell").to_numpy()} | unpacked(t.column("posting"))
+            c["long"] = c["k"] > LONG
             more_bits = np.zeros((t.num_rows, 2), dtype=np.uint64)
             more_bits[c["long"]] = np.frombuffer(b"".join(t.column("wide").drop_null().to_pylist()), np.uint64).reshape(-1, 2)
-            order = np.lexsort(tuple(c[name] for name in ("line", "doc", "chunk", "shape", "id", "cell")))
+            order = np.lexsort(tuple(c[name] for name in ("line", "doc", "chunk", "place", "id", "cell")))
             c, more_bits = {name: v[order] for name, v in c.items()}, more_bits[order]
             once = np.ones(len(order), dtype=bool)  # of lines with one set the earliest
-            once[1:] = np.any([c[name][1:] != c[name][:-1] for name in ("cell", "id", "shape", "chunk")], axis=0)
+            once[1:] = np.any([c[name][1:] != c[name][:-1] for name in ("cell", "id", "place", "chunk")], axis=0)
             c, more_bits = {name: v[once] for name, v in c.items()}, more_bits[once]
-            k, place = c["shape"] >> 32, c["shape"] & 0xFFFFFFFF
+            k, place = c["k"], c["place"]
             low, high = c["low"].view(np.uint64), c["high"].view(np.uint64)
             wanted = None if every is None else every.value[slot_of(c["id"])]
             found = Nearest(len(k))
@@ -415,8 +440,8 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     if not open_.isEmpty():
         # the cells of the lines that are still open, from their own texts; then all lines of these cells
         ids, of = (spark.sparkContext.broadcast(marked(open_, c)) for c in ("x", "x_doc"))
-        mine = lambda batches: (b.filter(pa.array(ids.value[slot_of(b.column("id").to_numpy())], pa.bool_())).select(["cell"]) for b in batches)
-        cells = postings(docs, least, threshold, table, None, of).select("cell", "id").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
+        mine = lambda batches: (b.filter(pa.array(ids.value[slot_of(unpacked(b.column("posting"))["id"])], pa.bool_())).select(["cell"]) for b in batches)
+        cells = postings(docs, least, threshold, table, None, of).select("cell", "posting").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
         some = spark.sparkContext.broadcast(marked(cells, "cell"))
         every = candidates(postings(docs, least, threshold, table, some), threshold, ids).join(open_.select("x"), "x", "left_semi")
         rest = cut(every.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc")))

@@ -295,3 +295,15 @@ def test_pipeline(spark, tmp_path, odd_rows):
         assert stage(spark, docs, folder).columns == docs.columns
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and out.filter("n_tokens = 0").count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_packed_postings(n):
+    """Postings come out of their packed form as they went in, whole and sliced."""
+    rng = np.random.default_rng(n)
+    doc, *sets = (rng.integers(-(2**63), 2**63 - 1, n) for _ in range(4))
+    numbers = [rng.integers(0, 2**32, n) for _ in line_dedup.NUMBERS]
+    column = line_dedup.packed(doc, sets, numbers)
+    found = line_dedup.unpacked(column)
+    assert all((found[k] == v).all() for k, v in zip(["doc", "id", "low", "high", *line_dedup.NUMBERS], [doc, *sets, *numbers], strict=True))
+    assert line_dedup.unpacked(column.slice(min(n, 1)))["doc"].tolist() == doc[1:].tolist()
