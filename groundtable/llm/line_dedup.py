@@ -210,51 +210,117 @@ def surveyed(docs: DataFrame, least: int, threshold: float) -> DataFrame:
     return docs.select("row", "doc_id", "doc", F.xxhash64("text").alias("tie"), "text").mapInArrow(tidy(work), SURVEYED)
 
 
-#: Bytes of a packed posting: doc, id and signature, then the small numbers.
-NUMBERS = ("line", "k", "place", "chunk")
-WIDTH = 4 * 8 + 4 * len(NUMBERS)
+#: Columns of a posting, a row of WIDTH bytes: what is sorted by, the line, the set's signature, then small numbers.
+COLUMNS = {"cell": "<u4", "doc": "<i8", "id": "<i8", "low": "<i8", "high": "<i8", "line": "<u4", "k": "<u4", "place": "<u4", "chunk": "<u4"}
+WIDTH = sum(np.dtype(kind).itemsize for kind in COLUMNS.values())
+#: Postings that a task gathers before it passes them on; postings of a bucket, about; buckets for each partition, at least.
+GATHERED, BUCKET, BUCKETS = 1 << 19, 1 << 15, 8
+
+
+def rows_of_bytes(columns: dict[str, np.ndarray]) -> np.ndarray:
+    """Postings as rows of WIDTH bytes."""
+    parts = [np.ascontiguousarray(columns[c]).astype(kind) for c, kind in COLUMNS.items()]
+    return np.concatenate([v.view(np.uint8).reshape(len(v), v.itemsize) for v in parts], axis=1)
+
+
+def long_ones(rows: np.ndarray) -> np.ndarray:
+    """Which postings, as rows of bytes, are of long lines."""
+    at = sum(np.dtype(kind).itemsize for kind in list(COLUMNS.values())[: list(COLUMNS).index("k")])
+    return np.ascontiguousarray(rows[:, at : at + 4]).view("<u4")[:, 0] > LONG
+
+
+def columns_of_bytes(planes: np.ndarray) -> dict[str, np.ndarray]:
+    """The columns of postings, from rows of bytes turned about: row i of `planes` holds byte i of each."""
+    found, at = {}, 0
+    for c, kind in COLUMNS.items():
+        size = np.dtype(kind).itemsize
+        values = np.ascontiguousarray(planes[at : at + size].T).view(kind)[:, 0]
+        found[c], at = values if c == "cell" else values.astype(np.int64), at + size
+    return found
+
+
+def bucket_bits(counts: np.ndarray, threshold: float, partitions: int) -> int:
+    """Upper bits of a cell that make its bucket: enough for buckets of about BUCKET postings, by the corpus's words, and for all partitions."""
+    of_prefixes = int(AT_MOST[counts[counts > 1]].sum()) * (1 - threshold)
+    return min(24, int(np.ceil(np.log2(max(of_prefixes / BUCKET, BUCKETS * partitions)))))
+
+
+def in_buckets(held: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """Postings, and further bits of signature of the long ones, as rows of (bucket, postings, wide), ordered by cell. Of a bucket's postings all first bytes
+    lie together, then all second ones: many are zero, which the shuffle's compression makes use of."""
+    rows, wide = (np.concatenate(parts) for parts in zip(*held, strict=True))
+    cell, long = np.ascontiguousarray(rows[:, :4]).view("<u4")[:, 0], long_ones(rows)
+    order = np.argsort(cell)
+    wide = wide[(np.cumsum(long) - 1)[order][long[order]]]
+    rows, bucket, long = rows[order], (cell[order] >> np.uint32(32 - bits)).astype(np.int32), long[order]
+    edges = runs(bucket)
+    upto = np.concatenate(([0], np.cumsum(long)))[edges]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[edges[:-1]] if len(bucket) else bucket),
+            pa.array([rows[lo:hi].T.tobytes() for lo, hi in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
+            pa.array([wide[lo:hi].tobytes() for lo, hi in zip(upto[:-1], upto[1:], strict=True)], pa.binary()),
+        ],
+        names=["bucket", "postings", "wide"],
+    )
 
 
-def packed(doc: np.ndarray, sets: list[np.ndarray], numbers: list[np.ndarray]) -> pa.Array:
-    """Postings as binary values of WIDTH bytes. Bytes that are mostly zero lie together (doc has its high bytes first, of the numbers all low bytes
-    come first), which the shuffle's compression makes use of."""
-    out = np.empty((len(doc), WIDTH), dtype=np.uint8)
-    out[:, :8] = doc.astype(">i8").view(np.uint8).reshape(-1, 8)
-    out[:, 8:32] = np.stack(sets, axis=1).view(np.uint8).reshape(-1, 24)
-    out[:, 32:] = np.stack(numbers, axis=1).astype("<u4").view(np.uint8).reshape(-1, len(numbers), 4).transpose(0, 2, 1).reshape(len(doc), WIDTH - 32)
-    starts = np.arange(len(doc) + 1, dtype=np.int32) * WIDTH
-    return pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(starts), pa.py_buffer(out)])
+def out_of_buckets(t: pa.Table) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The postings of rows of in_buckets(), and two numbers of further bits for each, zero where there are none."""
+    planes = [np.frombuffer(v.as_buffer(), np.uint8).reshape(WIDTH, -1) for v in t.column("postings")]
+    c = columns_of_bytes(np.concatenate(planes, axis=1))
+    more = np.zeros((len(c["cell"]), 2), dtype=np.uint64)
+    more[c["k"] > LONG] = np.frombuffer(b"".join(t.column("wide").to_pylist()), np.uint64).reshape(-1, 2)
+    return c, more
 
 
-def unpacked(column: pa.ChunkedArray) -> dict[str, np.ndarray]:
-    """doc, id, low, high and NUMBERS of packed postings."""
-    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
-    wide = np.ascontiguousarray(rows[:, 8:32]).view(np.int64)
-    small = np.ascontiguousarray(rows[:, 32:].reshape(-1, 4, len(NUMBERS)).transpose(0, 2, 1)).view("<u4")[:, :, 0].astype(np.int64)
-    found = {"doc": np.ascontiguousarray(rows[:, :8]).view(">i8")[:, 0].astype(np.int64)}
-    return found | {name: wide[:, i].copy() for i, name in enumerate(("id", "low", "high"))} | {name: small[:, i].copy() for i, name in enumerate(NUMBERS)}
+def posted(batches: Iterator[pa.RecordBatch], least: int, threshold: float, counts: np.ndarray, some_docs: np.ndarray | None) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray]]:
+    """Columns of the postings of batches of (doc, text), and for each of a long line two numbers, further bits of its signature. `some_docs`, a table of
+    slots, leaves out all other texts."""
+    for b in batches:
+        if some_docs is not None:
+            b = b.filter(pa.array(some_docs[slot_of(b.column("doc").to_numpy())], pa.bool_()))
+        doc = b.column("doc").to_numpy()
+        for x in line_sets(find_words(b.column("text")), least, counts):
+            if len(x.id):
+                yield _postings(x, doc[x.text], counts, threshold)
 
 
-def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None, some_docs=None) -> DataFrame:
-    """A row for each line, word of its prefix and pair of chunks: cell, posting (packed: doc, id, the set's signature of 128 bits, line, k, place,
-    and the chunk, twice, plus 1 for two chunks), and 128 more bits of signature that are not yet folded into those if the line is long.
-    `cells`, a broadcast table of slots, leaves out all other cells; `some_docs` all other texts."""
+def postings(docs: DataFrame, least: int, threshold: float, shipped, cells=None) -> DataFrame:
+    """A posting for each line, word of its prefix and pair of chunks (its chunk is given twice, plus 1 for two chunks), many in a row: bucket, postings, wide.
+    `cells`, a broadcast table of slots, leaves out all other cells."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = bucket_bits(shipped.value, threshold, partitions)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shipped.value
-        for b in batches:
-            if some_docs is not None:
-                b = b.filter(pa.array(some_docs.value[slot_of(b.column("doc").to_numpy())], pa.bool_()))
-            doc = b.column("doc").to_numpy()
-            for x in line_sets(find_words(b.column("text")), least, counts):
-                if len(x.id):
-                    out = _postings(x, doc[x.text], counts, threshold)
-                    yield out if cells is None else out.filter(pa.array(cells.value[slot_of(out.column("cell").to_numpy().astype(np.int64))], pa.bool_()))
+        held, size = [], 0
+        for c, wide in posted(batches, least, threshold, shipped.value, None):
+            rows = rows_of_bytes(c)
+            if cells is not None:
+                on = cells.value[slot_of(c["cell"].astype(np.int64))]
+                rows, wide = rows[on], wide[on[long_ones(rows)]]
+            held.append((rows, wide))
+            size += len(rows)
+            if size >= GATHERED:
+                yield in_buckets(held, bits)
+                held, size = [], 0
+        if size:
+            yield in_buckets(held, bits)
+
+    return docs.select("doc", "text").mapInArrow(tidy(work), "bucket int, postings binary, wide binary")
+
+
+def cells_of(docs: DataFrame, least: int, threshold: float, shipped, ids, some_docs) -> DataFrame:
+    """cell (long): the cells of the lines whose ids' slots are set in `ids`, from the texts whose slots are set in `some_docs`, both broadcast."""
 
-    return docs.select("doc", "text").mapInArrow(tidy(work), "cell int, posting binary, wide binary")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c, _ in posted(batches, least, threshold, shipped.value, some_docs.value):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(c["cell"][ids.value[slot_of(c["id"])]]).astype(np.int64))], names=["cell"])
 
+    return docs.select("doc", "text").mapInArrow(tidy(work), "cell long").distinct()
 
-def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> pa.RecordBatch:
+
+def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -> tuple[dict[str, np.ndarray], np.ndarray]:
     k = np.diff(x.start)
     bit = mix(x.words)
     one = np.uint64(1) << (bit & np.uint64(63))
@@ -283,10 +349,9 @@ def _postings(x: Lines, doc: np.ndarray, counts: np.ndarray, threshold: float) -
     else:
         other = mine
     a, b = np.minimum(mine, other), np.maximum(mine, other)
-    cell = (mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    posting = packed(doc[owner], [x.id[owner], low[owner].view(np.int64), high[owner].view(np.int64)], [x.line[owner], k[owner], place, mine * 2 + (a != b)])
-    longer = [w.tobytes() if n > LONG else None for w, n in zip(wide, k.tolist(), strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(cell), posting, pa.array(longer, pa.binary()).take(pa.array(owner))], names=["cell", "posting", "wide"])
+    cell = (mix(mix(h + a.astype(np.uint64)) + b.astype(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+    columns = {"cell": cell, "doc": doc[owner], "id": x.id[owner], "low": low[owner].view(np.int64), "high": high[owner].view(np.int64)}
+    return columns | {"line": x.line[owner], "k": k[owner], "place": place, "chunk": mine * 2 + (a != b)}, wide[owner[k[owner] > LONG]]
 
 
 class Nearest:
@@ -319,6 +384,26 @@ class Nearest:
         return self.held[0][:3]
 
 
+def by_cell(c: dict[str, np.ndarray]) -> np.ndarray:
+    """Where postings stand, ordered by cell and id; of those that are alike in cell, id, place and chunk the earliest line's only."""
+    key = c["cell"].astype(np.uint64) << np.uint64(32) | c["id"].view(np.uint64) >> np.uint64(32)
+    order = np.argsort(key)
+    key = key[order]
+    tied = np.zeros(len(order), dtype=bool)
+    tied[1:] = key[1:] == key[:-1]
+    tied[:-1] |= tied[1:]
+    on = np.flatnonzero(tied)
+    # few have equals; only these are put in order by all columns
+    some = order[on]
+    some = some[np.lexsort(tuple(c[name][some] for name in ("line", "doc", "chunk", "place", "id")) + (key[on],))]
+    order[on] = some
+    again = np.zeros(len(on), dtype=bool)
+    again[1:] = np.all([c[name][some][1:] == c[name][some][:-1] for name in ("cell", "id", "place", "chunk")], axis=0)
+    keep = np.ones(len(order), dtype=bool)
+    keep[on[again]] = False
+    return order[keep]
+
+
 def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
     """x, x_doc, y, y_doc, apart, more: earlier lines y that may be alike to x.
 
@@ -331,16 +416,12 @@ def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(v) for v in (c["id"][x], c["doc"][x], c["id"][y], c["doc"][y], apart, more)], names=["x", "x_doc", "y", "y_doc", "apart", "more"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in sorted_groups(batches, "cell", 1 << 20):
-            c = {"cell": t.column("cell").to_numpy()} | unpacked(t.column("posting"))
-            c["long"] = c["k"] > LONG
-            more_bits = np.zeros((t.num_rows, 2), dtype=np.uint64)
-            more_bits[c["long"]] = np.frombuffer(b"".join(t.column("wide").drop_null().to_pylist()), np.uint64).reshape(-1, 2)
-            order = np.lexsort(tuple(c[name] for name in ("line", "doc", "chunk", "place", "id", "cell")))
+        few = (b.slice(at, 16) for b in batches for at in range(0, b.num_rows, 16))
+        for t in sorted_groups(few, "bucket", 1 << 20):
+            c, more_bits = out_of_buckets(t)
+            order = by_cell(c)
             c, more_bits = {name: v[order] for name, v in c.items()}, more_bits[order]
-            once = np.ones(len(order), dtype=bool)  # of lines with one set the earliest
-            once[1:] = np.any([c[name][1:] != c[name][:-1] for name in ("cell", "id", "place", "chunk")], axis=0)
-            c, more_bits = {name: v[once] for name, v in c.items()}, more_bits[once]
+            c["long"] = c["k"] > LONG
             k, place = c["k"], c["place"]
             low, high = c["low"].view(np.uint64), c["high"].view(np.uint64)
             wanted = None if every is None else every.value[slot_of(c["id"])]
@@ -369,7 +450,7 @@ def candidates(cells: DataFrame, threshold: float, every=None) -> DataFrame:
             if len(x):
                 yield named(c, x, y, apart, found.cut[x])
 
-    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(tidy(work), "x long, x_doc long, y long, y_doc long, apart long, more boolean")
+    return cells.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(work), "x long, x_doc long, y long, y_doc long, apart long, more boolean")
 
 
 def enough_in_common(p: list[np.ndarray], q: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -440,8 +521,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, least: int = 5) -> D
     if not open_.isEmpty():
         # the cells of the lines that are still open, from their own texts; then all lines of these cells
         ids, of = (spark.sparkContext.broadcast(marked(open_, c)) for c in ("x", "x_doc"))
-        mine = lambda batches: (b.filter(pa.array(ids.value[slot_of(unpacked(b.column("posting"))["id"])], pa.bool_())).select(["cell"]) for b in batches)
-        cells = postings(docs, least, threshold, table, None, of).select("cell", "posting").mapInArrow(mine, "cell int").distinct().select(F.col("cell").cast("long").alias("cell"))
+        cells = cells_of(docs, least, threshold, table, ids, of)
         some = spark.sparkContext.broadcast(marked(cells, "cell"))
         every = candidates(postings(docs, least, threshold, table, some), threshold, ids).join(open_.select("x"), "x", "left_semi")
         rest = cut(every.groupBy("x", "y").agg(F.first("x_doc").alias("x_doc"), F.first("y_doc").alias("y_doc")))

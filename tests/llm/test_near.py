@@ -297,13 +297,31 @@ def test_pipeline(spark, tmp_path, odd_rows):
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and out.filter("n_tokens = 0").count() == 0
 
 
-@pytest.mark.parametrize("n", [0, 1, 1000])
-def test_packed_postings(n):
-    """Postings come out of their packed form as they went in, whole and sliced."""
+@pytest.mark.parametrize(("n", "bits"), [(1, 5), (1000, 5), (1000, 24)])
+def test_bucketed_postings(n, bits):
+    """Postings come out of their buckets as they went in, each bucket in one row, further bits at the long lines'."""
     rng = np.random.default_rng(n)
-    doc, *sets = (rng.integers(-(2**63), 2**63 - 1, n) for _ in range(4))
-    numbers = [rng.integers(0, 2**32, n) for _ in line_dedup.NUMBERS]
-    column = line_dedup.packed(doc, sets, numbers)
-    found = line_dedup.unpacked(column)
-    assert all((found[k] == v).all() for k, v in zip(["doc", "id", "low", "high", *line_dedup.NUMBERS], [doc, *sets, *numbers], strict=True))
-    assert line_dedup.unpacked(column.slice(min(n, 1)))["doc"].tolist() == doc[1:].tolist()
+    c = {k: rng.integers(0, 2**32, n) for k in ("cell", "line", "place", "chunk")} | {k: rng.integers(-(2**63), 2**63 - 1, n) for k in ("doc", "id", "low", "high")}
+    c |= {"cell": c["cell"].astype(np.uint32), "k": rng.integers(1, 2 * line_dedup.LONG, n)}
+    long = c["k"] > line_dedup.LONG
+    more = np.zeros((n, 2), np.uint64)
+    more[long] = rng.integers(1, 2**63, (long.sum(), 2))
+    rows, half = line_dedup.rows_of_bytes(c), n // 2
+    b = line_dedup.in_buckets([(rows[:half], more[:half][long[:half]]), (rows[half:], more[half:][long[half:]])], bits)
+    assert b.column("bucket").to_pylist() == sorted({int(x) >> (32 - bits) for x in c["cell"]})
+    got, bits_got = line_dedup.out_of_buckets(pa.Table.from_batches([b]))
+    flat = lambda c, more: sorted(zip(*(c[k].tolist() for k in line_dedup.COLUMNS), *more.T.tolist(), strict=True))
+    assert flat(got, bits_got) == flat(c, more)
+
+
+def test_postings_by_cell():
+    """Of postings alike in cell, id, place and chunk the earliest line's stays; ids that share their upper half are told apart."""
+    rng = np.random.default_rng(7)
+    c = {k: rng.integers(0, 3, 500) for k in ("place", "chunk", "doc", "line")} | {"cell": rng.integers(0, 4, 500).astype(np.uint32), "id": rng.integers(-2, 3, 500)}
+    got = line_dedup.by_cell(c)
+    first = {}
+    for r in zip(*(c[k].tolist() for k in ("cell", "id", "place", "chunk", "doc", "line")), strict=True):
+        first[r[:4]] = min(r[4:], first.get(r[:4], r[4:]))
+    assert sorted((*(int(c[k][i]) for k in ("cell", "id", "place", "chunk")),) for i in got) == sorted(first)
+    assert all((c["doc"][i], c["line"][i]) == first[tuple(int(c[k][i]) for k in ("cell", "id", "place", "chunk"))] for i in got)
+    assert (np.diff(c["cell"][got].astype(int)) >= 0).all()
