@@ -89,14 +89,14 @@ def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -
 def append_columns(
     df: DataFrame, added: dict[str, T.DataType], make: Callable[[], Callable[[pa.RecordBatch], list]], drop: tuple[str, ...] = ()
 ) -> DataFrame:
-    """`df` with columns computed in Arrow batches; an input column of a same name is replaced.
+    """`df` with columns computed in Arrow batches; an input column of a same name, in any case, is replaced.
 
     `make()` runs once in each task and returns a function from a batch to one array for each added column; its
     attribute forget, if it has one, is called at the task's end.
     """
     small_batches(df.sparkSession)
-    gone = {*added, *drop}
-    kept = [c for c in df.columns if c not in gone]
+    gone = {c.lower() for c in (*added, *drop)}
+    kept = [c for c in df.columns if c.lower() not in gone]
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + [T.StructField(k, v) for k, v in added.items()])
     names = [*kept, *added]
 

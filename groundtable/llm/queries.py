@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundtable.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, quality_mil, quality_rules, token_lengths, toxicity_fm
+from groundtable.llm import ann, bpe, dual_tree, lattice_lm, line_dedup, mixing, ngram_join, periodic_runs, quality_mil, quality_rules, sharding, token_lengths, toxicity_fm
 from groundtable.session import cut, table
 
 #: The vocabulary file of the encoding queries.
@@ -73,5 +75,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(cut(sized), tie=F.col("tie")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op4_line_dedup": op4_line_dedup, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing}
+def with_tail(key: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents, by crc32 of the id, with a tail that repeats; others, and those without an id, as they are."""
+    h = crc32(b"%d" % key) if key is not None else 1
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    period = words[a : a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (period * (1 + (n - a) // len(period)))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document: how many, the longest, and digests of all of them and of the text without their repeats."""
+    found = periodic_runs.detect(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",), change=with_tail)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"), F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document; shards of nearly equal bytes."""
+    placed = sharding.assign(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds."""
+    return dual_tree.report(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op4_line_dedup": op4_line_dedup, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing, "op11_periodic_runs": op11_periodic_runs, "op12_sharding": op12_sharding, "op13_dual_tree": op13_dual_tree}
 ORACLE_SQL: dict[str, str] = {}
