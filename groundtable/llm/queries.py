@@ -110,4 +110,37 @@ def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_lattice_lm": op3_lattice_lm, "op4_line_dedup": op4_line_dedup, "op5_bpe": op5_bpe, "op6_toxicity_fm": op6_toxicity_fm, "op7_ngram_join": op7_ngram_join, "op8_token_counts": op8_token_counts, "op9_quality_mil": op9_quality_mil, "op10_mixing": op10_mixing, "op11_periodic_runs": op11_periodic_runs, "op12_sharding": op12_sharding, "op13_dual_tree": op13_dual_tree}
-ORACLE_SQL: dict[str, str] = {}
+#: Steps of crc32 by table, as text has no such function there; sums of sizes in the order of digest and id.
+SHARDS_SQL = """
+WITH RECURSIVE bits(n, k, v) AS (SELECT n, 0, n FROM range(256) t(n) UNION ALL SELECT n, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+steps AS (SELECT list(v ORDER BY n) AS step FROM bits WHERE k = 8),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS code, md5(coalesce(text, '')) AS digest FROM documents),
+sums AS (SELECT digest, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(len(code) // 2), lambda i: CAST('0x' || substr(code, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+  lambda a, b: xor(a >> 8, step[1 + (xor(a, b) & 255)]))) AS text_crc32 FROM (SELECT DISTINCT digest, code FROM d), steps),
+sized AS (SELECT doc_id, digest, len(code) // 2 + 8 AS size FROM d),
+summed AS (SELECT *, sum(size) OVER (ORDER BY digest, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total, row_number() OVER (ORDER BY digest, doc_id NULLS FIRST) AS nth FROM sized),
+cut AS (SELECT *, CAST((2 * upto - size) * 24 // (2 * total) AS INTEGER) AS shard FROM summed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard, nth - min(nth) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut JOIN sums USING (digest)"""
+
+
+def clusters_sql(rounds: int = 3) -> str:
+    """Lloyd's rounds as one common table each: c<n> the centroids, a<n> what is nearest to them."""
+    parts = [
+        """kept AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0)""",
+        "c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept QUALIFY c < 16)",
+    ]
+    for n in range(rounds + 1):
+        distance = "CAST(list_inner_product(k.v, k.v) - 2 * list_inner_product(k.v, m.v) + list_inner_product(m.v, m.v) AS BIGINT)"
+        parts.append(f"a{n} AS (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(near) AS near FROM (SELECT k.r, k.vec_id, k.v, {{'d': {distance}, 'c': m.c}} AS near FROM kept k, c{n} m) GROUP BY r)")
+        if n < rounds:
+            parts.append(f"""c{n + 1} AS (SELECT m.c, coalesce(f.v, m.v) AS v FROM c{n} m LEFT JOIN (SELECT c, list(x ORDER BY k) AS v FROM (
+  SELECT c, k, floor(sum(x) / count(*)) AS x FROM (SELECT near.c AS c, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM a{n}) GROUP BY c, k) GROUP BY c) f USING (c))""")
+    return f"""
+WITH {", ".join(parts)}
+SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance, CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia, CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(m.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256 FROM a{rounds} a JOIN c{rounds} m ON m.c = a.near.c"""
+
+
+ORACLE_SQL: dict[str, str] = {"op12_sharding": SHARDS_SQL, "op13_dual_tree": clusters_sql()}
