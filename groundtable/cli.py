@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         batch.run_extract(spark, a.store, a.version, a.model, a.limit)
     elif a.command == "run":
         batch.run(spark, a.store, a.version, a.model, a.limit, a.out)
+    elif a.command == "backfill":
+        batch.run_backfill(spark, a.store, a.limit).show(truncate=False)
     else:
         look(spark, a)
 
@@ -42,11 +44,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
 def look(spark: SparkSession, a: argparse.Namespace) -> None:
     """The commands that take no new input."""
     tables = {t: batch.load(spark, a.store, t) for t in batch.TABLES}
-    if a.command == "backfill":
-        records, counts = batch.refill(tables["records"], tables["listings"], a.limit)
-        counts.show(truncate=False)
-        batch.save(records, a.store, "records")
-    elif a.command == "status":
+    if a.command == "status":
         report.status(*tables.values(), version=a.version, model=a.model or None).show(truncate=False)
         report.spending(tables["extractions"]).show()
     elif a.command == "failures":

@@ -16,6 +16,8 @@ TOUCHED = (
     "compound_name", "sale_type", "installment_amount", "installment_frequency", "installment_years", "down_payment_amount", "down_payment_pct", "cash_discount_pct",
     "total_installment_cost", "finishing_level", "delivery_status", "payment_type",
 )
+#: Hints that a backfill brings up to date (fixed values).
+PLAN_HINTS = ("hint_monthly_installment", "hint_installment_years")
 
 
 def nonzero(value: Column) -> Column:
@@ -47,26 +49,35 @@ def overlay(df: DataFrame) -> DataFrame:
 
 
 def backfill(records: DataFrame, listings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Extracted records laid over again, with `changed` (names of the columns that differ), and one row of change counts.
+    """Extracted records laid over again, with `changed` (names of the columns of TOUCHED that differ) and `refreshed` (whether a hint
+    of the plan does), and one row of change counts.
 
     Running it on its own result changes nothing.
     """
     extra = F.from_json("hit_json", schemas.HIT)["extraFields"]
     hits = listings.select("listing_id", extra.alias("_extra"))
     rows = records.filter("extracted_at is not null").join(hits, "listing_id")
-    before = rows.withColumns({f"_old_{c}": F.col(c) for c in TOUCHED})
+    before = rows.withColumns({f"_old_{c}": F.col(c) for c in (*TOUCHED, *PLAN_HINTS, "hint_ownership")})
     hinted = before.withColumns({
         "hint_ownership": F.coalesce(F.nullif("hint_ownership", F.lit("")), F.col("_extra.ownership")),
         "hint_monthly_installment": F.col("_extra.monthly_installment"),
         "hint_installment_years": F.col("_extra.installments_payment_duration_years"),
     })
     after = overlay(hinted).withColumns({c: canon_enum(c, F.nullif(F.col(c), F.lit(""))) for c in schemas.ENUMS})
-    differs = F.array_compact(F.array(*(F.when(~F.col(c).eqNullSafe(F.col(f"_old_{c}")), F.lit(c)) for c in TOUCHED)))
-    after = after.withColumn("changed", differs).drop("_extra", *(f"_old_{c}" for c in TOUCHED))
+    differs = lambda c: ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+    after = after.withColumns({
+        "changed": F.array_compact(F.array(*(F.when(differs(c), F.lit(c)) for c in TOUCHED))), "refreshed": differs(PLAN_HINTS[0]) | differs(PLAN_HINTS[1]), "hint_ownership": F.col("_old_hint_ownership"),
+    })
+    after = after.drop("_extra", *(f"_old_{c}" for c in (*TOUCHED, *PLAN_HINTS, "hint_ownership")))
     after = after.withColumn("normalized_at", F.when(F.size("changed") > 0, F.current_timestamp()).otherwise(F.col("normalized_at")))
     return after, changes(after)
 
 
+def change_set(after: DataFrame) -> DataFrame:
+    """What a backfill has to write: of the rows with any difference, the columns that it may change."""
+    return after.filter((F.size("changed") > 0) | F.col("refreshed")).select("listing_id", *TOUCHED, *PLAN_HINTS, "normalized_at")
+
+
 def changes(after: DataFrame, fields: tuple[str, ...] = TOUCHED) -> DataFrame:
     """One row: in how many rows each field is among `changed`."""
     return after.agg(*(F.count_if(F.array_contains("changed", c)).alias(c) for c in fields))

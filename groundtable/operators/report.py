@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundtable.functions.money import unit_price
+from groundtable.operators.order import quantiles
 from groundtable.operators.queues import pending_extract, pending_fetch, pending_parse
 
 
@@ -43,16 +44,20 @@ def disclosure(records: DataFrame) -> DataFrame:
 def plan_ratios(records: DataFrame) -> DataFrame:
     """Exact median, mean and range of a plan's total over the cash price, and how many are at, well below and above it."""
     r = F.col("total_installment_cost") / F.nullif("price", F.lit(0.0))
-    return records.select(r.alias("r")).filter("r is not null").agg(
-        F.count("r").alias("n"), F.median("r").alias("median"), F.avg("r").alias("mean"), F.min("r").alias("least"), F.max("r").alias("most"),
+    ratios = records.select(r.alias("r")).filter("r is not null")
+    one = ratios.agg(
+        F.count("r").alias("n"), F.avg("r").alias("mean"), F.min("r").alias("least"), F.max("r").alias("most"),
         F.count_if(F.abs(F.col("r") - 1) < 5e-4).alias("at_one"), F.count_if(F.col("r") < 0.9).alias("below"), F.count_if(F.col("r") > 1.02).alias("above"),
     )
+    middle = quantiles(ratios, [], "r").select(F.col("q0").alias("median"))
+    return one.join(middle, F.lit(True), "left").select("n", "median", "mean", "least", "most", "at_one", "below", "above")  # one row by one row at most
 
 
 def unit_prices(records: DataFrame) -> DataFrame:
-    """Median, range and number of unit prices by city of three-bedroom apartments for sale."""
+    """Exact median, range and number of unit prices by city of three-bedroom apartments for sale; cities without a price are left out."""
     rows = records.filter("purpose = 'sale' and property_type = 'apartment' and bedrooms = 3")
-    return rows.select("city", unit_price(F.col("price"), F.col("area_sqm")).alias("p")).groupBy("city").agg(F.median("p").alias("median"), F.min("p").alias("least"), F.max("p").alias("most"), F.count("p").alias("n"))
+    priced = rows.select("city", unit_price(F.col("price"), F.col("area_sqm")).alias("p"))
+    return quantiles(priced, ["city"], "p").select("city", F.col("q0").alias("median"), "least", "most", "n")
 
 
 def coverage(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -47,13 +47,21 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], on_insert: di
     return both.select(*out)
 
 
-def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """`target` and the batch's rows of new keys, the first of each key in `order`."""
+def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The batch's rows of keys that `target` has not, the first of each key in `order`."""
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    fresh = batch.withColumn("_n", first).filter("_n = 1").drop("_n").join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh, allowMissingColumns=True)
+    return batch.withColumn("_n", first).filter("_n = 1").drop("_n").join(target.select(*keys), keys, "left_anti")
+
+
+def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """`target` and the batch's new_rows()."""
+    return target.unionByName(new_rows(target, batch, keys, order), allowMissingColumns=True)
+
+
+def cut_message(message: Column) -> Column:
+    return F.substring(message, 1, MESSAGE_CHARS)
 
 
 def log_failures(failures: DataFrame, rows: DataFrame) -> DataFrame:
-    """Dead letters appended, their messages cut."""
-    return failures.unionByName(rows.withColumn("message", F.substring("message", 1, MESSAGE_CHARS)), allowMissingColumns=True)
+    """Dead letters appended, their messages cut. keyed.log() does the same to a table of the store, once for each letter and with ids."""
+    return failures.unionByName(rows.withColumn("message", cut_message(F.col("message"))), allowMissingColumns=True)

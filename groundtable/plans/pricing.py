@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from groundtable.functions.money import plan_total, unit_price
 from groundtable.operators import report
-from groundtable.session import table
+from groundtable.operators.order import quantiles
+from groundtable.session import stored, table
 
 
 def median_unit_price_by_segment(spark: SparkSession, d: str) -> DataFrame:
@@ -15,13 +16,23 @@ def median_unit_price_by_segment(spark: SparkSession, d: str) -> DataFrame:
     line = table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity")
     order = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     who = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
-    return (
+    prices = (
         line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(who, F.col("o_custkey") == F.col("c_custkey"))
-        .select("c_mktsegment", unit_price(F.col("l_extendedprice"), F.nullif("l_quantity", F.lit(1.0))).alias("p"))
-        .groupBy(F.col("c_mktsegment").alias("segment"))
-        .agg(F.median("p").alias("median_price"), F.min("p").alias("min_price"), F.max("p").alias("max_price"), F.count("p").alias("n"))
+        .select(F.col("c_mktsegment").alias("segment"), unit_price(F.col("l_extendedprice"), F.nullif("l_quantity", F.lit(1.0))).alias("p"))
     )
+    prices = stored(prices, "prices")  # looked at twice, joined once
+    return quantiles(prices, ["segment"], "p").select("segment", F.col("q0").alias("median_price"), F.col("least").alias("min_price"), F.col("most").alias("max_price"), "n")
+
+
+def unit_prices_by_city(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as three-bedroom apartments for sale and what is not, their brands as cities, some without an area."""
+    k = F.col("p_partkey")
+    rows = table(spark, d, "part").select(
+        F.when(k % 10 != 0, "sale").otherwise("rent").alias("purpose"), F.when(k % 7 != 0, "apartment").alias("property_type"), F.when(k % 6 != 0, 3).otherwise(2).alias("bedrooms"),
+        F.when(F.col("p_size") > 5, F.col("p_brand")).alias("city"), F.col("p_retailprice").alias("price"), F.nullif(F.col("p_size").cast("double"), F.lit(9.0)).alias("area_sqm"),
+    )
+    return report.unit_prices(rows)
 
 
 def unit_price_null_safe(spark: SparkSession, d: str) -> DataFrame:
@@ -105,7 +116,7 @@ def cost_sum(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (median_unit_price_by_segment, unit_price_null_safe, plan_disclosure_funnel, plan_ratio_stats, distribution_by_group, duplicate_key_check, attribute_coverage, status_counts, cost_sum)
+    for f in (median_unit_price_by_segment, unit_price_null_safe, plan_disclosure_funnel, plan_ratio_stats, distribution_by_group, duplicate_key_check, attribute_coverage, status_counts, cost_sum, unit_prices_by_city)
 } | {"plan_total": plan_totals}
 ORACLE_SQL = {
     "median_unit_price_by_segment": """
@@ -113,6 +124,9 @@ SELECT c_mktsegment AS segment, median(p) AS median_price, min(p) AS min_price,
 FROM (SELECT c_mktsegment, l_extendedprice / nullif(nullif(l_quantity, 1), 0) AS p
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
 GROUP BY c_mktsegment""",
+    "unit_prices_by_city": """
+SELECT CASE WHEN p_size > 5 THEN p_brand END AS city, median(p) AS median, min(p) AS least, max(p) AS most, count(p) AS n FROM (SELECT *, p_retailprice / nullif(p_size, 9) AS p FROM part)
+WHERE p_partkey % 10 <> 0 AND p_partkey % 7 <> 0 AND p_partkey % 6 <> 0 GROUP BY 1""",
     "unit_price_null_safe": "SELECT l_orderkey, l_linenumber, l_extendedprice / nullif(nullif(l_quantity, 1), 0) AS unit_price FROM lineitem",
     "plan_total": f"WITH {PLANS} SELECT id AS listing_id, total FROM plans",
     "plan_disclosure_funnel": f"""

@@ -245,7 +245,9 @@ def extract_batch(spark: SparkSession, d: str) -> DataFrame:
     raw = F.when(k % 3 == 0, F.concat(F.lit('Here: {"developer_name": "Acme", "down_payment_amount": "'), F.col("said"), F.lit('"}'))).when(k % 3 == 1, F.lit('{"developer_name": "Nobody", "amenities": ["pool"]}')).otherwise("no answer")
     landed = orders.select("listing_id", F.lit("v1").alias("prompt_version"), F.lit("m").alias("model"), raw.alias("raw_json"), F.lit(1000).cast("long").alias("tokens_in"), F.lit(500).cast("long").alias("tokens_out"))
     empty = lambda schema: spark.createDataFrame([], schema)
-    kept, log, failed = batch.extract(store.migrate(records, spark, schemas.RECORDS), empty(schemas.EXTRACTIONS), store.migrate(landed, spark, schemas.EXTRACTIONS), empty(schemas.FAILURES), "v1", "m", rates={"m": (1.0, 2.0)})
+    records = store.migrate(records, spark, schemas.RECORDS)
+    updates, log, failed = batch.extract(records, empty(schemas.EXTRACTIONS), store.migrate(landed, spark, schemas.EXTRACTIONS), "v1", "m", rates={"m": (1.0, 2.0)})
+    kept = store.upsert(records, updates, ["listing_id"])
     failed = failed.select("listing_id", F.col("error_class").alias("failure"))
     fields = kept.select("listing_id", "developer_name", "down_payment_amount", F.array_join("amenities", ",").alias("amenities"), "taxonomy_version", F.col("normalized_at").isNotNull().alias("normalized"))
     return log.select("listing_id", "grounded", "cost_usd", "error").join(fields, "listing_id").join(failed, "listing_id", "left")

@@ -28,9 +28,9 @@ def is_blocked(html: Column, marks: tuple[str, ...] = LISTING_MARKS) -> Column:
     return F.coalesce((F.length(html) < LEAST_CHARS) | challenge | ~real, F.lit(True))
 
 
-def page_rows(landed: DataFrame) -> DataFrame:
-    """listing_id, url, html with bytes (characters, as ever), content_hash and blocked."""
-    return landed.select("listing_id", "url", "html", F.length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("content_hash"), is_blocked(F.col("html")).alias("blocked"))
+def page_rows(landed: DataFrame, *more: str, marks: tuple[str, ...] = LISTING_MARKS) -> DataFrame:
+    """listing_id, url, html with bytes (characters, as ever), content_hash and blocked, and `more` columns."""
+    return landed.select("listing_id", "url", "html", F.length("html").cast("long").alias("bytes"), F.sha2("html", 256).alias("content_hash"), is_blocked(F.col("html"), marks).alias("blocked"), *more)
 
 
 def state_json(html: Column) -> Column:

@@ -10,32 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from groundtable.operators import keyed
 from groundtable.operators.queues import first_seen
-from groundtable.operators.store import log_failures, upsert
-from groundtable.plans.batch import failure, load, save
-from groundtable.session import stored
+from groundtable.plans.batch import MOST_FAILED, failure, gated, opened
 from groundtable.sources.pages import page_rows
 
 LANDED = "listing_id string, url string, html string, fetched_at timestamp"
 
 
-def keep_pages(batch: DataFrame, store: str) -> None:
-    """Good pages into the table of pages, the latest of each listing; blocked ones into the failures, once: their time is the page's own."""
+def keep_pages(batch: DataFrame, store: str, most_blocked: float = MOST_FAILED) -> None:
+    """Good pages into the table of pages, the latest of each listing; blocked ones into the dead letters, once: their time is the page's own.
+
+    Where more than `most_blocked` of a batch is blocked, the source shuts us out: BadBatch, nothing is written, and the files stay to be read.
+    """
     spark = batch.sparkSession
     last = first_seen(batch, ["listing_id"], [F.desc_nulls_last("fetched_at"), F.col("url")])
-    rows = stored(page_rows(last).join(last.select("listing_id", "fetched_at"), "listing_id"), "landed")
-    pages = load(spark, store, "pages")
-    save(upsert(pages, rows.filter(~F.col("blocked")).drop("blocked"), ["listing_id"]), store, "pages")
-    blocked = rows.filter("blocked")
-    if not blocked.isEmpty():
-        failures = load(spark, store, "failures")
-        new = failure(blocked, "fetch", "blocked", F.lit("no listing on the page")).join(blocked.select("listing_id", "fetched_at"), "listing_id").withColumn("ts", F.col("fetched_at")).drop("fetched_at")
-        known = failures.filter("stage = 'fetch' and error_class = 'blocked'").select(F.col("listing_id").alias("_id"), F.col("ts").alias("_ts"))
-        fresh = new.join(known, F.col("listing_id").eqNullSafe(F.col("_id")) & F.col("ts").eqNullSafe(F.col("_ts")), "left_anti")
-        save(log_failures(failures, fresh), store, "failures")
-
-
-def follow_pages(spark: SparkSession, landed: str, store: str, checkpoint: str, files: int = 1000) -> StreamingQuery:
-    """Starts a query that takes what is in the folder now and ends."""
+    rows = gated(page_rows(last, "fetched_at"), F.col("blocked"), "landed", most=most_blocked)
+    keyed.merge(opened(spark, store, "pages"), rows.filter(~F.col("blocked")).drop("blocked"))
+    keyed.log(opened(spark, store, "failures"), failure(rows.filter("blocked"), "fetch", "blocked", F.lit("no listing on the page"), F.col("fetched_at")))
+
+
+def follow_pages(spark: SparkSession, landed: str, store: str, checkpoint: str, files: int = 1000, most_blocked: float = MOST_FAILED) -> StreamingQuery:
+    """Starts a query that takes what is in the folder now and ends; a batch that is mostly blocked ends it with its files still to be read."""
     stream = spark.readStream.schema(LANDED).option("maxFilesPerTrigger", files).parquet(landed)
-    return stream.writeStream.foreachBatch(lambda batch, _: keep_pages(batch, store)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda batch, _: keep_pages(batch, store, most_blocked)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

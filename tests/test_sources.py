@@ -65,8 +65,10 @@ def test_batch_is_idempotent(spark, tmp_path):
     assert len(first) == 1
     r = first[0]
     assert (r.listing_id, r.developer_name, r.payment_type, r.finishing_level, r.installment_years, r.total_installment_cost, r.price_per_sqm, r.language) == ("a", "Acme", "cash", None, 1.0, 34.0, 3.0, "en")
-    assert {(x.listing_id, x.error_class) for x in batch.load(spark, store, "failures").collect()} == {("b", "sanity"), ("orphan", "missing_hit")}
+    letters = sorted((x.id, x.listing_id, x.error_class) for x in batch.load(spark, store, "failures").collect())
+    assert letters == [(1, "b", "sanity"), (2, "orphan", "missing_hit")]
     batch.run(spark, store, "v1", "m")
+    assert sorted((x.id, x.listing_id, x.error_class) for x in batch.load(spark, store, "failures").collect()) == letters
     again = batch.load(spark, store, "records").collect()
     assert [x.asDict() | {"parsed_at": None} for x in again] == [x.asDict() | {"parsed_at": None} for x in first]
     log = {x.listing_id: x for x in batch.load(spark, store, "extractions").collect()}
@@ -80,15 +82,16 @@ def test_saves_survive_a_stop(spark, tmp_path):
     store, rows = str(tmp_path), lambda n: spark.createDataFrame([(str(i), "u", None, None, None, "{}", None) for i in range(n)], schemas.LISTINGS)
     assert batch.load(spark, store, "listings").count() == 0
     batch.save(rows(5), store, "listings")
-    rows(3).write.parquet(f"{store}/listings/v2")
-    (tmp_path / "listings" / "v2" / "_SUCCESS").unlink()
+    rows(3).write.parquet(f"{store}/listings/data/000000000002-stopped/bucket=0")
+    (tmp_path / "listings" / "manifest" / ".draft").write_text('{"vers')
     assert batch.load(spark, store, "listings").count() == 5
-    (tmp_path / "listings" / "v3" / "_temporary").mkdir(parents=True)
     held = batch.load(spark, store, "listings")
     batch.save(held.limit(4), store, "listings")
     assert batch.load(spark, store, "listings").count() == 4 and held.count() == 5
+    assert not (tmp_path / "listings" / "data" / "000000000002-stopped").exists()
     batch.save(held.limit(2), store, "listings")
-    assert sorted(p.name for p in (tmp_path / "listings").iterdir()) == ["v4", "v5"]
+    assert sorted(p.name for p in (tmp_path / "listings" / "manifest").glob("0*")) == ["000000000002.json", "000000000003.json"]
+    assert sorted(p.name[:12] for p in (tmp_path / "listings" / "data").iterdir()) == ["000000000002", "000000000003"]
 
 
 def test_commands(spark, tmp_path, capsys):
