@@ -20,9 +20,10 @@ def numeric_match(gold: Column, pred: Column) -> Column:
     return F.coalesce(F.when(g == 0, p == 0).otherwise(F.abs(g - p) / F.abs(g) <= TOLERANCE), F.lit(False))
 
 
-def text_match(gold: Column, pred: Column) -> Column:
-    """Equal once trimmed, lower-cased, composed and folded."""
-    return F.coalesce(clean_arabic(F.lower(F.trim(gold))) == clean_arabic(F.lower(F.trim(pred))), F.lit(False))
+def text_match(gold: Column, pred: Column, composed: bool = False) -> Column:
+    """Equal once trimmed, lower-cased, composed (unless they are `composed` already) and folded."""
+    clean = fold_letters if composed else lambda x: clean_arabic(F.lower(F.trim(x)))
+    return F.coalesce(clean(gold) == clean(pred), F.lit(False))
 
 
 def split_list(text: Column) -> Column:

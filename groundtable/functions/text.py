@@ -6,8 +6,10 @@ here that Spark lacks: it runs in Arrow batches, once a row, and the rest works
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,7 +26,11 @@ LETTERS, PLAIN_LETTERS = "إأآةى", "اااهي"
 ARABIC_BLOCK = "[؀-ۿ]"
 #: Words that wrap a compound's name (fixed values).
 COMPOUND_WORDS = r"(?iU)\b(?:compound|project)\b|كومباوند|كمبوند|كمباوند|مشروع"
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&middot;": "·", "&copy;": "©"}
+#: The character references that pages are full of; a reference; one that is not among them; the names that also count without a semicolon.
+COMMON = {f"&{k};": html5[f"{k};"] for k in ("lt", "gt", "quot", "apos", "nbsp", "middot", "copy", "amp")}
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+RARE = "&(?!" + "|".join(k[1:] for k in COMMON) + r")[^\t\n\f <&;]"
+BARE = "^&(" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)) + ")"
 #: A share of the rarer script above this makes a text mixed.
 MIXED_ABOVE = 0.15
 
@@ -40,6 +46,12 @@ def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+def nfkc_all(values: list[Column]) -> list[Column]:
+    """nfkc() of several texts by one call a row: they are joined by a character that composes with nothing, and cut again."""
+    joined = nfkc(F.concat_ws("\0", *(F.coalesce(v, F.lit("")) for v in values)))
+    return [F.when(v.isNotNull(), F.get(F.split(joined, "\0", -1), F.lit(i))) for i, v in enumerate(values)]
+
+
 def ascii_digits(text: Column) -> Column:
     """Arabic and Persian digits as ASCII ones."""
     return F.translate(text, ARABIC_DIGITS + PERSIAN_DIGITS, ASCII_DIGITS * 2)
@@ -73,14 +85,10 @@ def detect_language(text: Column) -> Column:
 
     The whole Arabic block counts, its digits and marks too. A minority of exactly the limit is not mixed.
     """
-
-    def named(n: Column) -> Column:
-        arabic, latin = n["arabic"], n["latin"]
-        few, total = F.least(arabic, latin), arabic + latin
-        return F.when(total == 0, F.lit(None).cast("string")).when((few > 0) & (few / total > MIXED_ABOVE), "mixed").when(arabic >= latin, "ar").otherwise(F.when(latin > arabic, "en"))
-
-    counts = F.struct(F.regexp_count(text, F.lit(ARABIC_BLOCK)).alias("arabic"), F.regexp_count(text, F.lit("[A-Za-z]")).alias("latin"))
-    return let(counts, named)
+    # plain expressions: generated code works out each count once, which it does not inside a higher-order function
+    arabic, latin = (F.length(F.regexp_replace(text, f"[^{kind}]+", "")) for kind in (ARABIC_BLOCK.strip("[]"), "A-Za-z"))
+    few, total = F.least(arabic, latin), arabic + latin
+    return F.when(total == 0, F.lit(None).cast("string")).when((few > 0) & (few / total > MIXED_ABOVE), "mixed").when(arabic >= latin, "ar").otherwise(F.when(latin > arabic, "en"))
 
 
 def clean_compound(name: Column) -> Column:
@@ -89,37 +97,52 @@ def clean_compound(name: Column) -> Column:
     return F.when(name == "", F.lit(None)).otherwise(F.coalesce(F.nullif(short, F.lit("")), F.trim(name)))
 
 
-def unescape(text: Column) -> Column:
-    """The entities of ENTITIES as characters; the ampersand's own goes last, so that nothing is unescaped twice."""
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+def char(code: Column) -> Column:
+    """The character of a code point, by its bytes after a byte order mark."""
+    return F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(code), 8, "0"))), "UTF-32")
 
 
-@F.pandas_udf(StringType())
-def unescape_all(text: pd.Series) -> pd.Series:
-    """Every HTML entity, where the short list of unescape() is not enough."""
-    import html
+def numbered_char(code: Column) -> Column:
+    """What a numbered reference stands for: some numbers mean the characters that an old code page has there, some nothing, some are no characters."""
+    old = {n: bytes([n]).decode("cp1252", errors="ignore") or chr(n) for n in range(0x80, 0xA0)}
+    nothing = (code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE))
+    bad = code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
+    return F.when(bad, "\ufffd").when(code.between(0x80, 0x9F), F.element_at(F.array(*map(F.lit, old.values())), (code - 0x7F).cast("int"))).when(nothing, "").otherwise(char(code))
 
-    return text.map(lambda x: None if x is None else html.unescape(x))
 
+def dereference(ref: Column) -> Column:
+    """The text of one character reference; what is none stays, what begins with a name that needs no semicolon is that and the rest."""
+    digits = F.concat(F.lit("0"), F.regexp_extract(ref, "^&#[xX]?0*([0-9a-fA-F]*)", 1))
+    code = F.when(F.length(digits) <= 9, F.when(ref.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long"))
+    named = F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items()})), "map<string,string>")  # folded to one constant; as a map of literals it would be thousands
+    bare = F.nullif(F.regexp_extract(ref, BARE, 1), F.lit(""))
+    begun = F.concat(F.try_element_at(named, F.concat(F.lit("&"), bare)), F.substr(ref, F.length(bare) + 2))
+    return F.coalesce(F.when(ref.startswith("&#"), numbered_char(code)), F.try_element_at(named, ref), begun, ref)
 
-def strip_markup(markup: Column, all_entities: bool = True) -> Column:
-    """Line breaks as newlines, then tags dropped, entities unescaped, ends trimmed.
 
-    With `all_entities`, numbered and rare ones too: Python sees only the texts that hold an entity beyond the short list.
+def unescape(text: Column, all_: bool = True) -> Column:
+    """Character references as their characters, once.
+
+    Texts with none but COMMON ones have these replaced, the ampersand's own last. Others are cut at references, each is looked up, and the
+    pieces are joined; without `all_`, what is not common stays.
     """
+
+    def common(t: Column) -> Column:
+        for ref, c in COMMON.items():
+            t = F.replace(t, F.lit(ref), F.lit(c))
+        return t
+
+    def any_kind(t: Column) -> Column:
+        pieces, refs = F.split(t, REFERENCE, -1), F.regexp_extract_all(t, F.lit(REFERENCE), F.lit(0))
+        return F.array_join(F.zip_with(pieces, refs, lambda piece, ref: F.concat(piece, F.coalesce(dereference(ref), F.lit("")))), "")
+
+    return let(text, lambda t: F.when(t.rlike(RARE), any_kind(t)).otherwise(common(t))) if all_ else common(text)
+
+
+def strip_markup(markup: Column, all_entities: bool = True) -> Column:
+    """Line breaks as newlines, then tags dropped, character references of every kind (or the common ones) resolved, ends trimmed."""
     plain = F.regexp_replace(F.regexp_replace(markup, r"<br\s*/?>", "\n"), "<[^>]+>", "")
-    if all_entities:
-        rare = F.replace(plain, F.lit("&amp;"), F.lit(""))
-        for entity in ENTITIES:
-            rare = F.replace(rare, F.lit(entity), F.lit(""))
-        beyond = rare.contains("&")
-        # the function runs for every row it is given, so rows without need of it give it a null
-        plain = F.coalesce(unescape_all(F.when(beyond, plain)), unescape(plain))
-    else:
-        plain = unescape(plain)
-    return F.regexp_replace(plain, r"^\s+|\s+$", "")
+    return F.regexp_replace(unescape(plain, all_entities), r"^\s+|\s+$", "")
 
 
 def canonical_governorate(name: Column) -> Column:

@@ -26,21 +26,22 @@ def quantiles(df: DataFrame, groups: list[str], value: str, shares: tuple[float,
     marks = rows.groupBy(*names).agg(
         F.percentile_approx("v", [*around], accuracy).alias("marks"), F.count("v").alias("n"), F.avg("v").alias("mean"), F.min("v").alias("least"), F.max("v").alias("most"),
     )
-    marks = stored(marks, "marks")  # both uses have to see the same marks; the file's size tells whether it can be broadcast
+    marks = stored(marks, "marks")  # a file's size tells Spark whether it can be broadcast
     many = F.col("n") > 2 * accuracy  # of fewer rows all are between the marks: rounded ranks of neighbours might not be
     lo = [F.when(many & F.lit(x > 0), F.col("marks")[k]).otherwise(F.col("least")) for k, x in enumerate(around)][::2]
     hi = [F.when(many & F.lit(x < 1), F.col("marks")[k]).otherwise(F.col("most")) for k, x in enumerate(around)][1::2]
-    near = []
-    for i, (a, b) in enumerate(zip(lo, hi, strict=True)):
-        at = lambda x, i=i: F.struct(F.lit(i).alias("i"), x.alias("x"))
-        near.append(F.when(F.col("v") < a, at(F.lit(None).cast("double"))).when(F.col("v") <= b, at(F.col("v"))))
-    seen = with_marks(rows, marks, names).select(*names, F.explode(F.array_compact(F.array(*near))).alias("at"))
-    counted = stored(seen.groupBy(*names, F.col("at.i").alias("i"), F.col("at.x").alias("x")).agg(F.count(F.lit(1)).alias("c")), "between")
+    beside = with_marks(rows, marks, names)
+    if len(shares) == 1:
+        seen = beside.filter(F.col("v") <= hi[0]).withColumns({"i": F.lit(0), "x": F.when(F.col("v") >= lo[0], F.col("v"))})
+    else:
+        near = [F.when(F.col("v") <= b, F.struct(F.lit(i).alias("i"), F.when(F.col("v") >= a, F.col("v")).alias("x"))) for i, (a, b) in enumerate(zip(lo, hi, strict=True))]
+        seen = beside.select("*", F.inline(F.array_compact(F.array(*near))))
+    same = [F.max(c).alias(c) for c in ("n", "mean", "least", "most")]
+    counted = seen.groupBy(*names, "i", "x").agg(F.count(F.lit(1)).alias("c"), *same)
     run = Window.partitionBy(*names, "i").orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     place = (F.col("n") - 1) * F.element_at(F.array(*map(F.lit, shares)), F.col("i") + 1)
-    held = with_marks(counted.withColumn("upto", F.sum("c").over(run)), marks, names).withColumns({"place": place, "from": F.col("upto") - F.col("c")})
+    held = counted.withColumn("upto", F.sum("c").over(run)).withColumns({"place": place, "from": F.col("upto") - F.col("c")})
     at = lambda rank: F.max(F.when(F.col("x").isNotNull() & (F.col("from") <= rank) & (rank < F.col("upto")), F.col("x")))
-    same = [F.max(c).alias(c) for c in ("n", "mean", "least", "most")]
     found = held.groupBy(*names, "i").agg(*same, F.max("place").alias("place"), at(F.floor("place")).alias("a"), at(F.ceil("place")).alias("b"))
     q = F.when(F.floor("place") == F.ceil("place"), F.col("a")).otherwise((F.ceil("place") - F.col("place")) * F.col("a") + (F.col("place") - F.floor("place")) * F.col("b"))
     q = F.coalesce(q, F.raise_error(F.lit("a quantile lies outside its marks")).cast("double"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from groundtable.plans import keeping, pricing, reading
+from groundtable.plans import keeping, pricing, reading, storing
 
-QUERIES = {**pricing.QUERIES, **keeping.QUERIES, **reading.QUERIES}
-ORACLE_SQL = {**pricing.ORACLE_SQL, **keeping.ORACLE_SQL, **reading.ORACLE_SQL}
+QUERIES = {**pricing.QUERIES, **keeping.QUERIES, **reading.QUERIES, **storing.QUERIES}
+ORACLE_SQL = {**pricing.ORACLE_SQL, **keeping.ORACLE_SQL, **reading.ORACLE_SQL, **storing.ORACLE_SQL}

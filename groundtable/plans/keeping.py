@@ -22,12 +22,12 @@ def pending_changed_null_safe(spark: SparkSession, d: str) -> DataFrame:
     return queues.pending_parse(docs, seen)
 
 
-def event_failures(spark: SparkSession, d: str) -> DataFrame:
-    """Events as a failure log; now and then a class or a listing is unknown."""
+def event_failures(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    """Events as a failure log, with `more` of their columns; now and then a class or a listing is unknown."""
     e = table(spark, d, "events")
     return e.select(
         F.when(F.col("event_id") % 50 != 0, F.col("user_id")).alias("listing_id"), F.lit("fetch").alias("stage"),
-        F.when(F.col("event_id") % 11 != 0, F.col("event_type")).alias("error_class"), F.col("props").alias("message"),
+        F.when(F.col("event_id") % 11 != 0, F.col("event_type")).alias("error_class"), F.col("props").alias("message"), *more,
     )
 
 

@@ -190,26 +190,30 @@ def rent_guard(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("purpose").agg(F.count("installment_amount").alias("amounts"), F.count("installment_years").alias("years"), F.count("down_payment_amount").alias("downs"))
 
 
-def backfill_changes(spark: SparkSession, d: str) -> DataFrame:
-    """How many values of each column an overlay changes."""
-    before = hinted(spark, d)
-    fields = ["compound_name", "sale_type", "installment_frequency", "installment_years"]
-    after = overlay.overlay(before.withColumns({f"_{c}": F.col(c) for c in fields}))
-    one = after.agg(*(F.count_if(~F.col(c).eqNullSafe(F.col(f"_{c}"))).alias(c) for c in fields))
-    return one.unpivot([], fields, "column", "n")
-
-
-def judged(spark: SparkSession, d: str) -> DataFrame:
-    """Labels against predictions by rule, both in long form, with some of each missing."""
+def labelled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labels and predictions by rule, with some of each missing."""
     k = F.col("doc_id")
     gold = table(spark, d, "labels").select("doc_id", F.when(k % 4 != 0, F.col("quality")).alias("quality"), F.when(k % 5 != 0, F.col("toxic")).alias("toxic"))
-    pred = table(spark, d, "documents").select("doc_id", F.when(k % 3 != 0, (F.col("n_chars") > 500).cast("int")).alias("quality"), (F.col("n_chars") < 400).cast("int").alias("toxic"))
-    return scoring.long_form(gold, "doc_id", ["quality", "toxic"], "gold").join(scoring.long_form(pred, "doc_id", ["quality", "toxic"], "pred"), ["doc_id", "field"])
+    return gold, table(spark, d, "documents").select("doc_id", F.when(k % 3 != 0, (F.col("n_chars") > 500).cast("int")).alias("quality"), (F.col("n_chars") < 400).cast("int").alias("toxic"))
 
 
 def score_fields(spark: SparkSession, d: str) -> DataFrame:
     """Accuracy and hallucination by field."""
-    return scoring.tally(judged(spark, d), scoring.matches(F.col("field"), numeric=("quality",)))
+    return scoring.score_fields(*labelled(spark, d), ["quality", "toxic"], key="doc_id", numeric=("quality",))
+
+
+def score_long(spark: SparkSession, d: str) -> DataFrame:
+    """The same from pairs in long form, as they come from several sources."""
+    gold, pred = labelled(spark, d)
+    pairs = scoring.long_form(gold, "doc_id", ["quality", "toxic"], "gold").join(scoring.long_form(pred, "doc_id", ["quality", "toxic"], "pred"), ["doc_id", "field"])
+    return scoring.tally(pairs, scoring.matches(F.col("field"), numeric=("quality",)))
+
+
+def unmatched_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of documents that are not there: of every seventh id another is made."""
+    k = F.col("doc_id")
+    gold = table(spark, d, "labels").select(F.when(k % 7 == 0, -k).otherwise(k).alias("listing_id"))
+    return scoring.unmatched(gold, table(spark, d, "documents").select(k.alias("listing_id")))
 
 
 def markdown_report(spark: SparkSession, d: str) -> DataFrame:
@@ -267,7 +271,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         json_field, location_path, deepest_category, epoch_date, digits_ascii, clean_arabic, language_mix, parse_number, parse_percentage, delivery_date, enum_match, enum_guard,
-        strip_markup, state_blob, page_classify, ground_numeric, ground_text, overlay_precedence, rent_guard, backfill_changes, score_fields, markdown_report, jaccard_amenities,
+        strip_markup, state_blob, page_classify, ground_numeric, ground_text, overlay_precedence, rent_guard, score_fields, score_long, unmatched_labels, markdown_report, jaccard_amenities,
         canonicalize, extract_batch, descriptions,
     )
 }
@@ -287,7 +291,7 @@ o AS (SELECT k AS listing_id, coalesce(hc, compound_name) AS compound_name, CASE
 """
 
 
-def _hinted_sql() -> str:
+def hinted_sql() -> str:
     from groundtable.plans.pricing import PLANS
 
     return HINTED.format(plans=PLANS)
@@ -348,15 +352,13 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) END AS
     "ground_text": """
 WITH c AS (SELECT o_orderkey, o_orderkey % 2 = 0 AS latin, o_orderkey % 3 AS m FROM orders), k AS (SELECT *, CASE WHEN m = 0 THEN TRUE WHEN m = 1 THEN latin ELSE NOT latin END AS ok FROM c)
 SELECT o_orderkey, CASE WHEN ok THEN CASE WHEN latin THEN 'Acme' ELSE 'هايد بارك' END END AS developer_name, CASE WHEN ok THEN '' ELSE 'developer_name' END AS rejected FROM k""",
-    "overlay_precedence": _hinted_sql() + "SELECT listing_id, compound_name, sale_type, installment_frequency, installment_amount, installment_years, down_payment_amount FROM o",
+    "overlay_precedence": hinted_sql() + "SELECT listing_id, compound_name, sale_type, installment_frequency, installment_amount, installment_years, down_payment_amount FROM o",
     "rent_guard": """
 SELECT CASE o_orderkey % 3 WHEN 0 THEN 'RENT' WHEN 1 THEN 'sale' END AS purpose, count(*) FILTER (o_orderkey % 3 <> 0) AS amounts, count(*) FILTER (o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0) AS years, count(*) AS downs
 FROM orders GROUP BY 1""",
-    "backfill_changes": _hinted_sql()
-    + """
-SELECT unnest(['compound_name', 'sale_type', 'installment_frequency', 'installment_years']) AS "column", unnest([count(*) FILTER (compound_name IS DISTINCT FROM c0), count(*) FILTER (sale_type IS DISTINCT FROM s0),
-  count(*) FILTER (installment_frequency IS DISTINCT FROM f0), count(*) FILTER (installment_years IS DISTINCT FROM y0)]) AS n FROM o""",
     "score_fields": SCORED + "SELECT * FROM r",
+    "score_long": SCORED + "SELECT * FROM r",
+    "unmatched_labels": "SELECT -doc_id AS listing_id FROM labels WHERE doc_id % 7 = 0 AND doc_id <> 0 OR doc_id % 7 = 0 AND doc_id NOT IN (SELECT doc_id FROM documents)",
     "markdown_report": SCORED
     + """
 SELECT '| field | gold non-null | pred non-null | accuracy | hallucination |' || chr(10) || '|---|---|---|---|---|' || chr(10) || string_agg('| ' || field || ' | ' || gold_nonnull || ' | ' || pred_nonnull || ' | ' ||

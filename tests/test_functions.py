@@ -77,3 +77,28 @@ def test_matching(spark):
     assert [r.m for r in df.select(matching.numeric_match(F.col("g"), F.col("p")).alias("m")).collect()] == [True, False, True, False, False, False]
     lists = spark.createDataFrame([("a; b", "b,a,c"), ("Pool", "pool"), ("", ""), ("a,b", "b,c,d")], "g string, p string")
     assert [r.m for r in lists.select(matching.jaccard_match(matching.split_list(F.col("g")), matching.split_list(F.col("p"))).alias("m")).collect()] == [True, True, True, False]
+
+
+def test_every_reference(spark):
+    """As the standard library resolves them: names with and without semicolons, numbers of every kind, and what is no reference."""
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(1)
+    cases = [f"&{n}" for n in html5] + [f"&{n.rstrip(';')}x y" for n in list(html5)[:200]] + [f"&#{n};" for n in (*range(300), 0xD800, 0xFDD0, 0xFEFF, 0xFFFE, 0x1FFFE, 0x10FFFF, 0x110000, 10**12, 10**45)]
+    cases += [f"&#x{n:x}" for n in (*range(300), 0x1F600, 0x110000)] + ["&#0065", "&#x41z", f"&#{'0' * 60}65;", "&amp;lt;", "&notit;", "&&lt;&", "&#;", "&#xG;", "&" + "a" * 40 + ";", "", "&"]
+    cases += ["".join(rng.choice(["&", "#", "x", "amp", "lt", "no", "t", ";", " ", "1", "4", "é", "not", "in", "copy", "\n"]) for _ in range(rng.randrange(12))) for _ in range(800)]
+    assert column(spark, cases, text.unescape) == [html.unescape(c) for c in cases]
+    assert column(spark, ["&lt;&eacute;&amp;lt;"], lambda c: text.unescape(c, all_=False)) == ["<&eacute;&lt;"]
+
+
+def test_no_python_in_markup(spark):
+    plan = spark.range(1).select(text.strip_markup(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_composed_together(spark):
+    values = ["ﬁ", None, "e\u0301", "", "\u0301x"]
+    df = spark.createDataFrame([tuple(values)], ", ".join(f"c{i} string" for i in range(5)))
+    assert list(df.select(*text.nfkc_all([F.col(c) for c in df.columns])).first()) == ["fi", None, "é", "", "\u0301x"]

@@ -109,6 +109,36 @@ def test_gold_and_scores(spark, tmp_path):
     assert "| district | 0 | 1 | n/a | 100% |" in scoring.to_markdown(scoring.score_fields(labels, records))
 
 
+def test_labels_by_place_in_the_file(spark, tmp_path):
+    """Of duplicates the last in file order counts, though files are read in parts and the largest first."""
+    fields = ["listing_id", *schemas.names(schemas.GROUP_B)]
+    line = lambda i, city: ",".join([str(i), *(city if c == "city" else "" for c in fields[1:])])
+    for name, rows in (("a.csv", [line(i % 50, f"a{i}") for i in range(4000)]), ("b.csv", [line(7, "b"), line(99, "only")])):
+        (tmp_path / name).write_text("\n".join([",".join(fields), *rows]) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        labels = gold.read_gold(spark, str(tmp_path))
+        assert spark.read.csv(str(tmp_path), header=True).rdd.getNumPartitions() > 3
+        got = {r.listing_id: r.city for r in labels.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert got == {str(i): f"a{3950 + i}" for i in range(50)} | {"7": "b", "99": "only"}
+
+
+def test_scores_in_one_shuffle(spark):
+    fields = ["a", "b", "c"]
+    df = spark.range(50).select(F.col("id").cast("string").alias("listing_id"), *(F.when(F.col("id") % (i + 2) != 0, F.concat(F.lit(" É "), F.col("id") % 3)).alias(c) for i, c in enumerate(fields)))
+    pred = df.withColumns({"a": F.lower("a"), "b": F.lit("other")})
+    wide = scoring.score_fields(df, pred, fields)
+    pairs = scoring.long_form(df, "listing_id", fields, "gold").join(scoring.long_form(pred, "listing_id", fields, "pred"), ["listing_id", "field"])
+    key = lambda rows: sorted(str(tuple(r)) for r in rows)
+    long = scoring.tally(pairs, scoring.matches(F.col("field"))).collect()
+    assert key(wide.collect()) == key(long)
+    plan = scoring.score_fields(df, pred, fields)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and plan.count("ArrowEvalPython") == 1  # the join's own two sides, one call
+
+
 def test_export(spark, tmp_path):
     records = spark.createDataFrame([], schemas.RECORDS)
     assert len(export.dataset_view(records).columns) == 39
