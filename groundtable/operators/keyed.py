@@ -4,10 +4,14 @@ A row's bucket is a hash of the first key. Below a table's folder, data/ has a f
 each bucket written, and manifest/ a file for each version: for every bucket the folders that hold it. A version counts once its manifest
 is there, so a reader or a crash at any time finds a whole table; what a stopped write has left is nowhere named. The version before
 stays for plans that still read it, older data goes. One writer at a time: of two that start from one version the second fails.
+
+The hash is the one by which Spark buckets tables, and files are named accordingly. located() tells Spark so: joins of two such tables on their first
+key need no exchange on either side.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from dataclasses import dataclass, field, replace
@@ -87,15 +91,36 @@ def read(t: Keyed, buckets: list[int] | None = None, version: int | None = None)
     return t.spark.read.schema(t.schema).parquet(*folders) if folders else t.spark.createDataFrame([], t.schema)
 
 
+def located(t: Keyed) -> DataFrame:
+    """read() of the whole last version as a table bucketed by the first key, registered in the session's catalog with a partition for each bucket's folder."""
+    m = manifest(t)
+    if not m.held:
+        return read(t)
+    stem = f"keyed_{hashlib.md5(t.path.encode()).hexdigest()[:16]}"
+    name, key = f"{stem}_{m.version}", t.keys[0]
+    if not t.spark.catalog.tableExists(name):
+        path, _ = _files(t)
+        where = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        t.spark.sql(f"CREATE TABLE {name} ({t.schema}, _write string, _bucket int) USING parquet PARTITIONED BY (_write, _bucket) CLUSTERED BY (`{key}`) INTO {m.buckets} BUCKETS LOCATION '{where}/data'")
+        parts = [f"PARTITION (_write = '{f.split('/')[0]}', _bucket = {b}) LOCATION '{where}/data/{f}'" for b, folders in m.held.items() for f in folders]
+        t.spark.sql(f"ALTER TABLE {name} ADD {' '.join(parts)}")
+        if m.version > 2:
+            t.spark.sql(f"DROP TABLE IF EXISTS {stem}_{m.version - 2}")  # its files are gone
+    return t.spark.table(name).drop("_write", "_bucket")
+
+
 def bucket(t: Keyed, n: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(t.keys[0])), F.lit(n)).cast("int")
+    """Spark's own bucket of the first key."""
+    return F.pmod(F.hash(t.keys[0]), F.lit(n)).cast("int")
 
 
 def _write(t: Keyed, df: DataFrame, m: Manifest) -> dict[int, str]:
     """Writes `df` by bucket into a folder of its own; the folder of each bucket that got rows."""
     folder = f"{m.version + 1:012d}-{uuid.uuid4().hex[:8]}"
     rows = df.select(*t.spark.createDataFrame([], t.schema).columns).withColumn("bucket", bucket(t, m.buckets))
-    rows.repartition(m.buckets, "bucket").write.partitionBy("bucket").parquet(f"{t.path}/data/{folder}")
+    draft = f"draft_{uuid.uuid4().hex}"  # only a named table can be written in buckets; the name goes, the files stay
+    rows.repartition(m.buckets, "bucket").write.partitionBy("bucket").bucketBy(m.buckets, t.keys[0]).sortBy(t.keys[0]).option("path", f"{t.path}/data/{folder}").saveAsTable(draft)
+    t.spark.sql(f"DROP TABLE {draft}")
     return {int(n.split("=")[1]): f"{folder}/{n}" for n in _listed(t, f"data/{folder}") if n.startswith("bucket=")}
 
 

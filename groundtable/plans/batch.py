@@ -128,8 +128,8 @@ def opened(spark: SparkSession, store: str, name: str) -> keyed.Keyed:
 
 
 def load(spark: SparkSession, store: str, name: str) -> DataFrame:
-    """The last version of a table; files put there by hand, if there is none; an empty table, if there is nothing."""
-    return keyed.read(opened(spark, store, name))
+    """The last version of a table, in buckets by listing; files put there by hand, if there is none; an empty table, if there is nothing."""
+    return keyed.located(opened(spark, store, name))
 
 
 def save(df: DataFrame, store: str, name: str) -> None:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from groundtable import schemas
-from groundtable.operators import keyed
+from groundtable.operators import keyed, queues
 from groundtable.plans import batch
 from groundtable.streaming import landing
 
@@ -130,3 +130,29 @@ def test_backfill_writes_only_what_changes(spark, tmp_path):
     version = keyed.manifest(batch.opened(spark, store, "records")).version
     assert set(batch.run_backfill(spark, store).first().asDict().values()) == {0}
     assert keyed.manifest(batch.opened(spark, store, "records")).version == version
+
+
+def test_queues_need_no_exchange(spark, tmp_path):
+    """Tables of a store are bucketed by listing, so what is pending is found where it lies, also after merges and inserts."""
+    store, threshold = str(tmp_path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    listings = spark.range(200).select(F.col("id").cast("string").alias("listing_id"), F.lit("sale").alias("purpose"))
+    rows = lambda name, df: keyed.merge(batch.opened(spark, store, name), df)
+    keyed.insert(batch.opened(spark, store, "listings"), listings.filter("listing_id < '5'"), [F.col("listing_id")])
+    keyed.insert(batch.opened(spark, store, "listings"), listings, [F.col("listing_id")])
+    rows("pages", listings.filter("listing_id % 2 = 0").select("listing_id", F.lit("h").alias("content_hash")))
+    rows("records", listings.filter("listing_id % 4 = 0").select("listing_id", F.lit("h").alias("content_hash"), F.lit("said").alias("description_raw")))
+    rows("records", listings.filter("listing_id % 8 = 0").select("listing_id", F.lit("old").alias("content_hash")))
+    rows("extractions", listings.filter("listing_id % 12 = 0").select("listing_id", F.lit("v").alias("prompt_version"), F.lit("m").alias("model")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = {n: batch.load(spark, store, n) for n in ("listings", "pages", "records", "extractions")}
+        found = {
+            "fetch": t["listings"].join(t["pages"].select("listing_id"), "listing_id", "left_anti"), "parse": queues.pending_parse(t["pages"], t["records"]),
+            "extract": queues.pending_extract(t["records"], t["extractions"], "v", "m"),
+        }
+        for name, expected in (("fetch", [i for i in range(200) if i % 2]), ("parse", [i for i in range(0, 200, 2) if i % 4 or not i % 8]), ("extract", [i for i in range(0, 200, 4) if i % 12])):
+            plan = found[name]._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "Bucketed: true" in plan, name
+            assert sorted(int(r.listing_id) for r in found[name].collect()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
