@@ -1,7 +1,8 @@
 """From raw documents to a mixed, encoded corpus: five stages over the table `documents`.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it as Parquet to the folder that
-the cluster shares and reads it again for the next. All stages but the last return the columns of documents.
+the cluster shares and reads it again for the next. All stages but the last return the columns of documents, each
+with the caller's values, also where a stage has a column of that name for itself.
 """
 
 from __future__ import annotations
@@ -12,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundtable.llm import bpe, line_dedup, mixing, ngram_join, quality_mil
-from groundtable.llm.common import fresh, quoted
+from groundtable.llm.common import fresh, quoted, set_aside
 from groundtable.llm.queries import TOKENIZER
 from groundtable.session import shared_dir, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier predicts good."""
-    return quality_mil.score(docs, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*quoted(docs.columns))
+    rows, back = set_aside(docs, ("score", "held_out", "predicted"))
+    return back(quality_mil.score(rows, table(spark, sf_dir, "labels")).filter("predicted = 1").select(*quoted(rows.columns)))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,9 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    mixed, (copy,) = mixing.mix(docs).filter("taken > 0"), fresh(docs, "copy")
-    return mixed.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))).select(*quoted(docs.columns))
+    rows, back = set_aside(docs, mixing.ADDED)
+    mixed, (copy,) = mixing.mix(rows).filter("taken > 0"), fresh(rows, "copy")
+    return back(mixed.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.expr("taken div size")))).select(*quoted(rows.columns)))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

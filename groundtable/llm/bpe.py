@@ -294,16 +294,6 @@ class Transducer:
         return [None if s < 0 else self.map[self.ids + 4 * int(offsets[n]) : self.ids + 4 * int(offsets[n + 1])] for s, n in zip(state.tolist(), number.tolist(), strict=True)]
 
 
-def pre_tokens(part: str, space: str = " ") -> list[str]:
-    """Pre-tokens of a part of a text with a space before it: PATTERN's, which need no search for ASCII letters with a stop at most."""
-    if part.isascii():
-        if part.isalpha():
-            return [space + part]
-        if part[-1:] in STOPS and part[:-1].isalpha():
-            return [space + part[:-1], part[-1]]
-    return PATTERN.findall(space + part)
-
-
 def cut_up(text: str) -> list[str] | None:
     """A text's parts, each of which is encoded alone: what follows a space, and what follows a newline, with the newline. None if white space meets
     white space in a way that pre-tokens would tell. The first part stands for itself."""

@@ -99,6 +99,10 @@ def append_columns(
     kept = [c for c in df.columns if c.lower() not in gone]
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + [T.StructField(k, v) for k, v in added.items()])
     names = [*kept, *added]
+    odd = [c for c in kept if set(c) & {".", "`"}]  # these can't go to Python under their names
+    plain = dict(zip(odd, fresh(df, *(f"odd{i}" for i in range(len(odd)))), strict=True))
+    kept = [plain.get(c, c) for c in kept]
+    df = df.select(*(c.alias(plain.get(n, n)) for c, n in zip(quoted(df.columns), df.columns, strict=True))) if odd else df
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
@@ -188,3 +192,14 @@ def fresh(df: DataFrame, *names: str) -> tuple[str, ...]:
 def quoted(names: list[str]) -> list[Column]:
     """Columns by their literal names, dots and all."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def set_aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`df` with its columns of these names, in any case, under names that nothing else has, and what gives them their own again."""
+    mine = [c for c in df.columns if c.lower() in names]
+    if not mine:
+        return df, lambda out: out
+    other = fresh(df, *(f"_{c}" for c in mine))
+    there, again = dict(zip(mine, other, strict=True)), dict(zip(other, mine, strict=True))
+    renamed = lambda rows, new: rows.select(*(c.alias(new.get(n, n)) for c, n in zip(quoted(rows.columns), rows.columns, strict=True)))
+    return renamed(df, there), lambda out: renamed(out, again)

@@ -297,6 +297,24 @@ def test_pipeline(spark, tmp_path, odd_rows):
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and out.filter("n_tokens = 0").count() == 0
 
 
+def test_the_callers_columns_come_through_every_stage(spark, tmp_path, odd_rows):
+    """Columns named like what the stages work with keep the caller's values, whatever their case."""
+    names = ["Score", "IDS", "size", "Taken", "held_out", "predicted", "source_size", "target", "Row", "id", "cluster", "a.b"]
+    rows = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or ""), *(f"{c}{r[0]}" for c in names)) for r in odd_rows]
+    folder, at = str(tmp_path), f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", "n_chars", *names]).write.parquet(at)
+    spark.createDataFrame([(i, 1, 0) for i in range(11, 30)] + [(30, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.read.parquet(at)
+        stage(spark, docs, folder).write.parquet(at := f"{folder}/{name}")
+        after = spark.read.parquet(at)
+        assert after.columns == docs.columns
+        found = after.collect()
+        assert found and all(r[5 + k] == f"{c}{r.doc_id}" for r in found for k, c in enumerate(names))
+    last = corpus_pipeline.STAGES[-1][1](spark, spark.read.parquet(at), folder)
+    assert last.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and isinstance(last.first().ids, bytes | bytearray)
+
+
 @pytest.mark.parametrize(("n", "bits"), [(1, 5), (1000, 5), (1000, 24)])
 def test_bucketed_postings(n, bits):
     """Postings come out of their buckets as they went in, each bucket in one row, further bits at the long lines'."""
