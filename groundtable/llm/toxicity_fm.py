@@ -9,6 +9,7 @@ that do; none is left out for that. The model is fitted on a bounded sample of l
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundtable.llm.common import Adam, Cache, append_columns, bucket, labelled_sample, sigmoid, words
+from groundtable.llm.common import CACHE, Adam, Cache, append_columns, bucket, labelled_sample, sigmoid, words
 
 SLOTS = 1 << 20
 #: Lengths of a longer word's starts that are terms of their own.
@@ -53,14 +54,55 @@ class Machine:
 
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
         """Probabilities for documents given as places of kept slots."""
-        out = np.full(len(rows), self.bias)
-        for i, r in enumerate(rows):
-            if len(r):
-                x = np.ones(len(r)) if self.values is None else self.values[r].astype(float)
-                x /= np.sqrt((x * x).sum())
-                v = self.vectors[r] * x[:, None]
-                out[i] += self.weights[r] @ x + 0.5 * ((v.sum(axis=0) ** 2).sum() - (v * v).sum())
-        return sigmoid(out)
+        return self.all_scores(np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows))
+
+    def all_scores(self, ids: np.ndarray, who: np.ndarray, n: int) -> np.ndarray:
+        """The same for n documents at once: places of slots, and the document of each."""
+        add = lambda v: np.bincount(who, v, n)
+        x = np.ones(len(ids)) if self.values is None else self.values[ids].astype(float)
+        x /= np.sqrt(add(x * x))[who]
+        z = self.bias + add(self.weights[ids] * x)
+        for v in self.vectors.T:
+            part = v[ids] * x
+            z += 0.5 * (add(part) ** 2 - add(part * part))
+        return sigmoid(z)
+
+
+class Known(dict):
+    """The kept slots of words, found once a word: a word's number tells where they begin in one array, and how many they are."""
+
+    def __init__(self, place: np.ndarray):
+        self.place = place
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.slots, self.held, self.new, self.new_held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], []
+
+    def __missing__(self, word: bytes) -> int:
+        kept = [i for i in self.place[list(terms(word))].tolist() if i >= 0]
+        self.new += kept
+        self.new_held.append(len(kept))
+        self[word] = number = len(self)
+        return number
+
+    def of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's distinct slots, ascending, one text after another, and the text of each. Full of words, all are forgotten before the next texts."""
+        if len(self) > 4 * CACHE:
+            self.forget()
+        found, counts = [], []
+        for t in texts:
+            own = set(words(t))
+            found += map(self.__getitem__, own)
+            counts.append(len(own))
+        self.slots, self.held = np.append(self.slots, np.array(self.new, np.int64)), np.append(self.held, np.array(self.new_held, np.int64))
+        self.new, self.new_held, found = [], [], np.array(found, dtype=np.int64)
+        sizes, starts = self.held[found], (np.cumsum(self.held) - self.held)[found]
+        ends = np.cumsum(sizes)
+        at = np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())
+        who = np.repeat(np.repeat(np.arange(len(counts)), counts), sizes)
+        both = np.unique(who * SLOTS + self.slots[at])
+        return both % SLOTS, both // SLOTS
 
 
 def told(n: int, n1: int, held: np.ndarray, held1: np.ndarray) -> np.ndarray:
@@ -145,11 +187,11 @@ def score(docs: DataFrame, labels: DataFrame, per_class: int = 5000) -> DataFram
         m = shipped.value
         place = np.full(SLOTS, -1, dtype=np.int32)
         place[m.slots] = np.arange(len(m.slots))
-        cache = Cache(lambda w: tuple(i for i in place[list(terms(w))].tolist() if i >= 0))
+        known = Known(place)
 
         def each(b: pa.RecordBatch) -> list:
-            rows = [np.array(sorted({i for w in set(words(t.as_py())) for i in cache[w]}), dtype=np.int64) for t in b.column("text")]
-            return [pa.array(m.scores(rows))]
+            ids, who = known.of(t.as_py() for t in b.column("text"))
+            return [pa.array(m.all_scores(ids, who, b.num_rows))]
 
         return each
 

@@ -153,6 +153,22 @@ def test_values_and_scaled_pairs():
     assert abs(m.scores([r])[0] - 1 / (1 + np.exp(-z))) < 1e-9
 
 
+def test_slots_of_many_texts(monkeypatch):
+    """The distinct kept slots of each text, as when each is looked at alone, also once the words known are forgotten."""
+    place = np.full(toxicity_fm.SLOTS, -1, dtype=np.int32)
+    texts = ["an insult, An INSULT", None, "", "groups of people grouped", "x", "insulting"]
+    kept = np.array(sorted({s for w in b"insult groups people an".split() for s in toxicity_fm.terms(w)}))
+    place[kept] = np.arange(len(kept))
+    known = toxicity_fm.Known(place)
+    for most in (50_000, 0):
+        monkeypatch.setattr(toxicity_fm, "CACHE", most)
+        ids, who = known.of(texts)
+        for k, t in enumerate(texts):
+            alone = sorted({int(place[s]) for w in (t or "").encode().split() for s in toxicity_fm.terms(w) if place[s] >= 0})
+            assert ids[who == k].tolist() == alone
+    assert [x.tolist() for x in known.of([None])] == [[], []] and [x.tolist() for x in known.of([])] == [[], []]
+
+
 def test_attention_by_loops():
     """The network's scores, passage by passage."""
     rng = np.random.default_rng(5)
