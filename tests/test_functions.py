@@ -95,7 +95,7 @@ def test_every_reference(spark):
 
 def test_no_python_in_markup(spark):
     plan = spark.range(1).select(text.strip_markup(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    assert "EvalPython" not in plan and "InArrow" not in plan and "InPandas" not in plan
 
 
 def test_composed_together(spark):
