@@ -6,8 +6,10 @@ the word's place in a table of id sequences. The file is shipped to the executor
 there. Words that it lacks are merged exactly, so the ids are those of the vocabulary's own tokenizer
 whatever the lexicon holds.
 
-A frequent word is one that makes up at least one in `one_in` of all words, so there are at most
-`one_in` of them however large the corpus.
+Every word that makes up at least one in `one_in` of all words is in the lexicon, none that makes up less
+than one in twice `one_in`, so there are at most twice `one_in` of them however large the corpus. All texts
+are counted, a share at a time: a share passes on the words that make up one in twice `one_in` of its own, so
+of a word's count less than one in twice `one_in` of all words is missing, and what is shuffled stays small.
 """
 
 from __future__ import annotations
@@ -307,6 +309,8 @@ def pre_tokens(part: str) -> list[str] | None:
 
     They are PATTERN's, which need no search for plain letters (ASCII or Latin) with a stop at most.
     """
+    if part.isalpha() and (part.isascii() or max(part) < LATIN_END):
+        return [" " + part]
     if part == "\n":
         return ["\n"]
     first, space, head = (part[1:], "", ["\n"]) if part[:1] == "\n" else (part, " ", [])
@@ -406,8 +410,11 @@ def kept_encoder(vocabulary: str, lexicon: str | None) -> Encoder:
     return Encoder(Vocabulary(vocabulary), Transducer(lexicon) if lexicon else None)
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word binary, n long: the pre-tokens of all whole texts and how often each comes; a text's first word counts as if a space came before it."""
+def word_counts(docs: DataFrame, one_in: int) -> DataFrame:
+    """word binary, n long: how often pre-tokens come in the shares of all whole texts in which they are one in `one_in` or more; the null word has the number of all.
+
+    A text's first word counts as if a space came before it. A word's n falls short of its true count by less than one in `one_in` of all words.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: Counter = Counter()
@@ -418,7 +425,9 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 for token in pre_tokens(part) or PATTERN.findall(part):
                     found[token] += n
             parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array([w.encode() for w in found], pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"])
+            total = found.total()
+            some = [(w.encode(), n) for w, n in found.items() if n * one_in >= total]
+            return pa.RecordBatch.from_arrays([pa.array([None, *(w for w, _ in some)], pa.binary()), pa.array([total, *(n for _, n in some)], pa.int64())], names=["word", "n"])
 
         for b in batches:
             for text in b.column(0):
@@ -431,16 +440,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(tidy(work), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(docs: DataFrame, one_in: int) -> list[bytes]:
+    """The words that come more than once and make up one in `one_in` of all, and some more, none below half that."""
+    counts = cut(word_counts(docs, 2 * one_in))
+    total = counts.filter("word IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return [bytes(r.word) for r in counts.filter(F.col("word").isNotNull() & (F.col("n") * 2 * one_in >= total) & (F.col("n") > 1)).select("word").collect()]
+
+
 def build_lexicon(docs: DataFrame, tokenizer: str, one_in: int = 100_000) -> str:
     """Compiles the corpus's frequent words and ships file and vocabulary to the executors; returns the file's name there."""
     small_batches(docs.sparkSession)
-    counts = cut(word_counts(docs))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = counts.filter((F.col("n") * one_in >= total) & (F.col("n") > 1)).select("word").collect()
+    frequent = frequent_words(docs, one_in)
     v = Vocabulary(tokenizer)
     f, path = tempfile.mkstemp(prefix="lexicon-", suffix=".bin")
     with os.fdopen(f, "wb") as out:
-        out.write(Transducer.build({bytes(r.word): v.merge(bytes(r.word)) for r in frequent}))
+        out.write(Transducer.build({w: v.merge(w) for w in frequent}))
     docs.sparkSession.sparkContext.addFile(path)
     return os.path.basename(path)
 

@@ -50,6 +50,25 @@ def test_transducer(tmp_path):
     assert states <= 6
 
 
+def test_frequent_words(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "FLUSH", 40)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") if rng.random() < 0.4 else f"w{int(rng.expovariate(0.01))}," for _ in range(rng.randint(0, 60))) + " \n\n" * (k % 2) for k in range(300)]
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string").repartition(5)
+    true = {}
+    for t in texts:
+        for part in t.replace("\n", " \n").split(" "):
+            for w in bpe.pre_tokens(part) or bpe.PATTERN.findall(part):
+                true[w.encode()] = true.get(w.encode(), 0) + 1
+    total = sum(true.values())
+    for one_in in (20, 100, 10**6):
+        found = bpe.frequent_words(docs, one_in)
+        assert len(found) == len(set(found)) <= 2 * one_in
+        assert {w for w, n in true.items() if n * one_in >= total and n > 1} <= set(found) <= {w for w, n in true.items() if 2 * n * one_in >= total}
+    assert bpe.word_counts(docs, 20).filter("word IS NULL").first()["n"] == total
+    assert bpe.frequent_words(docs.limit(0), 20) == []
+
+
 def test_operator(spark, stored, odd_rows, reference):
     docs = stored(odd_rows)
     lexicon = bpe.build_lexicon(docs, PATH)
