@@ -5,7 +5,8 @@ probabilities, which rounds of expectation maximisation over the training words
 vocabulary's word mark and its characters; a lattice holds every piece that fits anywhere, characters may
 always be spelled in byte pieces, and a forward recursion in log space adds up all paths. Since the mark
 begins every word and nothing else, a text's lattice falls apart at its words, so each distinct word is
-scored once for the whole corpus.
+scored once for the whole corpus. Words of one length are taken together, a place of all at a time; a long
+word is taken alone, arc by arc and in spans of places, so its time and memory grow with its length only.
 
 Words seen in training have one more arc, from their start to their end, of their discounted count; what the
 discounts set free is spread over the subword paths. The probabilities of all words and the end add up to 1.
@@ -16,10 +17,12 @@ Words are counted over all documents. Those that make up at least one in `one_in
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from math import exp, inf, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ from groundtable.session import cut
 MARK, HIDDEN = 0x2581, 0x110000
 #: Cells of a lattice that are held at once.
 CELLS = 2_000_000
+#: Characters from which a word is taken alone, and places of it whose arcs are held at once.
+LONG, SPAN = 1_024, 65_536
 #: Weight of the vocabulary's own order against the corpus, in pieces.
 PRIOR = 50.0
 BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -112,12 +117,13 @@ class Lattice:
             out.append(found)
         return out
 
-    def spelled(self, codes: np.ndarray) -> np.ndarray:
+    def spelled(self, codes: np.ndarray, start: bool = True) -> np.ndarray:
         """Log probability of each character spelled in bytes; the word mark at the start is no character."""
         flat, back = np.unique(codes, return_inverse=True)
         each = np.array([self.logs[self.n_plain + np.array([*spell(int(c))])].sum() for c in flat])
         out = each[back].reshape(codes.shape)
-        out[:, 0] = -np.inf
+        if start:
+            out[:, 0] = -np.inf
         return out
 
     def weights(self, arcs: list[np.ndarray], spelled: np.ndarray) -> list[np.ndarray]:
@@ -136,11 +142,17 @@ class Lattice:
 
     def score(self, codes: np.ndarray) -> np.ndarray:
         """Natural log of each word's marginal probability."""
+        if codes.shape[1] > LONG:
+            return np.array([self.forward_long(c)[-1] for c in codes])
         return self.forward(self.weights(self.arcs(codes), self.spelled(codes)), *codes.shape)[:, -1]
 
     def expect(self, codes: np.ndarray, times: np.ndarray, into: np.ndarray) -> None:
         """Adds the expected number of each piece in words that come `times` times."""
         rows, n = codes.shape
+        if n > LONG:
+            for c, x in zip(codes, times.tolist(), strict=True):
+                self.expect_long(c, x, into)
+            return
         arcs, spelled = self.arcs(codes), self.spelled(codes)
         w = self.weights(arcs, spelled)
         f = self.forward(w, rows, n)
@@ -156,12 +168,60 @@ class Lattice:
             share = np.exp(f[r, i] + self.logs[id_] + b[r, i + k] - whole[r, 0]) * times[r]
             into += np.bincount(id_, share, len(into))
         share = np.exp(f[:, :-1] + spelled + b[:, 1:] - whole) * times[:, None]
+        self.add_spelled(codes.ravel(), share.ravel(), into)
+
+    def add_spelled(self, codes: np.ndarray, share: np.ndarray, into: np.ndarray) -> None:
         flat, back = np.unique(codes, return_inverse=True)
-        by_char = np.bincount(back.ravel(), share.ravel(), len(flat))
-        for c, x in zip(flat, by_char, strict=True):
+        for c, x in zip(flat, np.bincount(back, share, len(flat)), strict=True):
             if x > 0:
                 np.add.at(into, self.n_plain + np.array([*spell(int(c))]), x)
 
+    def span(self, codes: np.ndarray, lo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """start, size, piece (-1: spelled in bytes) and log probability of the arcs that start in the span of places from `lo`, by start."""
+        part = codes[None, lo : lo + SPAN + self.longest - 1]
+        rows = min(SPAN, len(codes) - lo)
+        spelled = self.spelled(part[:, :rows], lo == 0)[0]
+        at = np.flatnonzero(spelled > -np.inf)
+        starts, sizes, pieces, logs = [at], [np.ones_like(at)], [np.full_like(at, -1)], [spelled[at]]
+        for k, found in enumerate(self.arcs(part), 1):
+            at = np.flatnonzero(found[0, :rows] >= 0)
+            starts.append(at)
+            sizes.append(np.full_like(at, k))
+            pieces.append(found[0, at])
+            logs.append(self.logs[found[0, at]])
+        start, size, piece, log = map(np.concatenate, (starts, sizes, pieces, logs))
+        order = np.argsort(start, kind="stable")
+        return start[order] + lo, size[order], piece[order], log[order]
+
+    def forward_long(self, codes: np.ndarray) -> array:
+        """forward() of one word, arc by arc."""
+        f = array("d", repeat(-inf, len(codes) + 1))
+        f[0] = 0.0
+        for lo in range(0, len(codes), SPAN):
+            start, size, _, log = self.span(codes, lo)
+            for i, j, w in zip(start.tolist(), (start + size).tolist(), log.tolist(), strict=True):
+                if (x := f[i] + w) > -inf:
+                    y = f[j]
+                    f[j] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+        return f
+
+    def expect_long(self, codes: np.ndarray, times: float, into: np.ndarray) -> None:
+        """expect() of one word; the arcs are found again on the way back."""
+        f = np.frombuffer(self.forward_long(codes))
+        b = array("d", repeat(-inf, len(codes) + 1))
+        b[-1] = 0.0
+        for lo in reversed(range(0, len(codes), SPAN)):
+            start, size, piece, log = self.span(codes, lo)
+            end = start + size
+            for i, j, w in zip(start[::-1].tolist(), end[::-1].tolist(), log[::-1].tolist(), strict=True):
+                if (x := b[j] + w) > -inf:
+                    y = b[i]
+                    b[i] = x + log1p(exp(y - x)) if x > y else y + log1p(exp(x - y))
+            share = np.exp(f[start] + log + np.frombuffer(b)[end] - f[-1]) * times
+            some = piece >= 0
+            into += np.bincount(piece[some], share[some], len(into))
+            self.add_spelled(codes[start[~some]], share[~some], into)
+
 
 def spell(code: int) -> bytes:
     """A code point in UTF-8; the mark inside a word has a code of its own."""

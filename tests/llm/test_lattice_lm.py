@@ -1,6 +1,7 @@
 """The lattice by brute force, the base by counting, and sums of probabilities."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -41,6 +42,31 @@ def test_lattice():
     assert abs(spelled - 3 * 6) < 1e-6
 
 
+def test_long_words(monkeypatch):
+    """A long word has the same probability and the same expected pieces however it is taken, and costs what its length says."""
+    rng = np.random.default_rng(3)
+    lattice = lm.Lattice(lm.Pieces.load(PATH))
+    alphabet = np.array([*map(ord, "internatioalz"), 0x65E5, 0x1F600, lm.HIDDEN])
+    codes = np.concatenate([[lm.MARK], rng.choice(alphabet, 899)])[None]
+    monkeypatch.setattr(lm, "LONG", 10**9)
+    whole, into = lattice.score(codes), np.zeros(len(lattice.logs))
+    lattice.expect(codes, np.ones(1) * 2, into)
+    for span in (1, 7, 100, 899, 900, 5000):
+        monkeypatch.setattr(lm, "LONG", 1)
+        monkeypatch.setattr(lm, "SPAN", span)
+        assert abs(lattice.score(codes)[0] - whole[0]) < 1e-6
+        if span > 7:
+            again = np.zeros(len(lattice.logs))
+            lattice.expect(codes, np.ones(1) * 2, again)
+            assert np.allclose(into, again, atol=1e-6)
+    monkeypatch.undo()
+    begun = time.process_time()
+    (_, codes), *_ = lm.by_length([("internationalization" * 10_000).encode()])
+    assert codes.shape == (1, 200_001)
+    assert np.isfinite(lattice.score(codes)).all()
+    assert time.process_time() - begun < 30
+
+
 def test_score(spark, stored, odd_rows):
     docs = stored(odd_rows)
     from pyspark.sql import functions as F
