@@ -36,6 +36,8 @@ from groundtable.session import cut
 MARK, HIDDEN = 0x2581, 0x110000
 #: Cells of a lattice that are held at once.
 CELLS = 2_000_000
+#: Bytes of words, with their counts, that a task takes together.
+TOGETHER = 4_000_000
 #: Characters from which a word is taken alone, and places of it whose arcs are held at once.
 LONG, SPAN = 1_024, 65_536
 #: Weight of the vocabulary's own order against the corpus, in pieces.
@@ -87,64 +89,78 @@ class Lattice:
         for k in np.unique(sizes):
             at = np.flatnonzero(sizes == k)
             codes = np.frombuffer("".join(pieces.texts[i] for i in at).encode("utf-32-le"), np.uint32).reshape(len(at), k)
-            keys[at] = self.prefixes(codes)[:, -1] * np.uint64(64) + np.uint64(min(k, 63))
+            keys[at] = self.prefixes(codes)[-1] * np.uint64(64) + np.uint64(min(k, 63))
         self.ids = np.argsort(keys)
         self.keys = keys[self.ids]
         self.maybe = np.zeros(1 << 20, dtype=bool)  # most strings are no piece, which their upper bits tell
-        self.maybe[keys >> np.uint64(44)] = True
+        slots = (self.keys >> np.uint64(44)).astype(np.int64)
+        self.maybe[slots] = True
+        self.first = np.zeros(1 << 20, dtype=np.int32)  # pieces of equal upper bits are neighbours: the first of them, and how many at most
+        self.first[slots[::-1]] = np.arange(len(slots))[::-1]
+        self.most = int(np.bincount(slots).max())
 
     @staticmethod
     def prefixes(codes: np.ndarray) -> np.ndarray:
-        """Rolling hashes of all prefixes, with wrap-around."""
-        h = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
-        c = char_hash(codes)
+        """Rolling hashes of all prefixes, with wrap-around: a row for each place, a column for each word."""
+        h = np.zeros((codes.shape[1] + 1, codes.shape[0]), dtype=np.uint64)
+        c = char_hash(codes.T)
         for i in range(codes.shape[1]):
-            h[:, i + 1] = h[:, i] * BASE + c[:, i]
+            h[i + 1] = h[i] * BASE + c[i]
         return h
 
-    def arcs(self, codes: np.ndarray) -> list[np.ndarray]:
-        """For each length from 1: the piece that starts at each place, or -1."""
+    def arcs(self, codes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length from 1: start, word and piece of every arc, by start."""
         h, n = self.prefixes(codes), codes.shape[1]
         out, power = [], 1
         for k in range(1, min(self.longest, n) + 1):
             power = power * int(BASE) & 0xFFFFFFFFFFFFFFFF
-            key = (h[:, k:] - h[:, :-k] * np.uint64(power)) * np.uint64(64) + np.uint64(min(k, 63))
-            found = np.full(key.shape, -1, dtype=np.int64)
-            some = np.nonzero(self.maybe[key >> np.uint64(44)])
-            key = key[some]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            found[some] = np.where(self.keys[at] == key, self.ids[at], -1)
-            out.append(found)
+            key = (h[k:] - h[:-k] * np.uint64(power)) * np.uint64(64) + np.uint64(min(k, 63))
+            slot = (key >> np.uint64(44)).view(np.int64)
+            start, word = np.nonzero(self.maybe[slot])
+            key, at = key[start, word], self.first[slot[start, word]]
+            for _ in range(self.most - 1):
+                at += (self.keys[at] < key) & (at + 1 < len(self.keys))
+            same = self.keys[at] == key
+            out.append((start[same], word[same], self.ids[at[same]]))
         return out
 
     def spelled(self, codes: np.ndarray, start: bool = True) -> np.ndarray:
         """Log probability of each character spelled in bytes; the word mark at the start is no character."""
-        flat, back = np.unique(codes, return_inverse=True)
-        each = np.array([self.logs[self.n_plain + np.array([*spell(int(c))])].sum() for c in flat])
-        out = each[back].reshape(codes.shape)
+        there = np.flatnonzero(np.bincount(codes.ravel()))
+        each = np.zeros(there[-1] + 1)
+        each[there] = [self.logs[self.n_plain + np.array([*spell(int(c))])].sum() for c in there]
+        out = each[codes]
         if start:
             out[:, 0] = -np.inf
         return out
 
-    def weights(self, arcs: list[np.ndarray], spelled: np.ndarray) -> list[np.ndarray]:
-        out = [np.where(a >= 0, self.logs[a], -np.inf) for a in arcs]
-        out[0] = np.logaddexp(out[0], spelled)
+    def steps(self, arcs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], n: int) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """For each start: the lengths of its arcs, with the words that have one and its log probability."""
+        out: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(n)]
+        for k, (start, word, piece) in enumerate(arcs, 1):
+            logs, ends = self.logs[piece], np.searchsorted(start, np.arange(n + 1))
+            for i in np.flatnonzero(np.diff(ends)).tolist():
+                part = slice(ends[i], ends[i + 1])
+                out[i].append((k, word[part], logs[part]))
         return out
 
     @staticmethod
-    def forward(w: list[np.ndarray], rows: int, n: int) -> np.ndarray:
-        f = np.full((rows, n + 1), -np.inf)
-        f[:, 0] = 0
-        for j in range(1, n + 1):
-            for k in range(1, min(len(w), j) + 1):
-                f[:, j] = np.logaddexp(f[:, j], f[:, j - k] + w[k - 1][:, j - k])
+    def forward(steps: list[list[tuple[int, np.ndarray, np.ndarray]]], spelled: np.ndarray) -> np.ndarray:
+        """A row for each place, a column for each word; no place is left before all that lead to it are added up."""
+        rows, n = spelled.shape
+        f = np.full((n + 1, rows), -np.inf)
+        f[0] = 0
+        for i in range(n):
+            f[i + 1] = np.logaddexp(f[i + 1], f[i] + spelled[:, i])
+            for k, word, log in steps[i]:
+                f[i + k, word] = np.logaddexp(f[i + k, word], f[i, word] + log)
         return f
 
     def score(self, codes: np.ndarray) -> np.ndarray:
         """Natural log of each word's marginal probability."""
         if codes.shape[1] > LONG:
             return np.array([self.forward_long(c)[-1] for c in codes])
-        return self.forward(self.weights(self.arcs(codes), self.spelled(codes)), *codes.shape)[:, -1]
+        return self.forward(self.steps(self.arcs(codes), codes.shape[1]), self.spelled(codes))[-1]
 
     def expect(self, codes: np.ndarray, times: np.ndarray, into: np.ndarray) -> None:
         """Adds the expected number of each piece in words that come `times` times."""
@@ -154,27 +170,24 @@ class Lattice:
                 self.expect_long(c, x, into)
             return
         arcs, spelled = self.arcs(codes), self.spelled(codes)
-        w = self.weights(arcs, spelled)
-        f = self.forward(w, rows, n)
-        b = np.full((rows, n + 1), -np.inf)
-        b[:, n] = 0
+        steps = self.steps(arcs, n)
+        f = self.forward(steps, spelled)
+        b = np.full((n + 1, rows), -np.inf)
+        b[n] = 0
         for i in range(n - 1, -1, -1):
-            for k in range(1, min(len(w), n - i) + 1):
-                b[:, i] = np.logaddexp(b[:, i], b[:, i + k] + w[k - 1][:, i])
-        whole = f[:, -1:]
-        for k, a in enumerate(arcs, 1):
-            r, i = np.nonzero(a >= 0)
-            id_ = a[r, i]
-            share = np.exp(f[r, i] + self.logs[id_] + b[r, i + k] - whole[r, 0]) * times[r]
-            into += np.bincount(id_, share, len(into))
-        share = np.exp(f[:, :-1] + spelled + b[:, 1:] - whole) * times[:, None]
-        self.add_spelled(codes.ravel(), share.ravel(), into)
+            b[i] = b[i + 1] + spelled[:, i]
+            for k, word, log in steps[i]:
+                b[i, word] = np.logaddexp(b[i, word], b[i + k, word] + log)
+        for k, (start, word, piece) in enumerate(arcs, 1):
+            share = np.exp(f[start, word] + self.logs[piece] + b[start + k, word] - f[n, word]) * times[word]
+            into += np.bincount(piece, share, len(into))
+        share = np.exp(f[:-1] + spelled.T + b[1:] - f[n]) * times
+        self.add_spelled(codes.T.ravel(), share.ravel(), into)
 
     def add_spelled(self, codes: np.ndarray, share: np.ndarray, into: np.ndarray) -> None:
-        flat, back = np.unique(codes, return_inverse=True)
-        for c, x in zip(flat, np.bincount(back, share, len(flat)), strict=True):
-            if x > 0:
-                np.add.at(into, self.n_plain + np.array([*spell(int(c))]), x)
+        sums = np.bincount(codes, share)
+        for c in np.flatnonzero(sums > 0).tolist():
+            np.add.at(into, self.n_plain + np.array([*spell(c)]), sums[c])
 
     def span(self, codes: np.ndarray, lo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """start, size, piece (-1: spelled in bytes) and log probability of the arcs that start in the span of places from `lo`, by start."""
@@ -183,12 +196,12 @@ class Lattice:
         spelled = self.spelled(part[:, :rows], lo == 0)[0]
         at = np.flatnonzero(spelled > -np.inf)
         starts, sizes, pieces, logs = [at], [np.ones_like(at)], [np.full_like(at, -1)], [spelled[at]]
-        for k, found in enumerate(self.arcs(part), 1):
-            at = np.flatnonzero(found[0, :rows] >= 0)
-            starts.append(at)
-            sizes.append(np.full_like(at, k))
-            pieces.append(found[0, at])
-            logs.append(self.logs[found[0, at]])
+        for k, (start, _, piece) in enumerate(self.arcs(part), 1):
+            some = start < rows
+            starts.append(start[some])
+            sizes.append(np.full(np.count_nonzero(some), k))
+            pieces.append(piece[some])
+            logs.append(self.logs[piece[some]])
         start, size, piece, log = map(np.concatenate, (starts, sizes, pieces, logs))
         order = np.argsort(start, kind="stable")
         return start[order] + lo, size[order], piece[order], log[order]
@@ -244,6 +257,20 @@ def by_length(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         at += len(part)
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together until they hold `TOGETHER` bytes: a lattice's steps cost the same for one word as for thousands."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= TOGETHER:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def text_words(text: str | None) -> list[bytes]:
     """The words of a text with A-Z in lower case: bytes.lower() changes these letters only."""
     return text.encode().lower().split() if text else []
@@ -285,7 +312,7 @@ def fit(counts: DataFrame, pieces: Pieces, rounds: int = 2) -> Pieces:
 
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             lattice, into = Lattice(now.value), np.zeros(n)
-            for b in batches:
+            for b in gathered(batches):
                 for part, codes in by_length(b.column("word").to_pylist()):
                     lattice.expect(codes, np.ones(len(part)), into)
             some = np.flatnonzero(into)
@@ -323,7 +350,7 @@ def score(docs: DataFrame, vocabulary: str, held_out: Column, rounds: int = 2, o
 
     def by_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(now.value)
-        for b in batches:
+        for b in gathered(batches):
             paths, seen = np.zeros(b.num_rows), b.column("c").to_numpy()
             for part, codes in by_length(b.column("word").to_pylist()):
                 paths[part] = lattice.score(codes)

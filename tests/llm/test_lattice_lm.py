@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 from groundtable.llm import lattice_lm as lm
 
@@ -67,6 +68,17 @@ def test_long_words(monkeypatch):
     assert time.process_time() - begun < 30
 
 
+def test_gathered(monkeypatch):
+    """Every row comes once and in order, however batches are put together, empty ones too."""
+    batches = [pa.RecordBatch.from_pydict({"word": pa.array(w, pa.binary())}) for w in ([b"a", b"bb"], [], [b"c" * 50], [b"d"], [b"e", b"f"])]
+    for together in (1, 20, 60, 10**9):
+        monkeypatch.setattr(lm, "TOGETHER", together)
+        found = [*lm.gathered(iter(batches))]
+        assert [w for b in found for w in b.column("word").to_pylist()] == [b"a", b"bb", b"c" * 50, b"d", b"e", b"f"]
+        assert len(found) == 1 or together < 10**9
+    assert not [*lm.gathered(iter([]))]
+
+
 def test_score(spark, stored, odd_rows):
     docs = stored(odd_rows)
     from pyspark.sql import functions as F
