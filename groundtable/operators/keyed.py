@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from groundtable.operators.order import numbered
 from groundtable.operators.queues import first_seen
 from groundtable.operators.store import cut_message, migrate, new_rows, upsert
-from groundtable.session import stored
+from groundtable.session import dealt, stored
 
 BUCKETS = 16
 
@@ -213,5 +213,5 @@ def log(t: Keyed, rows: DataFrame) -> int:
     same = F.lit(True)
     for c in LETTER:
         same = same & rows[c].eqNullSafe(old[c])
-    fresh = numbered(rows.join(old, same, "left_anti"), LETTER, "id").withColumn("id", F.col("id") + F.lit(m.next_id))
+    fresh = numbered(rows.join(dealt(old), same, "left_anti"), LETTER, "id").withColumn("id", F.col("id") + F.lit(m.next_id))
     return _append(t, stored(fresh, "fresh"), m, numbers=True)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundtable.functions.text import canonical_governorate
+from groundtable.session import dealt
 
 #: Failures of these classes never count against a listing.
 ALWAYS_RETRIED = ("blocked", "timeout")
@@ -60,7 +61,7 @@ def pending_extract(records: DataFrame, extractions: DataFrame, version: str, mo
     """Described records that no successful extraction of this prompt version (and model, if given) covers."""
     done = extractions.filter((F.col("prompt_version") == version) & F.col("error").isNull())
     done = done.filter(F.col("model") == model) if model else done
-    rows = records.filter(F.col("description_raw").isNotNull()).join(done.select("listing_id"), "listing_id", "left_anti")
+    rows = records.filter(F.col("description_raw").isNotNull()).join(dealt(done.select("listing_id")), "listing_id", "left_anti")
     return rows.orderBy("listing_id").limit(limit) if limit else rows
 
 

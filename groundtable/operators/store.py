@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from groundtable.session import dealt
+
 MESSAGE_CHARS = 2000
 
 
@@ -50,7 +52,7 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], on_insert: di
 def new_rows(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The batch's rows of keys that `target` has not, the first of each key in `order`."""
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return batch.withColumn("_n", first).filter("_n = 1").drop("_n").join(target.select(*keys), keys, "left_anti")
+    return batch.withColumn("_n", first).filter("_n = 1").drop("_n").join(dealt(target.select(*keys)), keys, "left_anti")
 
 
 def insert_ignore(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -15,7 +15,7 @@ from groundtable.operators.export import export
 from groundtable.operators.grounding import canonicalize, ground
 from groundtable.operators.overlay import backfill, change_set, changes, overlay
 from groundtable.operators.queues import live_slices, pending_extract, pending_parse, top_per_slice
-from groundtable.session import stored
+from groundtable.session import dealt, stored
 from groundtable.sources.extractions import parse_raw, with_cost
 from groundtable.sources.hits import parse_hits, read_hits, stated_columns
 from groundtable.sources.pages import description
@@ -89,7 +89,7 @@ def extract(
     mine = with_cost(mine, rates) if rates else mine
     stated = todo.select("listing_id", "description_raw", "price", "purpose", *schemas.names(schemas.HINTS))
     turn = F.row_number().over(Window.partitionBy("listing_id").orderBy("bad", F.desc_nulls_last("ts"), F.desc_nulls_last("raw_json")))
-    rows = parse_raw(mine).withColumn("turn", turn).join(stated, "listing_id")
+    rows = parse_raw(mine).withColumn("turn", turn).join(dealt(stated), "listing_id")
     fields = schemas.names(schemas.EXTRACTED)
     kept = [F.col(c) for c in ("listing_id", "prompt_version", "model", "raw_json", "tokens_in", "tokens_out", "cost_usd", "ts", "bad", "turn", "price", "purpose", *schemas.names(schemas.HINTS))]
     raw = rows.select(*kept, *(F.col(f"fields.{c}").alias(c) for c in fields), nfkc(F.col("description_raw")).alias("_said"))

@@ -63,6 +63,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """`df` for a join that deals both sides out by key and is never turned into a broadcast.
+
+    Spark takes a stored table for as small as its files. Millions of repetitive rows, a few of many columns at that, then pass for a few
+    MB and would be gathered on the driver.
+    """
+    return df.hint("merge")
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop shuffle files that no living DataFrame needs; it acts when the driver collects its garbage."""
     gc.collect()

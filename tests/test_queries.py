@@ -42,3 +42,10 @@ def test_query(spark, sql, name):
 def test_every_query_has_rows(spark):
     assert set(catalog.ORACLE_SQL) == set(catalog.QUERIES)
     assert "| quality |" in catalog.QUERIES["markdown_report"](spark, DATA).first().report
+
+
+@pytest.mark.parametrize("name", ["extract_batch"])
+def test_rows_are_not_gathered_on_the_driver(spark, name):
+    """Files of millions of repetitive rows are small; joins of such rows are dealt out by key all the same."""
+    plan = catalog.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
