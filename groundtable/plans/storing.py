@@ -12,7 +12,7 @@ from groundtable.operators import keyed, overlay, queues, store
 from groundtable.plans import batch
 from groundtable.plans.keeping import event_failures
 from groundtable.plans.reading import hinted, hinted_sql
-from groundtable.session import shared_dir, table
+from groundtable.session import dealt, shared_dir, table
 from groundtable.sources import hits
 
 DOM = '<div aria-label="وصف العقار" a><div b> <span c>flat &amp; garden '
@@ -60,7 +60,8 @@ def extract_repeated(spark: SparkSession, d: str) -> DataFrame:
     updates, log, letters = batch.extract(records, empty, store.migrate(landed, spark, schemas.EXTRACTIONS), "v1", "m", most_failed=1.0)
     kept = store.upsert(records, updates, ["listing_id"]).select("listing_id", "developer_name")
     logged = log.select("listing_id", "error", F.dayofmonth("ts").alias("day"))
-    return kept.join(logged, "listing_id").join(letters.groupBy("listing_id").agg(F.count(F.lit(1)).alias("letters")), "listing_id", "left")
+    counted = letters.groupBy("listing_id").agg(F.count(F.lit(1)).alias("letters"))
+    return kept.join(dealt(logged), "listing_id").join(dealt(counted), "listing_id", "left")
 
 
 def backfill_changes(spark: SparkSession, d: str) -> DataFrame:

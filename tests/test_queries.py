@@ -44,7 +44,7 @@ def test_every_query_has_rows(spark):
     assert "| quality |" in catalog.QUERIES["markdown_report"](spark, DATA).first().report
 
 
-@pytest.mark.parametrize("name", ["extract_batch"])
+@pytest.mark.parametrize("name", ["extract_batch", "extract_repeated"])
 def test_rows_are_not_gathered_on_the_driver(spark, name):
     """Files of millions of repetitive rows are small; joins of such rows are dealt out by key all the same."""
     plan = catalog.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
