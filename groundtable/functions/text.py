@@ -27,7 +27,7 @@ ARABIC_BLOCK = "[؀-ۿ]"
 #: Words that wrap a compound's name (fixed values).
 COMPOUND_WORDS = r"(?iU)\b(?:compound|project)\b|كومباوند|كمبوند|كمباوند|مشروع"
 #: The character references that pages are full of; a reference; one that is not among them; the names that also count without a semicolon.
-COMMON = {f"&{k};": html5[f"{k};"] for k in ("lt", "gt", "quot", "apos", "nbsp", "middot", "copy", "amp")}
+COMMON = {"&#39;": "'"} | {f"&{k};": html5[f"{k};"] for k in ("lt", "gt", "quot", "apos", "nbsp", "middot", "copy", "amp")}
 REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 RARE = "&(?!" + "|".join(k[1:] for k in COMMON) + r")[^\t\n\f <&;]"
 BARE = "^&(" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)) + ")"
@@ -139,10 +139,10 @@ def unescape(text: Column, all_: bool = True) -> Column:
     return let(text, lambda t: F.when(t.rlike(RARE), any_kind(t)).otherwise(common(t))) if all_ else common(text)
 
 
-def strip_markup(markup: Column, all_entities: bool = True) -> Column:
-    """Line breaks as newlines, then tags dropped, character references of every kind (or the common ones) resolved, ends trimmed."""
-    plain = F.regexp_replace(F.regexp_replace(markup, r"<br\s*/?>", "\n"), "<[^>]+>", "")
-    return F.regexp_replace(unescape(plain, all_entities), r"^\s+|\s+$", "")
+def strip_markup(markup: Column, all_entities: bool = True, space: str = r"\s") -> Column:
+    """Line breaks as newlines, then tags dropped, character references of every kind (or the common ones) resolved, ends trimmed of `space`."""
+    plain = F.regexp_replace(F.regexp_replace(markup, rf"<br{space}*/?>", "\n"), "<[^>]+>", "")
+    return F.regexp_replace(unescape(plain, all_entities), rf"^{space}+|{space}+\z", "")
 
 
 def canonical_governorate(name: Column) -> Column:

@@ -102,3 +102,18 @@ def test_composed_together(spark):
     values = ["ﬁ", None, "e\u0301", "", "\u0301x"]
     df = spark.createDataFrame([tuple(values)], ", ".join(f"c{i} string" for i in range(5)))
     assert list(df.select(*text.nfkc_all([F.col(c) for c in df.columns])).first()) == ["fi", None, "é", "", "\u0301x"]
+
+
+def test_page_text_by_its_sql_on_odd_pages(spark, tmp_path):
+    """Cut references, references that are not common, odd spaces: the query gives what its SQL gives; the library's own form resolves them all."""
+    import duckdb
+
+    from groundtable.plans import catalog
+
+    pages = ["<title>a &amp;&amp</title><style>p{}</style>", "&copy 1 &eacute; &#39;x&#39; &amp;#39; &amp;lt;", "\x0b a<br\x0b/>b \x0b", " a<BR>b<br\n/>c  ", " &nbsp; x ", "", None, "&#65;&notit;&"]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in catalog.QUERIES["strip_markup"](spark, str(tmp_path)).select("page_id", "digest", "chars").collect())
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == sorted(c.execute(catalog.ORACLE_SQL["strip_markup"]).fetchall())
+    assert column(spark, pages[:1], text.strip_markup) == ["a &&p{}"]
