@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,16 @@ CUT = 0.7
 
 def terms(word: bytes) -> tuple[int, ...]:
     """Slots of a word as it stands in a text."""
-    bare = word.strip(EDGES).decode().lower()
+    bare = word.strip(EDGES)
     if not bare:
         return ()
-    forms = [bare, *("\0" + bare[:k] for k in STARTS if len(bare) > k)]
-    return tuple(xxhash.xxh3_64_intdigest(f.encode()) % SLOTS for f in forms)
+    if bare.isascii():  # its bytes are its characters
+        bare = bare.lower()
+        forms = [bare, *[b"\0" + bare[:k] for k in STARTS if len(bare) > k]]
+    else:
+        text = bare.decode().lower()
+        forms = [text.encode(), *[b"\0" + text[:k].encode() for k in STARTS if len(text) > k]]
+    return tuple([xxhash.xxh3_64_intdigest(f) % SLOTS for f in forms])
 
 
 @dataclass
@@ -77,15 +83,23 @@ class Known(dict):
 
     def forget(self) -> None:
         self.clear()
-        self.slots, self.held, self.new, self.new_held = np.zeros(0, np.int64), np.zeros(0, np.int64), [], []
+        self.slots, self.held, self.new = np.zeros(0, np.int64), np.zeros(0, np.int64), []
 
     def __missing__(self, word: bytes) -> int:
-        kept = [i for i in self.place[list(terms(word))].tolist() if i >= 0]
-        self.new += kept
-        self.new_held.append(len(kept))
+        self.new.append(word)
         self[word] = number = len(self)
         return number
 
+    def learn(self) -> None:
+        """The slots of the new words, looked up together."""
+        found = [terms(w) for w in self.new]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        kept = self.place[np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))].astype(np.int64)
+        there = kept >= 0
+        self.slots = np.append(self.slots, kept[there])
+        self.held = np.append(self.held, np.bincount(np.repeat(np.arange(len(sizes)), sizes)[there], minlength=len(sizes)))
+        self.new = []
+
     def of(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Each text's distinct slots, ascending, one text after another, and the text of each. Full of words, all are forgotten before the next texts."""
         if len(self) > 4 * CACHE:
@@ -95,8 +109,8 @@ class Known(dict):
             own = set(words(t))
             found += map(self.__getitem__, own)
             counts.append(len(own))
-        self.slots, self.held = np.append(self.slots, np.array(self.new, np.int64)), np.append(self.held, np.array(self.new_held, np.int64))
-        self.new, self.new_held, found = [], [], np.array(found, dtype=np.int64)
+        self.learn()
+        found = np.array(found, dtype=np.int64)
         sizes, starts = self.held[found], (np.cumsum(self.held) - self.held)[found]
         ends = np.cumsum(sizes)
         at = np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())

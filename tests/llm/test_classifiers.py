@@ -169,6 +169,26 @@ def test_slots_of_many_texts(monkeypatch):
     assert [x.tolist() for x in known.of([None])] == [[], []] and [x.tolist() for x in known.of([])] == [[], []]
 
 
+def test_new_words_are_looked_up_together():
+    """The slots of all new words of a batch are found by one look-up, and are the hashes of the words and their starts."""
+    import xxhash
+
+    class Asked:
+        times = 0
+
+        def __getitem__(self, i):
+            self.times += 1
+            return np.arange(toxicity_fm.SLOTS, dtype=np.int32)[i]
+
+    place, texts = Asked(), ["Ab, abcdefghij ÉCOLEÉCOLE", None, "ab ***", "x y z"]
+    ids, who = toxicity_fm.Known(place).of(texts)
+    assert place.times == 1
+    for k, t in enumerate(texts):
+        bare = {w.strip(toxicity_fm.EDGES.decode()).lower() for w in (t or "").split()} - {""}
+        forms = bare | {"\0" + b[:n] for b in bare for n in toxicity_fm.STARTS if len(b) > n}
+        assert ids[who == k].tolist() == sorted({xxhash.xxh3_64_intdigest(f.encode()) % toxicity_fm.SLOTS for f in forms})
+
+
 def test_attention_by_loops():
     """The network's scores, passage by passage."""
     rng = np.random.default_rng(5)
